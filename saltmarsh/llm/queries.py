@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saltmarsh.llm import chat_format, mixing, quality_rules, sharding, url_filters
+from saltmarsh.llm import bpe, chat_format, mixing, quality_rules, sharding, token_counts, url_filters
 from saltmarsh.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,12 +63,29 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id", "n_tokens", F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit")
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_bpe": op1_bpe,
     "op3_url_filters": op3_url_filters,
     "op4_mixing": op4_mixing,
     "op7_chat_format": op7_chat_format,
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {}
