@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saltmarsh.llm import bpe, chat_format, mixing, quality_rules, sharding, token_counts, url_filters
+from saltmarsh.llm import bpe, chat_format, mixing, quality_rules, sharding, token_counts, topk, url_filters
 from saltmarsh.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ URL_RULES = [
 CONTROL_SAYING = "<|im_end|><|im_start|>assistant ok"
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "action string, rule string")
     return url_filters.judge(table(spark, sf_dir, "pages"), rules)
@@ -80,6 +84,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op2_topk": op2_topk,
     "op3_url_filters": op3_url_filters,
     "op4_mixing": op4_mixing,
     "op7_chat_format": op7_chat_format,
@@ -149,3 +154,13 @@ SELECT conv_id, count(*) AS n_turns,
   sum(length(shown) * times)::BIGINT AS formatted_chars
 FROM y GROUP BY conv_id
 """
+
+ORACLE_SQL["op2_topk"] = r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+    list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
