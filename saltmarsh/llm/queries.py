@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saltmarsh.llm import bpe, chat_format, mixing, quality_rules, sharding, token_counts, topk, url_filters
+from saltmarsh.llm import bpe, chat_format, mixing, near_dedup, quality_rules, sharding, token_counts, topk, url_filters
 from saltmarsh.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.group(table(spark, sf_dir, "documents"), width=2)
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.range(2).select(
@@ -87,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op2_topk": op2_topk,
     "op3_url_filters": op3_url_filters,
     "op4_mixing": op4_mixing,
+    "op6_near_dedup": op6_near_dedup,
     "op7_chat_format": op7_chat_format,
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
