@@ -52,8 +52,10 @@ def source_targets(sizes: DataFrame) -> DataFrame:
         .withColumn("full_before", F.sum("cap").over(upto) - F.col("cap"))
         .withColumn("weight_left", F.sum("weight").over(after))
         .withColumn("water", (F.col("budget") - F.col("full_before")) / F.col("weight_left"))
+        .withColumn("place", F.row_number().over(fill))
         # the first source that isn't filled to its cap fixes the level of all after it
-        .withColumn("water", F.min(F.when(F.col("level") > F.col("water"), F.col("water"))).over(everything))
+        .withColumn("first", F.min(F.when(F.col("level") > F.col("water"), F.struct("place", "water"))).over(everything))
+        .withColumn("water", F.col("first.water"))
     )
     target = F.when(F.col("water").isNull() | (F.col("level") <= F.col("water")), F.col("cap").cast("double")).otherwise(
         F.col("water") * F.col("weight")
