@@ -1,6 +1,65 @@
-STAGES = []
+"""A training-data pipeline over ``documents``: each stage's result is written as Parquet and read by the next.
+
+All stages but the last return the columns of documents; the last returns token ids.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from saltmarsh.llm import bpe, line_dedup, mixing, near_dedup, quality_rules
+from saltmarsh.llm.common import materialize, table
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Near-duplicates share 80 % of their shingles of so many words.
+SHINGLE_WORDS = 5
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go."""
+    return quality_rules.judge(docs).where("kept").select(*COLUMNS)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that other documents hold go; every document stays."""
+    return line_dedup.dedup(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    gone = near_dedup.group(docs, SHINGLE_WORDS).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: a copy is a row."""
+    taken = mixing.mix(docs).where("copies > 0").select("doc_id", "copies")
+    each = docs.join(taken, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return each.select(*COLUMNS)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each row."""
+    encoded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("near-dedup", near_duplicates),
+    ("mixing", mix),
+    ("tokens", tokens),
+]
+
+#: Signatures, rolling hashes and fitted rules have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saltmarsh.llm import bpe, chat_format, mixing, near_dedup, quality_rules, sharding, token_counts, topk, url_filters
+from saltmarsh.llm import bpe, chat_format, line_dedup, mixing, near_dedup, quality_rules, sharding, token_counts, topk, url_filters
 from saltmarsh.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.dedup(docs)
+    return out.select("doc_id", "n_lines", "n_removed_lines", (F.col("n_removed_lines") > 0).alias("changed"), "text")
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.group(table(spark, sf_dir, "documents"), width=2)
 
@@ -91,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op2_topk": op2_topk,
     "op3_url_filters": op3_url_filters,
     "op4_mixing": op4_mixing,
+    "op5_line_dedup": op5_line_dedup,
     "op6_near_dedup": op6_near_dedup,
     "op7_chat_format": op7_chat_format,
     "op8_sharding": op8_sharding,
@@ -126,8 +133,9 @@ l AS (SELECT *, cap::DOUBLE / weight AS level FROM w),
 f AS (SELECT *, (sum(cap) OVER u - cap)::BIGINT AS full_before, (sum(weight) OVER a)::BIGINT AS weight_left FROM l
   WINDOW u AS (ORDER BY level, source NULLS LAST ROWS UNBOUNDED PRECEDING),
          a AS (ORDER BY level, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
-g AS (SELECT *, (budget - full_before) / weight_left AS water0 FROM f),
-h AS (SELECT *, min(CASE WHEN level > water0 THEN water0 END) OVER () AS water FROM g),
+g AS (SELECT *, (budget - full_before) / weight_left AS water0,
+    row_number() OVER (ORDER BY level, source NULLS LAST) AS place FROM f),
+h AS (SELECT *, (SELECT arg_min(water0, place) FROM g WHERE level > water0) AS water FROM g),
 t AS (SELECT source, source_size, CASE WHEN water IS NULL OR level <= water THEN cap::DOUBLE ELSE water * weight END AS target FROM h),
 r AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
     row_number() OVER (PARTITION BY d.source ORDER BY size_class, ('0x' || substr(k, 1, 8))::BIGINT % 256, k, doc_id) AS rank,
