@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saltmarsh.llm.common import shared_dir
+from saltmarsh.llm.common import shared_dir, ship
 
 #: Characters of text in a block; a longer document is a block of its own.
 BLOCK_CHARS = 6_000_000
@@ -208,6 +208,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Return id and ids (array of int) for every document."""
+    ship(docs.sparkSession)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     table = blocks(docs, id_col, text_col, pattern, n)
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
@@ -228,6 +229,7 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataF
 
     Null ids decode to nothing; an id that the vocabulary lacks is an error.
     """
+    ship(encoded.sparkSession)
     id_type = encoded.select(id_col).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

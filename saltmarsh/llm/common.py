@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +15,30 @@ WORD_SPACES = " \t\n\x0b\x0c\r"
 #: The same as a regular expression.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
+#: Bytes of an Arrow batch.
+ARROW_BYTES = 8 * 1024 * 1024
+
 _own: dict[str, str] = {}
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once a context, so that they can import its functions.
+
+    Their Arrow batches are held to ARROW_BYTES: texts are long, and each core has a worker of its own.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    context = spark.sparkContext
+    if getattr(context, "_saltmarsh_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="saltmarsh-")) / "saltmarsh.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._saltmarsh_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which driver and executors share.
 

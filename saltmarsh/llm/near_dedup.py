@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from saltmarsh.llm.common import materialize
+from saltmarsh.llm.common import materialize, ship
 
 COORDINATES = 64
 MATCHES = 36
@@ -39,7 +39,7 @@ PAIRS_A_ROW = 1
 #: Up to this many class ids and keys (48 bytes each) are broadcast to find their texts; more are joined by shuffle.
 BROADCAST_IDS = 200_000
 #: Words whose hashes a worker remembers before it starts afresh.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 
 class _WordHashes(defaultdict):
@@ -239,6 +239,7 @@ def group(docs: DataFrame, width: int, percent: int = 80, id_col: str = "doc_id"
 
     class_id is the smallest id with the same set, component_id the smallest id that links reach.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signed = materialize(rows.mapInArrow(_sign(width), "id long, n_shingles long, set_key binary, sig binary"), "signatures")
     usable = signed.where("id IS NOT NULL AND set_key IS NOT NULL")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from saltmarsh.llm.bpe import segments
-from saltmarsh.llm.common import materialize
+from saltmarsh.llm.common import materialize, ship
 
 LONG = 65_536
 STEP = 32_768
@@ -145,6 +145,7 @@ def count(
     overlap: int = OVERLAP,
 ) -> DataFrame:
     """Return id, n_bytes and n_tokens for every document."""
+    ship(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     all_docs = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
     id_type = all_docs.schema["id"].dataType.simpleString()

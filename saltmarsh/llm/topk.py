@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from saltmarsh.llm.common import materialize
+from saltmarsh.llm.common import materialize, ship
 
 K = 10
 SCALE = 1024
@@ -130,6 +130,7 @@ def _scores(data, exact: str, width: int):
 
 def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Return query_id, rank, the id and score of each query's k best candidates; ``is_query`` is over ``id``."""
+    ship(vectors.sparkSession)
     spark = vectors.sparkSession
     rows = (
         vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
