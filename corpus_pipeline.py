@@ -29,15 +29,15 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    gone = near_dedup.group(docs, SHINGLE_WORDS).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    kept = near_dedup.group(docs, SHINGLE_WORDS).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    return docs.join(kept.where("NOT kept").select("doc_id"), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: a copy is a row."""
-    taken = mixing.mix(docs).where("copies > 0").select("doc_id", "copies")
-    each = docs.join(taken, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return each.select(*COLUMNS)
+    taken = mixing.mix(docs, carry=COLUMNS).where("copies > 0")
+    each = taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return each.select(*(F.col("carried").getField(c).alias(c) for c in COLUMNS))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

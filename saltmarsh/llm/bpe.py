@@ -29,14 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saltmarsh.llm.common import shared_dir, ship
+from saltmarsh.llm.common import job_dir, ship
 
 #: Characters of text in a block; a longer document is a block of its own.
 BLOCK_CHARS = 6_000_000
 #: Characters matched at once.
 SEGMENT = 1_000_000
-#: Word lists that a block is dealt into; each is one unit of the shuffle.
-BUCKETS = 256
+#: Word lists that a block is dealt into, at least and at most; each is one unit of the shuffle.
+BUCKETS, MOST_BUCKETS = 256, 65_536
 FLUSH_ROWS = 20_000
 
 
@@ -94,18 +94,18 @@ class _Block:
         self.counts.append(n)
         self.chars += len(text)
 
-    def row(self, block: int) -> dict:
+    def row(self, block: int, n_buckets: int) -> dict:
         import zstandard
 
         at = np.concatenate([*self.parts, np.empty(0, np.int32)])
         often = np.bincount(at, minlength=len(self.numbers))
-        bucket = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS for w in self.numbers), np.int32, len(self.numbers))
+        bucket = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % n_buckets for w in self.numbers), np.int32, len(self.numbers))
         order = np.lexsort((-often, bucket))  # in each bucket the frequent words first: small ranks pack well
-        size = np.bincount(bucket, minlength=BUCKETS)
+        size = np.bincount(bucket, minlength=n_buckets)
         start = np.concatenate([[0], np.cumsum(size)[:-1]])
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order)) - np.repeat(start, size)
-        words, by_bucket = list(self.numbers), [[] for _ in range(BUCKETS)]
+        words, by_bucket = list(self.numbers), [[] for _ in range(n_buckets)]
         for i in order.tolist():
             by_bucket[bucket[i]].append(words[i])
         r = rank[at]
@@ -124,8 +124,8 @@ def _positions(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return b.astype(np.int64), low.astype(np.int64) | (high.astype(np.int64) << 8)
 
 
-def blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str, n_buckets: int) -> DataFrame:
-    """Write the block table, bucketed by block, and read it."""
+def blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str, n_files: int, n_buckets: int) -> DataFrame:
+    """Write the block table, bucketed by block into n_files, and read it; words are dealt to n_buckets lists."""
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = slim.schema["id"].dataType.simpleString()
@@ -144,13 +144,13 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str, n_buckets:
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 now.add(doc_id.as_py(), text.as_py(), match)
                 if now.chars >= BLOCK_CHARS:
-                    yield pa.RecordBatch.from_pylist([now.row(first)], arrow)
+                    yield pa.RecordBatch.from_pylist([now.row(first, n_buckets)], arrow)
                     now, first = _Block(), first + 1
         if now.ids:
-            yield pa.RecordBatch.from_pylist([now.row(first)], arrow)
+            yield pa.RecordBatch.from_pylist([now.row(first, n_buckets)], arrow)
 
     name = f"bpe_blocks_{uuid.uuid4().hex}"
-    slim.mapInArrow(cut, schema).write.bucketBy(n_buckets, "block").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
+    slim.mapInArrow(cut, schema).write.bucketBy(n_files, "block").option("path", f"{job_dir(spark)}/{name}").saveAsTable(name)
     return spark.table(name)
 
 
@@ -175,42 +175,46 @@ def _encode_words(path: str, pattern: str):
     return run
 
 
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k in range(batch.num_rows):
-            row = {n: batch.column(n)[k].as_py() for n in batch.schema.names if n != "ids"}
-            found = sorted(row["found"], key=lambda x: x["bucket"])
-            lens = np.concatenate([np.frombuffer(x["lens"], "<u4") for x in found] or [np.empty(0, "<u4")]).astype(np.int64)
-            ids = np.concatenate([np.frombuffer(x["ids"], "<u4") for x in found] or [np.empty(0, "<u4")]).astype(np.int32)
-            first = np.zeros(BUCKETS, np.int64)  # each bucket's first word
-            total = 0
-            for x in found:
-                first[x["bucket"]] = total
-                total += len(x["lens"]) // 4
-            starts = np.cumsum(lens) - lens
-            bucket, rank = _positions(row)
-            upto = np.concatenate([[0], np.cumsum(np.array(row["counts"], np.int64))])
-            doc_ids, at, rows, flat = batch.column("ids")[k].values, 0, 0, []
-            for d in range(len(row["counts"])):  # some documents at a time: the ids outgrow the positions
-                rows += 1
-                if upto[d + 1] - upto[at] < 500_000 and rows < FLUSH_ROWS and d + 1 < len(row["counts"]):
-                    continue
-                word = first[bucket[upto[at] : upto[d + 1]]] + rank[upto[at] : upto[d + 1]]
-                n = lens[word]
-                ends = np.cumsum(n)
-                flat = ids[np.repeat(starts[word] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-                offsets = np.concatenate([[0], ends])[upto[at : d + 2] - upto[at]].astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [doc_ids.slice(at, d + 1 - at), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["id", "ids"]
-                )
-                at, rows = d + 1, 0
+def _assemble(n_buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {n: batch.column(n)[k].as_py() for n in batch.schema.names if n != "ids"}
+                found = sorted(row["found"], key=lambda x: x["bucket"])
+                lens = np.concatenate([np.frombuffer(x["lens"], "<u4") for x in found] or [np.empty(0, "<u4")]).astype(np.int64)
+                ids = np.concatenate([np.frombuffer(x["ids"], "<u4") for x in found] or [np.empty(0, "<u4")]).astype(np.int32)
+                first = np.zeros(n_buckets, np.int64)  # each bucket's first word
+                total = 0
+                for x in found:
+                    first[x["bucket"]] = total
+                    total += len(x["lens"]) // 4
+                starts = np.cumsum(lens) - lens
+                bucket, rank = _positions(row)
+                upto = np.concatenate([[0], np.cumsum(np.array(row["counts"], np.int64))])
+                doc_ids, at, rows, flat = batch.column("ids")[k].values, 0, 0, []
+                for d in range(len(row["counts"])):  # some documents at a time: the ids outgrow the positions
+                    rows += 1
+                    if upto[d + 1] - upto[at] < 500_000 and rows < FLUSH_ROWS and d + 1 < len(row["counts"]):
+                        continue
+                    word = first[bucket[upto[at] : upto[d + 1]]] + rank[upto[at] : upto[d + 1]]
+                    n = lens[word]
+                    ends = np.cumsum(n)
+                    flat = ids[np.repeat(starts[word] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+                    offsets = np.concatenate([[0], ends])[upto[at : d + 2] - upto[at]].astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [doc_ids.slice(at, d + 1 - at), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["id", "ids"]
+                    )
+                    at, rows = d + 1, 0
+
+    return run
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Return id and ids (array of int) for every document."""
     ship(docs.sparkSession)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    table = blocks(docs, id_col, text_col, pattern, n)
+    n_buckets = min(MOST_BUCKETS, max(BUCKETS, n))
+    table = blocks(docs, id_col, text_col, pattern, n, n_buckets)
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     words = table.select("block", F.posexplode("words").alias("bucket", "words")).where(F.size("words") > 0)
     encoded = (
@@ -221,7 +225,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     found = encoded.groupBy("block").agg(F.collect_list(F.struct("bucket", "lens", F.col("ids").alias("ids"))).alias("found"))
     none = F.array().cast("array<struct<bucket: int, lens: binary, ids: binary>>")
     met = table.drop("words").join(found.hint("shuffle_merge"), "block", "left").withColumn("found", F.coalesce("found", none)).drop("block")
-    return met.mapInArrow(_assemble, f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col)
+    return met.mapInArrow(_assemble(n_buckets), f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataFrame:

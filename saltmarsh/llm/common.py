@@ -52,13 +52,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _own["dir"]
 
 
+def job_dir(spark: SparkSession) -> str:
+    """This application's folder in the shared one: what it wrote can go once its results are stored."""
+    return f"{shared_dir(spark)}/saltmarsh-{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it again.
 
     Cuts lineage: what follows survives lost executors without repeating what came before.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{job_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -1,9 +1,11 @@
 """Line dedup by content-defined chunks of lines.
 
-A rolling hash over the hashes of two neighbouring lines decides where a chunk ends, so a passage is cut alike
-wherever it stands. A line of LONG_WORDS words or more is a chunk of its own, whatever its neighbours. A chunk
-counts if it has two lines and CHUNK_WORDS words, or LONG_WORDS words; if it occurs more than once in the
-corpus, and all occurrences are the same bytes, all but the first (smallest id, then place) are removed.
+Each line is hashed, and a rolling hash covers each two neighbouring lines. A chunk starts where the rolling hash
+is larger than the one before and the one after it, which depends on four lines alone: a passage is cut alike
+wherever it stands, and a chunk has two lines at least. A line of LONG_WORDS words or more is a chunk of its own
+and parts the lines before it from those after it. A chunk counts if it has two lines and CHUNK_WORDS words, or
+LONG_WORDS words; if it occurs more than once in the corpus, and all occurrences are the same bytes, all but the
+first (smallest id, then place) are removed.
 
 Only hashes travel to find the repeats; texts of repeated chunks alone are grouped for the comparison, with
 partial aggregation, so a passage that a third of the documents share costs a row a task. Chunks are written
@@ -22,11 +24,9 @@ from pyspark.sql import functions as F
 
 from saltmarsh.llm.common import materialize
 
-#: One line in so many ends a chunk.
-DIVISOR = 2
 CHUNK_WORDS = 20
 LONG_WORDS = 50
-#: Up to this many hashes of repeated chunks are broadcast; more are joined by shuffle.
+#: Up to this many hashes of repeated chunks (16 bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_HASHES = 1_000_000
 RESULT = ("n_lines", "n_removed_lines")
 
@@ -35,25 +35,26 @@ def _word_count(line: Column) -> Column:
     return F.char_length(line) - F.char_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
-def with_chunks(docs: DataFrame, text_col: str) -> DataFrame:
-    """Add _texts (the chunks, which joined by newlines are the text), _sizes (lines) and _hashes (null: does not count)."""
-    line, starts = F.col("_lines"), F.col("_starts")
+def with_chunks(docs: DataFrame) -> DataFrame:
+    """Of ``text``: texts (the chunks, which joined by newlines are the text), sizes (lines) and hashes (null: does not count)."""
+    line, rolled, starts = F.col("lines"), F.col("rolled"), F.col("starts")
     long = lambda i: F.get(line, i)["words"] >= LONG_WORDS
-    rolled = lambda i: F.xxhash64(F.get(line, i)["h"], F.get(line, i - 1)["h"])
-    cut = lambda i: (i == 0) | long(i) | long(i - 1) | (F.pmod(rolled(i - 1), F.lit(DIVISOR)) == 0)
+    roll = lambda x, i: F.when(
+        (i > 0) & (x["words"] < LONG_WORDS) & ~long(i - 1), F.md5(F.concat(F.get(line, i - 1)["h"], x["h"]))
+    )
+    peak = lambda i: F.coalesce((F.get(rolled, i) > F.get(rolled, i - 1)) & (F.get(rolled, i) > F.get(rolled, i + 1)), F.lit(False))
+    cut = lambda i: (i == 0) | long(i) | long(i - 1) | peak(i)
     end = lambda k: F.coalesce(F.get(starts, k + 1), F.size(line))
     part = lambda s, k: F.slice(line, s + 1, end(k) - s)
     counts = lambda c: ((c["lines"] >= 2) & (c["words"] >= CHUNK_WORDS)) | (c["words"] >= LONG_WORDS)
     return (
         docs.withColumn(
-            "_lines",
-            F.transform(
-                F.split(F.col(text_col), "\n"), lambda x: F.struct(x.alias("text"), F.xxhash64(x).alias("h"), _word_count(x).alias("words"))
-            ),
+            "lines", F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("text"), F.md5(x).alias("h"), _word_count(x).alias("words")))
         )
-        .withColumn("_starts", F.filter(F.sequence(F.lit(0), F.size(line) - 1), cut))
+        .withColumn("rolled", F.transform(line, roll))
+        .withColumn("starts", F.filter(F.sequence(F.lit(0), F.size(line) - 1), cut))
         .withColumn(
-            "_chunks",
+            "chunks",
             F.transform(
                 starts,
                 lambda s, k: F.struct(
@@ -63,45 +64,48 @@ def with_chunks(docs: DataFrame, text_col: str) -> DataFrame:
                 ),
             ),
         )
-        .withColumn("_texts", F.transform("_chunks", lambda c: c["text"]))
-        .withColumn("_sizes", F.transform("_chunks", lambda c: c["lines"]))
-        .withColumn("_hashes", F.transform("_chunks", lambda c: F.when(counts(c), F.xxhash64(c["text"], F.octet_length(c["text"])))))
-        .drop("_lines", "_starts", "_chunks")
+        .withColumn("texts", F.transform("chunks", lambda c: c["text"]))
+        .withColumn("sizes", F.transform("chunks", lambda c: c["lines"]))
+        .withColumn("hashes", F.transform("chunks", lambda c: F.when(counts(c), F.unhex(F.md5(c["text"])))))
+        .drop("text", "lines", "rolled", "starts", "chunks")
     )
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Return ``docs`` with repeated chunks taken out of the text, n_lines before and n_removed_lines."""
-    kept = docs.drop(*(c for c in docs.columns if c in RESULT))
-    chunked = materialize(with_chunks(kept, text_col).drop(text_col), "chunks")
-    placed = chunked.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.posexplode("_hashes").alias("_at", "_hash"))
-    placed = placed.where(F.col("_hash").isNotNull()).distinct()
-    firsts = placed.groupBy("_hash").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_id", "_at")).alias("_first"))
-    repeated = materialize(firsts.where("n > 1").select("_hash", "_first"), "repeated")
-    hashes = repeated.select("_hash")
+    columns = [c for c in docs.columns if c.lower() not in RESULT]
+    others = [c for c in columns if c not in (id_col, text_col)]
+    slim = docs.select(F.struct(F.lit(0).alias("_"), *others).alias("rest"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    chunked = materialize(with_chunks(slim), "chunks")
+    with_id = chunked.where(F.col("id").isNotNull())
+    placed = with_id.select("id", F.posexplode("hashes").alias("at", "hash")).where(F.col("hash").isNotNull()).distinct()
+    firsts = placed.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "at")).alias("first"))
+    repeated = materialize(firsts.where("n > 1").select("hash", "first"), "repeated")
+    hashes = repeated.select("hash")
     if repeated.count() <= BROADCAST_HASHES:
         hashes = F.broadcast(hashes)
     # the byte comparison: the least and the greatest text of a hash are the same
-    pairs = F.explode(F.arrays_zip(F.col("_hashes").alias("_hash"), F.col("_texts").alias("_text")))
-    texts = chunked.where(F.col(id_col).isNotNull()).select(pairs.alias("c")).select("c._hash", "c._text").join(hashes, "_hash")
-    same = texts.groupBy("_hash").agg(F.min("_text").alias("low"), F.max("_text").alias("high")).where("low = high").select("_hash")
-    sure = materialize(repeated.join(same, "_hash"), "sure")
+    pairs = F.explode(F.arrays_zip(F.col("hashes").alias("hash"), F.col("texts").alias("text")))
+    texts = with_id.select(pairs.alias("c")).select("c.hash", "c.text").join(hashes, "hash")
+    same = texts.groupBy("hash").agg(F.min("text").alias("low"), F.max("text").alias("high")).where("low = high").select("hash")
+    sure = materialize(repeated.join(same, "hash"), "sure")
     gone = (
-        placed.join(sure, "_hash")
-        .where(F.struct("_id", "_at") != F.col("_first"))
-        .groupBy("_id")
-        .agg(F.collect_list(F.struct("_at", "_hash")).alias("_gone"))
+        placed.join(sure, "hash")
+        .where(F.struct("id", "at") != F.col("first"))
+        .groupBy("id")
+        .agg(F.collect_list(F.struct("at", "hash")).alias("gone"))
     )
-    met = chunked.join(gone, F.col(id_col) == F.col("_id"), "left").drop("_id")
-    here = F.filter("_gone", lambda g: F.get("_hashes", g["_at"]).eqNullSafe(g["_hash"]))
-    places = F.array_distinct(F.transform(here, lambda g: g["_at"]))
-    all_places = F.sequence(F.lit(0), F.size("_texts") - 1)
-    left = F.transform(F.array_except(all_places, F.col("_places")), lambda i: F.get("_texts", i))
+    met = chunked.join(gone, "id", "left")
+    here = F.filter("gone", lambda g: F.get("hashes", g["at"]).eqNullSafe(g["hash"]))
+    places = F.array_distinct(F.transform(here, lambda g: g["at"]))
+    all_places = F.sequence(F.lit(0), F.size("texts") - 1)
+    left = F.transform(F.array_except(all_places, F.col("places")), lambda i: F.get("texts", i))
     lines = lambda a: F.aggregate(a, F.lit(0), lambda t, n: t + n)
     out = (
-        met.withColumn("_places", F.coalesce(places, F.array().cast("array<int>")))
-        .withColumn(text_col, F.when(F.col("_texts").isNotNull(), F.array_join(left, "\n")))
-        .withColumn("n_lines", F.coalesce(lines(F.col("_sizes")), F.lit(0)).cast("long"))
-        .withColumn("n_removed_lines", F.coalesce(lines(F.transform("_places", lambda i: F.get("_sizes", i))), F.lit(0)).cast("long"))
+        met.withColumn("places", F.coalesce(places, F.array().cast("array<int>")))
+        .withColumn("text", F.when(F.col("texts").isNotNull(), F.array_join(left, "\n")))
+        .withColumn("n_lines", F.coalesce(lines(F.col("sizes")), F.lit(0)).cast("long"))
+        .withColumn("n_removed_lines", F.coalesce(lines(F.transform("places", lambda i: F.get("sizes", i))), F.lit(0)).cast("long"))
     )
-    return out.select(*(c for c in kept.columns), *RESULT)
+    own = {id_col: F.col("id"), text_col: F.col("text")}
+    return out.select(*(own.get(c, F.col("rest").getField(c)).alias(c) for c in columns), *RESULT)

@@ -11,7 +11,8 @@ one size class.
 
 Cases: null text has size 0, and a document of size 0 takes nothing; a source with no words has target 0;
 null source is a source, last in order; null ids and repeated rows are documents of their own, and rows that
-agree in every column are interchangeable; an empty table gives an empty result; other columns are carried.
+agree in every column are interchangeable; an empty table gives an empty result; other columns are
+ignored unless asked for.
 """
 
 from __future__ import annotations
@@ -69,21 +70,26 @@ def size_class(size: Column) -> Column:
     return bits * 16 + F.expr("shiftright(size, greatest(length(bin(size)) - 4, 0))")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Return id, source, size, source_size, target, copies and taken (copies * size) for every document."""
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Return id, source, size, source_size, target, copies and taken (copies * size) for every document.
+
+    With ``carry``, those columns come too, as the struct ``carried``; they travel with the one shuffle that
+    ranks the documents, while the counts are taken from a table without them.
+    """
     cell = ["source_key", "size_class", "slice"]
-    slim = materialize(
+    sized = (
         docs.select(
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source"),
             F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("")).alias("source_key"),
             F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
+            *([F.struct(*carry).alias("carried")] if carry else []),
         )
         .withColumn("size_class", size_class(F.col("size")))
         .withColumn("key", F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))))
-        .withColumn("slice", F.conv(F.substring("key", 1, 8), 16, 10).cast("long") % SLICES),
-        "mix-sizes",
+        .withColumn("slice", F.conv(F.substring("key", 1, 8), 16, 10).cast("long") % SLICES)
     )
+    slim = materialize(sized.drop("carried"), "mix-sizes")
     counts = slim.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
     class_before = F.sum("n").over(Window.partitionBy("source_key").orderBy("size_class")) - F.col("n")
     classes = (
@@ -100,7 +106,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         .select(*cell, "before", "source_size", "target")
     )
     row = F.row_number().over(Window.partitionBy(*cell).orderBy("key", "id"))
-    ranked = slim.withColumn("row", row).join(cells, cell).withColumn("rank", F.col("before") + F.col("row"))
+    ranked = (sized if carry else slim).withColumn("row", row).join(cells, cell).withColumn("rank", F.col("before") + F.col("row"))
     rate = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
     copies = F.floor(rate * F.col("rank") + OFFSET) - F.floor(rate * (F.col("rank") - 1) + OFFSET)
     return ranked.withColumn("copies", copies).select(
@@ -111,4 +117,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         "target",
         "copies",
         (F.col("copies") * F.col("size")).alias("taken"),
+        *(["carried"] if carry else []),
     )

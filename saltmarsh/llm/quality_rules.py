@@ -7,7 +7,7 @@ no shuffle but that of the pattern counts.
 
 Cases: null text counts as empty; empty text has zero words, fails the base rule and is rejected; repeated
 rows and ties are judged row by row; an empty table gives an empty result and the prior model; other
-columns are carried through unless they bear the name of a metric, which then replaces them.
+columns are carried through unless they bear the name of a result column, which then replaces them.
 """
 
 from __future__ import annotations
@@ -22,10 +22,11 @@ from saltmarsh.llm.common import SPACE_RUN, WORD_SPACES, materialize
 
 SYMBOLS = "#*$%&|<>"
 METRICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+RESULT = (*METRICS, "base_failed", "p_good", "kept")
 
 
 def with_metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add METRICS, all long.
+    """Add METRICS, all long; columns named like them or ``_words``, ``_lines``, ``_windows`` give way.
 
     n_repeat_words counts the words inside three-word windows that occur twice or more in the text.
     Windows are sorted by a 64-bit hash and neighbours with equal hashes are compared word for word.
@@ -163,10 +164,12 @@ def judge(docs: DataFrame, text_col: str = "text", carry: list[str] | None = Non
 
     Metrics are written once to the shared folder: both the fit and the verdict read them.
     """
-    measured = with_metrics(docs, text_col)
-    metrics = materialize(measured if carry is None else measured.select(*carry, *METRICS), "quality-metrics")
+    taken = [c for c in (docs.columns if carry is None else carry) if c.lower() not in RESULT]
+    slim = docs.select(F.struct(F.lit(0).alias("_"), *taken).alias("carried"), F.col(text_col).alias("text"))
+    metrics = materialize(with_metrics(slim).drop("text"), "quality-metrics")
     return (
         metrics.withColumn("base_failed", base_failed())
         .withColumn("p_good", fit(metrics).posterior())
         .withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold))
+        .select(*(F.col("carried").getField(c).alias(c) for c in taken), *RESULT)
     )

@@ -168,6 +168,39 @@ SELECT conv_id, count(*) AS n_turns,
 FROM y GROUP BY conv_id
 """
 
+ORACLE_SQL["op5_line_dedup"] = r"""
+WITH l AS (SELECT doc_id, unnest(range(1, len(s) + 1)) AS i, unnest(s) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)),
+h AS (SELECT *, md5(line) AS h, length(line) - length(replace(line, ' ', '')) + 1 AS words FROM l),
+n AS (SELECT *, words >= 50 AS long, lag(words >= 50) OVER w AS long_before, lag(h) OVER w AS h_before FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT *, CASE WHEN NOT long AND NOT long_before THEN md5(h_before || h) END AS rolled FROM n),
+c AS (SELECT *, i = 1 OR long OR long_before OR coalesce(rolled > lag(rolled) OVER w AND rolled > lead(rolled) OVER w, false) AS starts FROM r
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+k AS (SELECT *, sum(starts::INT) OVER (PARTITION BY doc_id ORDER BY i) AS chunk FROM c),
+chunks AS (SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS lines, sum(words) AS words FROM k GROUP BY doc_id, chunk),
+placed AS (SELECT *, (lines >= 2 AND words >= 20 OR words >= 50) AND row_number() OVER (PARTITION BY text ORDER BY doc_id, chunk) > 1 AS gone FROM chunks),
+o AS (SELECT doc_id, sum(lines)::BIGINT AS n_lines, coalesce(sum(lines) FILTER (WHERE gone), 0)::BIGINT AS n_removed_lines,
+  string_agg(text, chr(10) ORDER BY chunk) FILTER (WHERE NOT gone) AS text FROM placed GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed_lines, 0) AS n_removed_lines, coalesce(n_removed_lines, 0) > 0 AS changed,
+  CASE WHEN d.text IS NOT NULL THEN coalesce(o.text, '') END AS text
+FROM documents d LEFT JOIN o ON d.doc_id = o.doc_id
+"""
+
+# all pairs of distinct shingle sets of similar size: for inputs of some thousand documents
+ORACLE_SQL["op6_near_dedup"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_sort(list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) END AS s FROM w),
+c AS (SELECT min(doc_id) AS c, s, len(s) AS n FROM s GROUP BY s),
+e AS (SELECT c, n, unnest(s) AS x FROM c),
+p AS (SELECT a.c AS a, b.c AS b FROM e a JOIN e b ON a.x = b.x AND a.c < b.c AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+links AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+reach(a, b) AS (SELECT c, c FROM c WHERE n > 0 UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+m AS (SELECT a, min(b) AS least FROM reach GROUP BY a)
+SELECT doc_id, len(s.s)::BIGINT AS n_shingles, CASE WHEN c.n > 0 THEN c.c ELSE doc_id END AS class_id,
+  coalesce(least, doc_id) AS component_id, doc_id = coalesce(least, doc_id) AS kept
+FROM s JOIN c ON s.s = c.s LEFT JOIN m ON m.a = c.c
+"""
+
 ORACLE_SQL["op2_topk"] = r"""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
