@@ -3,7 +3,8 @@
 Each source has one rate, target words over own words. With the documents of a source in a fixed order the
 expected copies add up to ``rate * rank``; one offset is added and a document is emitted once for each
 integer that its step crosses. The order is by size class and then by a hash of the id, so every size class
-is sampled evenly and the words taken come near the target.
+is sampled evenly. Whether the few largest documents are among those emitted depends on the offset alone: of
+OFFSETS the one whose words come nearest to the target is taken, from sums over all documents of the source.
 
 Ranks come from counts in three levels (size class, hash slice, row), so no task holds a whole source:
 windows run over the size classes of a source, over at most SLICES counts, or over the rows of one slice of
@@ -27,8 +28,8 @@ BUDGET = 1.5
 CAP = 2
 SLICES = 256
 WORD = r"[^\x20\x09-\x0D]+"
-#: Where the comb of every source starts.
-OFFSET = 0.5
+#: Where the comb of a source may start.
+OFFSETS = tuple((2 * k + 1) / 64 for k in range(32))
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -106,10 +107,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         .select(*cell, "before", "source_size", "target")
     )
     row = F.row_number().over(Window.partitionBy(*cell).orderBy("key", "id"))
-    ranked = (sized if carry else slim).withColumn("row", row).join(cells, cell).withColumn("rank", F.col("before") + F.col("row"))
+    ranked = lambda rows, cells: rows.withColumn("row", row).join(cells, cell).withColumn("rank", F.col("before") + F.col("row"))
     rate = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
-    copies = F.floor(rate * F.col("rank") + OFFSET) - F.floor(rate * (F.col("rank") - 1) + OFFSET)
-    return ranked.withColumn("copies", copies).select(
+    copies = lambda offset: F.floor(rate * F.col("rank") + offset) - F.floor(rate * (F.col("rank") - 1) + offset)
+    sums = [F.struct(F.abs(F.sum(copies(F.lit(o)) * F.col("size")) - F.max("target")).alias("off"), F.lit(o).alias("offset")) for o in OFFSETS]
+    offsets = ranked(slim, cells).groupBy("source_key").agg(F.array_min(F.array(*sums)).getField("offset").alias("offset"))
+    chosen = ranked(sized if carry else slim, cells.join(offsets, "source_key"))
+    return chosen.withColumn("copies", copies(F.col("offset"))).select(
         F.col("id").alias(id_col),
         F.col("source").alias(source_col),
         "size",

@@ -141,7 +141,9 @@ r AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
     row_number() OVER (PARTITION BY d.source ORDER BY size_class, ('0x' || substr(k, 1, 8))::BIGINT % 256, k, doc_id) AS rank,
     coalesce(t.target / nullif(t.source_size, 0), 0) AS rate
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-c AS (SELECT *, (floor(rate * rank + 0.5::DOUBLE) - floor(rate * (rank - 1) + 0.5::DOUBLE))::BIGINT AS copies FROM r)
+e AS (SELECT source, o, row_number() OVER (PARTITION BY source ORDER BY abs(sum((floor(rate * rank + o) - floor(rate * (rank - 1) + o))::BIGINT * size)::BIGINT - max(target)), o) AS n
+  FROM r, (SELECT (2 * range + 1)::DOUBLE / 64 AS o FROM range(32)) GROUP BY source, o),
+c AS (SELECT r.*, (floor(rate * rank + o) - floor(rate * (rank - 1) + o))::BIGINT AS copies FROM r JOIN e ON r.source IS NOT DISTINCT FROM e.source AND n = 1)
 SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM c
 """
 
