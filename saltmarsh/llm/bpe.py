@@ -17,7 +17,6 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import base64
-import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -29,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saltmarsh.llm.common import job_dir, ship
+from saltmarsh.llm.common import bucketed, ship
 
 #: Characters of text in a block; a longer document is a block of its own.
 BLOCK_CHARS = 6_000_000
@@ -124,9 +123,8 @@ def _positions(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return b.astype(np.int64), low.astype(np.int64) | (high.astype(np.int64) << 8)
 
 
-def blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str, n_files: int, n_buckets: int) -> DataFrame:
-    """Write the block table, bucketed by block into n_files, and read it; words are dealt to n_buckets lists."""
-    spark = docs.sparkSession
+def blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str, n_buckets: int) -> DataFrame:
+    """Write the block table, bucketed by block, and read it; words are dealt to n_buckets lists."""
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = slim.schema["id"].dataType.simpleString()
     schema = f"block long, ids array<{id_type}>, counts array<int>, words array<array<string>>, plane0 binary, plane1 binary, plane2 binary"
@@ -149,9 +147,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str, n_files: i
         if now.ids:
             yield pa.RecordBatch.from_pylist([now.row(first, n_buckets)], arrow)
 
-    name = f"bpe_blocks_{uuid.uuid4().hex}"
-    slim.mapInArrow(cut, schema).write.bucketBy(n_files, "block").option("path", f"{job_dir(spark)}/{name}").saveAsTable(name)
-    return spark.table(name)
+    return bucketed(slim.mapInArrow(cut, schema), "block", "bpe_blocks")
 
 
 def _encode_words(path: str, pattern: str):
@@ -214,7 +210,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     ship(docs.sparkSession)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_buckets = min(MOST_BUCKETS, max(BUCKETS, n))
-    table = blocks(docs, id_col, text_col, pattern, n, n_buckets)
+    table = blocks(docs, id_col, text_col, pattern, n_buckets)
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     words = table.select("block", F.posexplode("words").alias("bucket", "words")).where(F.size("words") > 0)
     encoded = (

@@ -6,10 +6,12 @@ COORDINATES - MATCHES + 1 rarest coordinate values of either, so classes are pos
 prefix), and values that one class alone has are skipped: most texts have so many of them that they are not
 posted at all. Candidates are confirmed on the full sets.
 
-A posting list is not expanded into pairs. In each round every list names a hub, the member whose values are the
-most shared, and pairs it with the members that are not yet in its component; confirmed links join components,
-and lists whose members are all in one component are done. When few pairs are left, all are tested. So every
-pair of a list is confirmed, or its ends are joined by other links.
+No list is expanded into pairs. Each list names a hub, the member whose values are the most shared, and pairs its
+members with it; confirmed links join components. Lists that name the same hub form a group. In a group that
+still holds several components, each member outside the largest one is held against all others, in blocks
+of bounded bytes: coordinates that agree are counted, and pairs above the match threshold are confirmed in place.
+A block gives one link for each member and component at most. So every pair of a list is confirmed, or its ends
+are joined by other links, and what travels is each set once a block, not once a pair.
 
 With a similarity of 0.8 the chance that fewer than MATCHES of COORDINATES agree is below 1e-5 a pair.
 
@@ -27,15 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saltmarsh.llm.common import materialize, ship
+from saltmarsh.llm.common import bucketed, materialize, ship
 
 COORDINATES = 64
 MATCHES = 36
-#: Lists are expanded into all remaining pairs once these are no more than so many a posted row.
-PAIRS_A_ROW = 1
+#: Rows of a block (members outside the largest component, and members they are held against), and their hashes.
+OUTSIDERS, MEMBERS, BLOCK_HASHES = 512, 4096, 4_000_000
 #: Up to this many class ids and keys (48 bytes each) are broadcast to find their texts; more are joined by shuffle.
 BROADCAST_IDS = 200_000
 #: Words whose hashes a worker remembers before it starts afresh.
@@ -133,21 +135,55 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array((sigs.astype(np.int64) + base).ravel())], ["class", "token"])
 
 
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
+
+
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
+
+
+def linked(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether 100 * shared >= percent * union, of two sets of distinct hashes."""
+    both = len(p) + len(q)
+    if 100 * min(len(p), len(q)) < percent * max(len(p), len(q)):
+        return False
+    merged = np.sort(np.concatenate([p, q]), kind="stable")
+    shared = int(np.count_nonzero(merged[1:] == merged[:-1]))
+    return 100 * shared >= percent * (both - shared)
+
+
 def _confirm(percent: int):
-    """Keep pairs with 100 * shared >= percent * union, from (a, b, hashes_a, hashes_b)."""
+    """Of (a, b, sig_a, sig_b, hashes_a, hashes_b), the pairs above the match threshold whose sets are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(p) + len(q)
-                if 100 * min(len(p), len(q)) < percent * max(len(p), len(q)):
-                    linked.append(False)
-                    continue
-                shared = both - len(np.union1d(p, q))
-                linked.append(100 * shared >= percent * (both - shared))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
+            sure = (_signatures(batch.column(2)) == _signatures(batch.column(3))).sum(axis=1) >= MATCHES
+            for i in np.flatnonzero(sure):
+                sure[i] = linked(*(np.frombuffer(batch.column(k)[int(i)].as_buffer(), np.uint64) for k in (4, 5)), percent)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(sure, pa.bool_()))
+
+    return run
+
+
+def _hold_against(percent: int):
+    """Links of a block: outsiders that ask, against members of other components; one a component at most."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        cls, part, outside, asking = (np.asarray(rows.column(c)) for c in ("class", "component", "outside", "asking"))
+        sigs, hashes = _signatures(rows.column("sig")), rows.column("hashes").chunk(0)
+        held = lambda k: np.frombuffer(hashes[int(k)].as_buffer(), np.uint64)
+        members, links = np.flatnonzero(~asking), []
+        for i in np.flatnonzero(asking):
+            agree = (sigs[members] == sigs[i]).sum(axis=1)
+            fit = np.flatnonzero((agree >= MATCHES) & (part[members] != part[i]) & (~outside[members] | (cls[i] < cls[members])))
+            met, mine = set(), held(i)
+            for k in members[fit[np.argsort(-agree[fit], kind="stable")]]:
+                if part[k] not in met and linked(mine, held(k), percent):
+                    met.add(part[k])
+                    links.append((min(cls[i], cls[k]), max(cls[i], cls[k])))
+        return pa.table({c: pa.array([x[n] for x in links], pa.int64()) for n, c in enumerate("ab")})
 
     return run
 
@@ -182,56 +218,54 @@ def postings(classes: DataFrame) -> DataFrame:
 
 def pair_links(classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) between classes that give all components; texts holds (id, text)."""
+    spark = classes.sparkSession
     posted = materialize(postings(classes), "postings")
-    n_posted = posted.count()
-    spark = posted.sparkSession
-    none = spark.createDataFrame([], "a long, b long")
-    if not n_posted:
-        return none
-    ids = materialize(classes.join(posted.select("class").distinct(), "class").select("class", "id", "set_key"), "posted-classes")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    found = texts.join(ids, "id").select("class", "set_key", "text").mapInArrow(_sets(width), "class long, hashes binary")
-    sets = materialize(found.groupBy("class").agg(F.first("hashes").alias("hashes")), "sets")
-    links, tested, labels = none, none, None
-    while True:
-        live = posted
-        if labels is not None:
-            live = live.join(labels.withColumnRenamed("node", "class"), "class", "left")
-            live = live.withColumn("component", F.coalesce("component", "class"))
-        else:
-            live = live.withColumn("component", F.col("class"))
-        by_part = live.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
-        lists = by_part.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"))
-        lists = lists.where("n * n > within").withColumn("across", ((F.col("n") * F.col("n") - F.col("within")) / 2).cast("long"))
-        lists = materialize(lists.select("token", "across"), "lists")
-        left = lists.agg(F.sum("across")).first()[0] or 0
-        if not left:
-            break
-        live = materialize(live.join(lists.select("token"), "token"), "live-postings")
-        if left <= PAIRS_A_ROW * n_posted:
-            a = live.select("token", F.col("class").alias("a"), F.col("component").alias("ca"))
-            b = live.select("token", F.col("class").alias("b"), F.col("component").alias("cb"))
-            pairs, last = a.join(b, "token").where("a < b AND ca <> cb"), True
-        else:
-            hub = live.groupBy("token").agg(F.max(F.struct("shared", "class", "component")).alias("hub"))
-            met = live.join(hub, "token").where("component <> hub.component")
-            pairs, last = met.select(F.least("class", "hub.class").alias("a"), F.greatest("class", "hub.class").alias("b")), False
-        # a hub that has met its list in vain must not be met again: it leaves the list
-        pairs = pairs.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        with_b = pairs.join(sets.select(F.col("class").alias("b"), F.col("hashes").alias("hashes_b")), "b")
-        with_a = with_b.join(sets.select(F.col("class").alias("a"), F.col("hashes").alias("hashes_a")), "a")
-        new = materialize(
-            with_a.select("a", "b", "hashes_a", "hashes_b").mapInArrow(_confirm(percent), "a long, b long"), "new-links"
-        )
-        links = links.union(new)
-        if last:
-            break
-        tested = tested.union(pairs)
-        gone = live.groupBy("token").agg(F.max(F.struct("shared", "class")).getField("class").alias("class"))
-        posted = materialize(live.join(gone, ["token", "class"], "left_anti").select("token", "class", "shared"), "postings")
-        labels = components(links) if not links.isEmpty() else None
-    return links
+    sizes = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    lists = materialize(posted.join(sizes, "token"), "lists")
+    if lists.isEmpty():
+        return spark.createDataFrame([], "a long, b long")
+    ids = materialize(classes.join(lists.select("class").distinct(), "class").select("class", "id", "set_key", "n_shingles"), "posted-classes")
+    wanted = ids.drop("n_shingles")
+    wanted = F.broadcast(wanted) if ids.count() <= BROADCAST_IDS else wanted
+    found = texts.join(wanted, "id").select("class", "set_key", "text").mapInArrow(_sets(width), "class long, hashes binary")
+    sets = found.groupBy("class").agg(F.first("hashes").alias("hashes")).join(classes.select("class", "sig"), "class")
+    sets = bucketed(sets, "class", "near_dedup_sets")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """The sets lie bucketed by class: only pairs travel, with one set each from b to a."""
+        side = lambda c: sets.select(F.col("class").alias(c), F.col("sig").alias(f"sig_{c}"), F.col("hashes").alias(f"hashes_{c}"))
+        with_b = pairs.hint("shuffle_merge").join(side("b"), "b")
+        both = with_b.hint("shuffle_merge").join(side("a"), "a").select("a", "b", "sig_a", "sig_b", "hashes_a", "hashes_b")
+        return materialize(both.mapInArrow(_confirm(percent), "a long, b long"), "links")
+
+    hubs = lists.groupBy("token").agg(F.max(F.struct("shared", "class")).getField("class").alias("hub"))
+    groups = materialize(lists.select("token", "class").join(hubs, "token").select("class", F.col("hub").alias("group")).distinct(), "groups")
+    met = groups.where("class <> group").select(F.least("class", "group").alias("a"), F.greatest("class", "group").alias("b"))
+    links = confirmed(met.distinct())
+
+    labels = components(links).withColumnRenamed("node", "class") if not links.isEmpty() else spark.createDataFrame([], "class long, component long")
+    live = ids.select("class", "n_shingles").join(groups, "class").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    parts = live.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("hashes"))
+    split = parts.groupBy("group").agg(
+        F.max(F.struct("n", "component", "hashes")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.sum("hashes").alias("hashes")
+    )
+    blocks = lambda rows, most, hashes: F.ceil(F.greatest(rows / most, hashes / BLOCK_HASHES))
+    split = split.where("parts > 1 AND n > 2").select(
+        "group",
+        F.col("main.component").alias("main"),
+        blocks(F.col("n"), MEMBERS, F.col("hashes")).alias("n_chunks"),
+        blocks(F.col("n") - F.col("main.n"), OUTSIDERS, F.col("hashes") - F.col("main.hashes")).alias("n_blocks"),
+    )
+    apart = live.drop("n_shingles").join(split, "group").withColumn("outside", F.col("component") != F.col("main"))
+    at = F.xxhash64("class")
+    place = lambda asking, chunk, block: F.struct(F.lit(asking).alias("asking"), chunk.cast("long").alias("chunk"), block.cast("long").alias("block"))
+    heard = F.transform(F.sequence(F.lit(0), F.col("n_blocks") - 1), lambda k: place(False, F.pmod(at, F.col("n_chunks")), k))
+    asked = F.transform(F.sequence(F.lit(0), F.col("n_chunks") - 1), lambda k: place(True, k, F.pmod(at, F.col("n_blocks"))))
+    apart = apart.withColumn("places", F.when(F.col("outside"), F.concat(heard, asked)).otherwise(heard)).drop("main", "n_chunks", "n_blocks")
+    placed = apart.hint("shuffle_merge").join(sets, "class").withColumn("place", F.explode("places"))
+    rows = placed.select("group", "place.chunk", "place.block", "place.asking", "class", "component", "outside", "sig", "hashes")
+    rest = rows.groupBy("group", "chunk", "block").applyInArrow(_hold_against(percent), "a long, b long")
+    return links.union(materialize(rest, "links"))
 
 
 def group(docs: DataFrame, width: int, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -243,7 +277,7 @@ def group(docs: DataFrame, width: int, percent: int = 80, id_col: str = "doc_id"
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signed = materialize(rows.mapInArrow(_sign(width), "id long, n_shingles long, set_key binary, sig binary"), "signatures")
     usable = signed.where("id IS NOT NULL AND set_key IS NOT NULL")
-    by_set = usable.groupBy("set_key").agg(F.min("id").alias("id"), F.first("sig").alias("sig"))
+    by_set = usable.groupBy("set_key").agg(F.min("id").alias("id"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))
     classes = materialize(by_set.withColumn("class", F.monotonically_increasing_id()), "classes")
     links = pair_links(classes, rows, width, percent)
     known = classes.select("set_key", "class", F.col("id").alias("class_id"))
