@@ -72,6 +72,31 @@ def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
     yield text[at:]
 
 
+def _pack(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def _unpack(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _pack_words(words: list[bytes]) -> bytes:
+    """Their number, lengths and bytes; nothing for none."""
+    sizes = np.fromiter(map(len, words), "<u4", len(words))
+    return _pack(np.uint32(len(words)).tobytes() + sizes.tobytes() + b"".join(words)) if words else b""
+
+
+def _unpack_words(data: bytes) -> list[bytes]:
+    raw = _unpack(data)
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    ends = 4 + 4 * n + np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int64)
+    return [raw[a:b] for a, b in zip([4 + 4 * n, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+
 class _Block:
     """Documents under way to one row of the block table."""
 
@@ -94,32 +119,25 @@ class _Block:
         self.chars += len(text)
 
     def row(self, block: int, n_buckets: int) -> dict:
-        import zstandard
-
         at = np.concatenate([*self.parts, np.empty(0, np.int32)])
         often = np.bincount(at, minlength=len(self.numbers))
-        bucket = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % n_buckets for w in self.numbers), np.int32, len(self.numbers))
+        words = [w.encode("utf-8", "surrogatepass") for w in self.numbers]
+        bucket = np.fromiter((zlib.crc32(w) % n_buckets for w in words), np.int32, len(words))
         order = np.lexsort((-often, bucket))  # in each bucket the frequent words first: small ranks pack well
         size = np.bincount(bucket, minlength=n_buckets)
         start = np.concatenate([[0], np.cumsum(size)[:-1]])
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order)) - np.repeat(start, size)
-        words, by_bucket = list(self.numbers), [[] for _ in range(n_buckets)]
-        for i in order.tolist():
-            by_bucket[bucket[i]].append(words[i])
+        by_bucket = [_pack_words([words[i] for i in order[a:b]]) for a, b in zip(start, start + size, strict=True)]
         r = rank[at]
         planes = (bucket[at].astype("<u2"), (r & 255).astype("u1"), (r >> 8).astype("<u4"))
-        pack = zstandard.ZstdCompressor(level=1).compress
         return {"block": block, "ids": self.ids, "counts": self.counts, "words": by_bucket} | {
-            f"plane{k}": pack(p.tobytes()) for k, p in enumerate(planes)
+            f"plane{k}": _pack(p.tobytes()) for k, p in enumerate(planes)
         }
 
 
 def _positions(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    import zstandard
-
-    unpack = zstandard.ZstdDecompressor().decompress
-    b, low, high = (np.frombuffer(unpack(row[f"plane{k}"]), t) for k, t in enumerate(("<u2", "u1", "<u4")))
+    b, low, high = (np.frombuffer(_unpack(row[f"plane{k}"]), t) for k, t in enumerate(("<u2", "u1", "<u4")))
     return b.astype(np.int64), low.astype(np.int64) | (high.astype(np.int64) << 8)
 
 
@@ -127,7 +145,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str, n_buckets:
     """Write the block table, bucketed by block, and read it; words are dealt to n_buckets lists."""
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = slim.schema["id"].dataType.simpleString()
-    schema = f"block long, ids array<{id_type}>, counts array<int>, words array<array<string>>, plane0 binary, plane1 binary, plane2 binary"
+    schema = f"block long, ids array<{id_type}>, counts array<int>, words array<binary>, plane0 binary, plane1 binary, plane2 binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -136,7 +154,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str, n_buckets:
         now, arrow = _Block(), None
         for batch in batches:
             arrow = arrow or pa.schema(
-                [("block", pa.int64()), ("ids", pa.list_(batch.schema.field(0).type)), ("counts", pa.list_(pa.int32())), ("words", pa.list_(pa.list_(pa.string())))]
+                [("block", pa.int64()), ("ids", pa.list_(batch.schema.field(0).type)), ("counts", pa.list_(pa.int32())), ("words", pa.list_(pa.binary()))]
                 + [(f"plane{k}", pa.binary()) for k in range(3)]
             )
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
@@ -158,14 +176,15 @@ def _encode_words(path: str, pattern: str):
             for block, b, words in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 if b != bucket:
                     bucket, known = b, {}
+                words = _unpack_words(words)
                 for w in words:
                     if w not in known:
                         known[w] = piece(w)
                 found = [known[w] for w in words]
                 out["block"].append(block)
                 out["bucket"].append(b)
-                out["lens"].append(np.fromiter(map(len, found), "<u4", len(found)).tobytes())
-                out["ids"].append(np.fromiter((i for f in found for i in f), "<u4").tobytes())
+                out["lens"].append(_pack(np.fromiter(map(len, found), "<u4", len(found)).tobytes()))
+                out["ids"].append(_pack(np.fromiter((i for f in found for i in f), "<u4").tobytes()))
             yield pa.RecordBatch.from_pydict(out, pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("lens", pa.binary()), ("ids", pa.binary())]))
 
     return run
@@ -176,7 +195,7 @@ def _assemble(n_buckets: int):
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {n: batch.column(n)[k].as_py() for n in batch.schema.names if n != "ids"}
-                found = sorted(row["found"], key=lambda x: x["bucket"])
+                found = [x | {c: _unpack(x[c]) for c in ("lens", "ids")} for x in sorted(row["found"], key=lambda x: x["bucket"])]
                 lens = np.concatenate([np.frombuffer(x["lens"], "<u4") for x in found] or [np.empty(0, "<u4")]).astype(np.int64)
                 ids = np.concatenate([np.frombuffer(x["ids"], "<u4") for x in found] or [np.empty(0, "<u4")]).astype(np.int32)
                 first = np.zeros(n_buckets, np.int64)  # each bucket's first word
@@ -212,7 +231,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     n_buckets = min(MOST_BUCKETS, max(BUCKETS, n))
     table = blocks(docs, id_col, text_col, pattern, n_buckets)
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
-    words = table.select("block", F.posexplode("words").alias("bucket", "words")).where(F.size("words") > 0)
+    words = table.select("block", F.posexplode("words").alias("bucket", "words")).where(F.octet_length("words") > 0)
     encoded = (
         words.repartition(n, "bucket")
         .sortWithinPartitions("bucket")
