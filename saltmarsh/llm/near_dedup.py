@@ -9,9 +9,13 @@ posted at all. Candidates are confirmed on the full sets.
 No list is expanded into pairs. Each list names a hub, the member whose values are the most shared, and pairs its
 members with it; confirmed links join components. Lists that name the same hub form a group. In a group that
 still holds several components, each member outside the largest one is held against all others, in blocks
-of bounded bytes: coordinates that agree are counted, and pairs above the match threshold are confirmed in place.
-A block gives one link for each member and component at most. So every pair of a list is confirmed, or its ends
-are joined by other links, and what travels is each set once a block, not once a pair.
+of bounded rows and bytes, three times over: by sketches (a byte of each coordinate), which count the coordinates
+that agree; by parities of what passed; by full sets of what passed that. So most members travel as 64 bytes, and
+sets only where sketch and parity leave a doubt. A block gives one link for each member and component at most. So
+every pair of a list is confirmed, or its ends are joined by other links.
+
+A parity is a bitmap of at least four bits a shingle, each the parity of the number of shingles hashed to it. Bits in
+which two parities differ are at most the shingles that only one of two sets has: pairs it rejects aren't linked.
 
 With a similarity of 0.8 the chance that fewer than MATCHES of COORDINATES agree is below 1e-5 a pair.
 
@@ -36,8 +40,10 @@ from saltmarsh.llm.common import bucketed, materialize, ship
 
 COORDINATES = 64
 MATCHES = 36
-#: Rows of a block (members outside the largest component, and members they are held against), and their hashes.
-OUTSIDERS, MEMBERS, BLOCK_HASHES = 512, 4096, 4_000_000
+#: Rows of a block: members outside the largest component, and members they are held against.
+OUTSIDERS, MEMBERS = 4096, 16_384
+#: Shingles of those members of a block that ask or are asked, where sets or parities travel.
+BLOCK_SETS, BLOCK_PARITIES = 4_000_000, 64_000_000
 #: Up to this many class ids and keys (48 bytes each) are broadcast to find their texts; more are joined by shuffle.
 BROADCAST_IDS = 200_000
 #: Words whose hashes a worker remembers before it starts afresh.
@@ -109,19 +115,38 @@ def _sign(width: int):
     return run
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """Words of a bitmap: of how many hashes with the same low bits the number is odd."""
+    bits = max(64, 1 << (4 * len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def fold(bitmap: np.ndarray) -> np.ndarray:
+    """The bitmaps that half as many bits give."""
+    half = bitmap.shape[-1] // 2
+    return bitmap[..., :half] ^ bitmap[..., half:]
+
+
+def may_link(differ: np.ndarray, both: np.ndarray, percent: int) -> np.ndarray:
+    """Whether 100 * shared >= percent * union is possible, of sets of ``both`` hashes in sum that differ in so many at least."""
+    return (100 + percent) * differ <= (100 - percent) * both
+
+
 def _sets(width: int):
-    """The set of each class, from (class, set_key, text); texts that only share the id are passed over."""
+    """Set and parity of each class, from (class, set_key, text); texts that only share the id are passed over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
         for batch in batches:
-            classes, sets = [], []
+            classes, parities, sets = [], [], []
             for c, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 h = shingles(text.as_py(), width, known)
                 if _key(h) == key:
                     classes.append(c)
+                    parities.append(parity(h).tobytes())
                     sets.append(h.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(sets, pa.binary())], ["class", "hashes"])
+            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(parities, pa.binary()), pa.array(sets, pa.binary())], ["class", "parity", "hashes"])
 
     return run
 
@@ -135,12 +160,15 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array((sigs.astype(np.int64) + base).ravel())], ["class", "token"])
 
 
-def _signatures(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(class, n_shingles, sketch) from (class, n_shingles, sig): the sketch is the low byte of each coordinate."""
+    for batch in batches:
+        sketches = [np.frombuffer(x, np.uint32).astype(np.uint8).tobytes() for x in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sketches, pa.binary())], ["class", "n_shingles", "sketch"])
 
 
-def _signatures(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
+def _sketches(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
 
 
 def linked(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
@@ -153,41 +181,155 @@ def linked(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (both - shared)
 
 
-def _confirm(percent: int):
-    """Of (a, b, sig_a, sig_b, hashes_a, hashes_b), the pairs above the match threshold whose sets are linked."""
+PAIRS, SIZED = "a long, b long", "a long, b long, both long"
+ROWS = "group long, class long, component long, n_shingles long"
+
+
+def _select(batch: pa.RecordBatch, keep) -> pa.RecordBatch:
+    return batch.select(["a", "b", "both"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _collide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (a, b, both, sketch_a, sketch_b), the pairs above the match threshold."""
+    for batch in batches:
+        yield _select(batch, (_sketches(batch.column(3)) == _sketches(batch.column(4))).sum(axis=1) >= MATCHES)
+
+
+def _confirm(test):
+    """Of (a, b, both, x_a, x_b), the pairs whose x, read as 64-bit words, pass the test with the sum of their sizes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sure = (_signatures(batch.column(2)) == _signatures(batch.column(3))).sum(axis=1) >= MATCHES
-            for i in np.flatnonzero(sure):
-                sure[i] = linked(*(np.frombuffer(batch.column(k)[int(i)].as_buffer(), np.uint64) for k in (4, 5)), percent)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(sure, pa.bool_()))
+            words = lambda k: (np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(k))  # noqa: B023, E731
+            yield _select(batch, [bool(test(p, q, both)) for p, q, both in zip(words(3), words(4), batch.column(2).to_pylist(), strict=True)])
+
+    return run
+
+
+def differing(p: np.ndarray, q: np.ndarray) -> int:
+    """In how many bits two parities differ, the longer one folded."""
+    while len(p) != len(q):
+        p, q = (fold(p), q) if len(p) > len(q) else (p, fold(q))
+    return int(np.bitwise_count(p ^ q).sum())
+
+
+class _Parities:
+    """The parities of a block's rows, by their length."""
+
+    def __init__(self, column: pa.Array):
+        self.words = np.array([len(x.as_buffer()) // 8 for x in column])
+        self.at, self.table = np.zeros(len(self.words), np.int64), {}
+        for w in np.unique(self.words):
+            own = np.flatnonzero(self.words == w)
+            self.at[own] = np.arange(len(own))
+            self.table[w] = np.frombuffer(b"".join(column.take(pa.array(own)).to_pylist()), np.uint64).reshape(-1, w)
+
+    def differ(self, i: int, others: np.ndarray) -> np.ndarray:
+        """In how many bits row i and the others differ; lengths may differ by a factor of two, others count as no difference."""
+        out, w = np.zeros(len(others), np.int64), self.words[i]
+        mine = self.table[w][self.at[i]]
+        for v in np.unique(self.words[others]):
+            sel = np.flatnonzero(self.words[others] == v)
+            theirs = self.table[v][self.at[others[sel]]]
+            if v == w:
+                out[sel] = np.bitwise_count(theirs ^ mine).sum(axis=1)
+            elif v == 2 * w:
+                out[sel] = np.bitwise_count(fold(theirs) ^ mine).sum(axis=1)
+            elif w == 2 * v:
+                out[sel] = np.bitwise_count(theirs ^ fold(mine)).sum(axis=1)
+        return out
+
+
+class _Block:
+    """Members that ask, and members of other components that may be linked with them."""
+
+    def __init__(self, rows: pa.Table, percent: int):
+        self.rows, self.percent = rows.combine_chunks(), percent
+        column = lambda c: np.asarray(self.rows.column(c))
+        self.cls, self.part, self.outside, self.asking, self.n = map(column, ("class", "component", "outside", "asking", "n_shingles"))
+        self.sketches = _sketches(self.rows.column("sketch"))
+        self.parities = _Parities(self.rows.column("parity").chunk(0)) if "parity" in self.rows.column_names else None
+
+    def __iter__(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Each asking row and the rows in doubt, those with the most agreeing coordinates first."""
+        members = np.flatnonzero(~self.asking)
+        sketches, n, cls, part = self.sketches[members], self.n[members], self.cls[members], self.part[members]
+        inside = ~self.outside[members]
+        for i in np.flatnonzero(self.asking):
+            like = (np.minimum(n, self.n[i]) * 100 >= self.percent * np.maximum(n, self.n[i])) & (part != self.part[i]) & (inside | (self.cls[i] < cls))
+            fit = np.flatnonzero(like)
+            agree = (sketches[fit] == self.sketches[i]).sum(axis=1)
+            order = np.argsort(-agree, kind="stable")
+            others = members[fit[order[agree[order] >= MATCHES]]]
+            if self.parities is not None and len(others):
+                others = others[may_link(self.parities.differ(i, others), self.n[others] + self.n[i], self.percent)]
+            if len(others):
+                yield i, others
+
+
+def _in_doubt(percent: int):
+    """The rows of a block's members that sketches, and parities where given, leave in doubt."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        block, open_ = _Block(rows, percent), set()
+        for i, others in block:
+            open_.add(block.cls[i])
+            open_.update(block.cls[others])
+        seen = ~block.asking & np.isin(block.cls, np.fromiter(open_, np.int64, len(open_)))
+        asked = block.asking & np.isin(block.cls, np.fromiter(open_, np.int64, len(open_)))
+        return block.rows.select(["group", "class", "component", "n_shingles"]).filter(pa.array(seen | asked))
 
     return run
 
 
 def _hold_against(percent: int):
-    """Links of a block: outsiders that ask, against members of other components; one a component at most."""
+    """Links of a block's asking members with other components; one a component at most."""
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        cls, part, outside, asking = (np.asarray(rows.column(c)) for c in ("class", "component", "outside", "asking"))
-        sigs, hashes = _signatures(rows.column("sig")), rows.column("hashes").chunk(0)
+        block, links = _Block(rows, percent), []
+        hashes = block.rows.column("hashes").chunk(0)
         held = lambda k: np.frombuffer(hashes[int(k)].as_buffer(), np.uint64)
-        members, links = np.flatnonzero(~asking), []
-        for i in np.flatnonzero(asking):
-            agree = (sigs[members] == sigs[i]).sum(axis=1)
-            fit = np.flatnonzero((agree >= MATCHES) & (part[members] != part[i]) & (~outside[members] | (cls[i] < cls[members])))
+        for i, others in block:
             met, mine = set(), held(i)
-            for k in members[fit[np.argsort(-agree[fit], kind="stable")]]:
-                if part[k] not in met and linked(mine, held(k), percent):
-                    met.add(part[k])
-                    links.append((min(cls[i], cls[k]), max(cls[i], cls[k])))
+            for k in others:
+                if block.part[k] not in met and linked(mine, held(k), percent):
+                    met.add(block.part[k])
+                    links.append((min(block.cls[i], block.cls[k]), max(block.cls[i], block.cls[k])))
         return pa.table({c: pa.array([x[n] for x in links], pa.int64()) for n, c in enumerate("ab")})
 
     return run
 
 
+def in_blocks(members: DataFrame, load: DataFrame, most_shingles: int | None = None, least: int = 2) -> DataFrame:
+    """Rows of (group, component, class, n_shingles) with what ``load`` has of each class, placed in blocks of groups.
+
+    Members outside a group's largest component ask; all are asked. Groups of one component or
+    of fewer than ``least`` members have no block.
+    """
+    parts = members.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"))
+    split = parts.groupBy("group").agg(
+        F.max(F.struct("n", "component", "shingles")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.sum("shingles").alias("shingles")
+    )
+
+    def number(rows, most, shingles):
+        return F.ceil(F.greatest(rows / most, shingles / most_shingles) if most_shingles else rows / most)
+
+    split = split.where((F.col("parts") > 1) & (F.col("n") >= least)).select(
+        "group",
+        F.col("main.component").alias("main"),
+        number(F.col("n"), MEMBERS, F.col("shingles")).alias("n_chunks"),
+        number(F.col("n") - F.col("main.n"), OUTSIDERS, F.col("shingles") - F.col("main.shingles")).alias("n_blocks"),
+    )
+    apart = members.join(split, "group").withColumn("outside", F.col("component") != F.col("main"))
+    at = F.xxhash64("class")
+    place = lambda asking, chunk, block: F.struct(F.lit(asking).alias("asking"), chunk.cast("long").alias("chunk"), block.cast("long").alias("block"))
+    heard = F.transform(F.sequence(F.lit(0), F.col("n_blocks") - 1), lambda k: place(False, F.pmod(at, F.col("n_chunks")), k))
+    asked = F.transform(F.sequence(F.lit(0), F.col("n_chunks") - 1), lambda k: place(True, k, F.pmod(at, F.col("n_blocks"))))
+    apart = apart.withColumn("places", F.when(F.col("outside"), F.concat(heard, asked)).otherwise(heard)).drop("main", "n_chunks", "n_blocks")
+    placed = apart.hint("shuffle_merge").join(load, "class").withColumn("place", F.explode("places")).drop("places")
+    return placed.select("*", "place.*").drop("place").groupBy("group", "chunk", "block")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and its component's smallest node, from (a, b) links: neighbours' minimum, then label of label."""
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -223,48 +365,48 @@ def pair_links(classes: DataFrame, texts: DataFrame, width: int, percent: int) -
     sizes = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     lists = materialize(posted.join(sizes, "token"), "lists")
     if lists.isEmpty():
-        return spark.createDataFrame([], "a long, b long")
-    ids = materialize(classes.join(lists.select("class").distinct(), "class").select("class", "id", "set_key", "n_shingles"), "posted-classes")
-    wanted = ids.drop("n_shingles")
-    wanted = F.broadcast(wanted) if ids.count() <= BROADCAST_IDS else wanted
-    found = texts.join(wanted, "id").select("class", "set_key", "text").mapInArrow(_sets(width), "class long, hashes binary")
-    sets = found.groupBy("class").agg(F.first("hashes").alias("hashes")).join(classes.select("class", "sig"), "class")
-    sets = bucketed(sets, "class", "near_dedup_sets")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """The sets lie bucketed by class: only pairs travel, with one set each from b to a."""
-        side = lambda c: sets.select(F.col("class").alias(c), F.col("sig").alias(f"sig_{c}"), F.col("hashes").alias(f"hashes_{c}"))
-        with_b = pairs.hint("shuffle_merge").join(side("b"), "b")
-        both = with_b.hint("shuffle_merge").join(side("a"), "a").select("a", "b", "sig_a", "sig_b", "hashes_a", "hashes_b")
-        return materialize(both.mapInArrow(_confirm(percent), "a long, b long"), "links")
-
+        return spark.createDataFrame([], PAIRS)
     hubs = lists.groupBy("token").agg(F.max(F.struct("shared", "class")).getField("class").alias("hub"))
     groups = materialize(lists.select("token", "class").join(hubs, "token").select("class", F.col("hub").alias("group")).distinct(), "groups")
-    met = groups.where("class <> group").select(F.least("class", "group").alias("a"), F.greatest("class", "group").alias("b"))
-    links = confirmed(met.distinct())
+    listed = classes.join(groups.select("class").distinct(), "class").select("class", "n_shingles", "sig")
+    sketches = bucketed(listed.mapInArrow(_sketch, "class long, n_shingles long, sketch binary"), "class", "near_dedup_sketches")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """(class, parity, hashes) of the wanted classes, bucketed by class: one text of each is read."""
+        wanted = materialize(classes.join(wanted.distinct(), "class").select("class", "id", "set_key"), "wanted")
+        few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+        found = texts.join(few, "id").select("class", "set_key", "text").mapInArrow(_sets(width), "class long, parity binary, hashes binary")
+        return bucketed(found.groupBy("class").agg(F.first("parity").alias("parity"), F.first("hashes").alias("hashes")), "class", "near_dedup_sets")
+
+    def sides_of(pairs: DataFrame, load: DataFrame, *columns: str) -> DataFrame:
+        """Pairs with what the bucketed table has of both: only they travel, with what b has to a."""
+        for c in "ba":
+            pairs = pairs.hint("shuffle_merge").join(load.select(F.col("class").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in columns)), c)
+        return pairs
+
+    met = groups.where("class <> group").select(F.least("class", "group").alias("a"), F.greatest("class", "group").alias("b")).distinct()
+    like = sides_of(met, sketches, "n_shingles", "sketch").where(
+        100 * F.least("n_shingles_a", "n_shingles_b") >= percent * F.greatest("n_shingles_a", "n_shingles_b")
+    )
+    like = like.withColumn("both", F.col("n_shingles_a") + F.col("n_shingles_b")).select("a", "b", "both", "sketch_a", "sketch_b")
+    close = materialize(like.mapInArrow(_collide, SIZED), "close")
+    sets = sets_of(close.select(F.explode(F.array("a", "b")).alias("class")))
+    tests = {"parity": lambda p, q, both: may_link(differing(p, q), both, percent), "hashes": lambda p, q, both: linked(p, q, percent)}
+    for column, test in tests.items():
+        sides = sides_of(close, sets, column).select("a", "b", "both", f"{column}_a", f"{column}_b")
+        close = materialize(sides.mapInArrow(_confirm(test), SIZED), "links")
+    links = close.select("a", "b")
 
     labels = components(links).withColumnRenamed("node", "class") if not links.isEmpty() else spark.createDataFrame([], "class long, component long")
-    live = ids.select("class", "n_shingles").join(groups, "class").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    parts = live.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("hashes"))
-    split = parts.groupBy("group").agg(
-        F.max(F.struct("n", "component", "hashes")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.sum("hashes").alias("hashes")
-    )
-    blocks = lambda rows, most, hashes: F.ceil(F.greatest(rows / most, hashes / BLOCK_HASHES))
-    split = split.where("parts > 1 AND n > 2").select(
-        "group",
-        F.col("main.component").alias("main"),
-        blocks(F.col("n"), MEMBERS, F.col("hashes")).alias("n_chunks"),
-        blocks(F.col("n") - F.col("main.n"), OUTSIDERS, F.col("hashes") - F.col("main.hashes")).alias("n_blocks"),
-    )
-    apart = live.drop("n_shingles").join(split, "group").withColumn("outside", F.col("component") != F.col("main"))
-    at = F.xxhash64("class")
-    place = lambda asking, chunk, block: F.struct(F.lit(asking).alias("asking"), chunk.cast("long").alias("chunk"), block.cast("long").alias("block"))
-    heard = F.transform(F.sequence(F.lit(0), F.col("n_blocks") - 1), lambda k: place(False, F.pmod(at, F.col("n_chunks")), k))
-    asked = F.transform(F.sequence(F.lit(0), F.col("n_chunks") - 1), lambda k: place(True, k, F.pmod(at, F.col("n_blocks"))))
-    apart = apart.withColumn("places", F.when(F.col("outside"), F.concat(heard, asked)).otherwise(heard)).drop("main", "n_chunks", "n_blocks")
-    placed = apart.hint("shuffle_merge").join(sets, "class").withColumn("place", F.explode("places"))
-    rows = placed.select("group", "place.chunk", "place.block", "place.asking", "class", "component", "outside", "sig", "hashes")
-    rest = rows.groupBy("group", "chunk", "block").applyInArrow(_hold_against(percent), "a long, b long")
+    live = groups.join(sketches.select("class", "n_shingles"), "class").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    # a group of two is a hub and a member that was held against it
+    doubts = in_blocks(live, sketches.drop("n_shingles"), least=3).applyInArrow(_in_doubt(percent), ROWS)
+    doubts = materialize(doubts.distinct(), "doubts")
+    sets = sets_of(doubts.select("class"))
+    load = sketches.select("class", "sketch").join(sets, "class")
+    left = in_blocks(doubts, load.drop("hashes"), BLOCK_PARITIES).applyInArrow(_in_doubt(percent), ROWS)
+    left = materialize(left.distinct(), "doubts")
+    rest = in_blocks(left, load, BLOCK_SETS).applyInArrow(_hold_against(percent), PAIRS)
     return links.union(materialize(rest, "links"))
 
 
