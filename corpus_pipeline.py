@@ -24,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that other documents hold go; every document stays."""
-    return line_dedup.dedup(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+    return line_dedup.dedup_passages(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
