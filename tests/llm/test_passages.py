@@ -64,6 +64,12 @@ def test_passages_of_few_lines_go_to_their_edges(spark, n_lines, n_words):
     assert stage(spark, rows) == want == brute(rows)
 
 
+@pytest.mark.parametrize(("n_lines", "n_words"), [(20, 3), (12, 6)])
+def test_blocks_of_short_lines_go_whole(spark, n_lines, n_words):
+    rows, want = planted(n_lines, n_words)
+    assert stage(spark, rows) == want == brute(rows)
+
+
 def test_repeats_of_all_kinds_equal_brute_force(spark):
     r = random.Random(7)
     pool = [passage(k, r.choice([0, 1, 3, 8, 15, 49, 50, 60])) for k in range(60)]
