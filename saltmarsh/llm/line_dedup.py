@@ -25,8 +25,8 @@ pairs make a run; a run goes if its lines have CHUNK_WORDS words together, and a
 repeated chunk goes by ``dedup`` goes here, and a passage goes from its first line to its last. A line that goes
 stands at an earlier place too, so no line is lost from the corpus.
 
-Only hashes are counted over all units; texts of repeated units alone are compared. Cases: as above, but rows that
-share an id, or have none, are documents of their own.
+Only hashes are counted over all units; texts of repeated units alone are compared. Cases: as above, but words
+are what any white space of the shared rule separates; rows that share an id, or have none, are documents of their own.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from saltmarsh.llm.common import materialize
+from saltmarsh.llm.common import SPACE_RUN, materialize
 
 CHUNK_WORDS = 20
 LONG_WORDS = 50
@@ -42,6 +42,8 @@ LONG_WORDS = 50
 BROADCAST_HASHES = 1_000_000
 #: Beyond that, hashes that occur so often are broadcast all the same: one of them would fill a task.
 HOT = 1000
+#: A word of a passage, by the word rule that the operators share.
+WORD = SPACE_RUN.replace("[", "[^")
 RESULT = ("n_lines", "n_removed_lines")
 
 
@@ -155,7 +157,7 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     others = [c for c in columns if c not in (id_col, text_col)]
     slim = docs.select(F.struct(F.lit(0).alias("_"), *others).alias("rest"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = materialize(slim.withColumn("row", F.monotonically_increasing_id()), "rows")
-    split = rows.where(F.col("text").isNotNull()).withColumn("lines", F.split("text", "\n")).withColumn("words", F.transform("lines", _word_count))
+    split = rows.where(F.col("text").isNotNull()).withColumn("lines", F.split("text", "\n")).withColumn("words", F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))))
     units = split.select("id", "row", F.explode(_units()).alias("u")).select("id", "row", "u.*")
     # places lie in the shared folder: they are read three times
     placed = materialize(units.drop("text"), "places")

@@ -98,3 +98,12 @@ def test_awkward_passages(awkward, empty):
     assert all(r["hash"] == "hash!" and r["rest"] == "rest!" and r["texts"] == "texts!" for r in out)
     assert [(r.text, r.n_lines) for r in out if r.doc_id == 2] == [(None, 0)]
     assert [r.n_removed_lines for r in out if r.doc_id == 5] == [0]
+
+
+def test_words_parted_by_tabs_count(spark):
+    table = [passage(900 + j, 6).replace(" ", "\t") for j in range(5)]
+    long = passage(990, 60).replace(" ", "\t")
+    rows = [(k, "\n".join([passage(2000 + k, 9), *table, passage(3000 + k, 9), long, passage(4000 + k, 9)])) for k in range(3)]
+    out = stage(spark, rows)
+    assert out == brute(rows)
+    assert out[1][1] == "\n".join(passage(n, 9) for n in (2001, 3001, 4001))
