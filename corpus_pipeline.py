@@ -41,9 +41,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each row."""
-    encoded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """Token ids of each row, and the digest of the bytes that they decode to."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks, with_ids=True)
+    return decoded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

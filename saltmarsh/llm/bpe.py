@@ -243,8 +243,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     return met.mapInArrow(_assemble(n_buckets), f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col)
 
 
-def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataFrame:
-    """From id and ids: id, n_tokens, ids_le (ids as little-endian unsigned 32-bit integers) and decoded bytes.
+def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
+    """From id and ids: id, n_tokens, ids_le (ids as little-endian unsigned 32-bit integers) and decoded bytes; ids if asked for.
 
     Null ids decode to nothing; an id that the vocabulary lacks is an error.
     """
@@ -263,10 +263,12 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataF
             data = joined.buffers()[2] if len(joined) else pa.py_buffer(b"")
             raw = pa.py_buffer(np.asarray(flat, dtype="<i4").tobytes())
             n = pa.array(np.diff(offsets))
-            yield pa.RecordBatch.from_arrays([batch.column(0), n, _binary(offsets * 4, raw), _binary(ends, data)], ["id", "n_tokens", "ids_le", "decoded"])
+            columns = [batch.column(0), n, _binary(offsets * 4, raw), _binary(ends, data)]
+            yield pa.RecordBatch.from_arrays(columns + [lists] * with_ids, ["id", "n_tokens", "ids_le", "decoded"] + ["ids"] * with_ids)
 
     slim = encoded.select(F.col(id_col).alias("id"), F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-    return slim.mapInArrow(run, f"id {id_type}, n_tokens long, ids_le binary, decoded binary").withColumnRenamed("id", id_col)
+    schema = f"id {id_type}, n_tokens long, ids_le binary, decoded binary" + ", ids array<int>" * with_ids
+    return slim.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def _binary(offsets: np.ndarray, data: pa.Buffer) -> pa.Array:

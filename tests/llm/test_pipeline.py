@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
 import corpus_pipeline
@@ -41,3 +42,11 @@ def test_run_equals_stages_in_turn(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf)
     assert Counter((r.doc_id, tuple(r.ids)) for r in docs.collect()) == Counter((r.doc_id, tuple(r.ids)) for r in rows)
+
+
+def test_tokens_decode_to_the_text(spark):
+    texts = ["the cat sat", "naïve — 日本語 😀", "", "a\tb\n c"]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r.doc_id: r for r in dict(corpus_pipeline.STAGES)["tokens"](spark, docs, "").collect()}
+    assert [out[k].decoded_sha256 for k in range(4)] == [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+    assert all(len(r.ids) == r.n_tokens for r in out.values())
