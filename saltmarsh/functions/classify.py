@@ -5,7 +5,7 @@ Null, NaN and infinite heights have the class ``""``; infinite ones still count
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The four labels, lowest first.
@@ -18,10 +18,44 @@ def finite(h: Column) -> Column:
     return h.isNotNull() & ~F.isnan(h) & (F.abs(h) != float("inf"))
 
 
+#: Ranks of a quantile's neighbours are sought within this share of all values around it.
+RANK_ERROR = 1 / 10_000
+
+
 def quantile_cuts(df: DataFrame, height: str) -> DataFrame:
-    """One row with q25, q50 and q75, interpolated linearly, NaN left out."""
-    q = F.percentile(F.nanvl(F.col(height), F.lit(None).cast("double")), F.array(*(F.lit(x) for x in (0.25, 0.5, 0.75))))
-    return df.agg(q.alias("q")).select(*(F.get("q", F.lit(k)).alias(n) for k, n in enumerate(("q25", "q50", "q75"))))
+    """One row with q25, q50 and q75, exact and interpolated linearly, NaN left out; nulls without values.
+
+    A mergeable sketch brackets each quantile; then the values below each bracket are counted, and those inside,
+    a few in 10,000 of all, are counted by value and ranked. So no task holds or sorts all values. With fewer values
+    than the sketch holds exactly, a bracket takes all of them.
+    """
+    shares = (0.25, 0.5, 0.75)
+    values = df.select(F.nanvl(F.col(height), F.lit(None).cast("double")).alias("v")).where("v IS NOT NULL")
+    ends = [min(1.0, max(0.0, p + side * 3 * RANK_ERROR)) for p in shares for side in (-1, 1)]
+    near = F.percentile_approx("v", F.array(*(F.lit(e) for e in ends)), F.lit(round(1 / RANK_ERROR)))
+    sketch = values.agg(F.count("v").alias("n"), near.alias("near"))
+    few = F.col("n") * RANK_ERROR < 1
+    bracket = lambda k: F.struct(
+        F.lit(k).alias("k"),
+        F.when(few, float("-inf")).otherwise(F.get("near", F.lit(2 * k))).alias("low"),
+        F.when(few, float("inf")).otherwise(F.get("near", F.lit(2 * k + 1))).alias("high"),
+        (F.lit(shares[k]) * (F.col("n") - 1)).alias("at"),
+    )
+    brackets = sketch.select(F.array(*(bracket(k) for k in range(len(shares)))).alias("brackets"))
+    # a value counts below every bracket that it lies under, and by itself in one that holds it
+    roles = F.transform(
+        F.filter("brackets", lambda b: F.col("v") <= b["high"]),
+        lambda b: F.struct(b["k"].alias("k"), b["at"].alias("at"), F.when(F.col("v") >= b["low"], F.col("v")).alias("inside")),
+    )
+    met = values.crossJoin(F.broadcast(brackets)).select("v", F.explode(roles).alias("r"))
+    counted = met.groupBy("r.k", "r.at", "r.inside").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("k").orderBy(F.col("inside").asc_nulls_first()))
+    ranked = counted.withColumn("upto", upto)
+    at = lambda rank: F.min(F.when((F.col("upto") > rank) & F.col("inside").isNotNull(), F.col("inside")))
+    part = F.max(F.col("at") - F.floor("at"))
+    found = ranked.groupBy("k").agg(at(F.floor("at")).alias("a"), at(F.ceil("at")).alias("b"), part.alias("part"))
+    cut = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise((1 - F.col("part")) * F.col("a") + F.col("part") * F.col("b"))
+    return found.agg(*(F.max(F.when(F.col("k") == k, cut)).alias(n) for k, n in enumerate(("q25", "q50", "q75"))))
 
 
 def _labelled(h: Column, bounds: list[Column]) -> Column:

@@ -5,33 +5,99 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BLANKS = " \t\n\r\x0b\x0c"
-#: The accepted layouts, in order of preference.
-FORMATS = ("yyyy-M-d H:m:s", "yyyy/M/d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy/M/d'T'H:m:s")
+#: Every character that Unicode counts as white space, and U+001C to U+001F.
+BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0 " + "".join(map(chr, range(0x2000, 0x200B))) + "    　"
 EPOCH = "1992-01-01 00:00:00"
 
+_MONTH, _DAY, _HOUR = "(1[0-2]|0[1-9]|[1-9])", "(3[01]|[12][0-9]|0[1-9]|[1-9])", "(2[0-3]|[01][0-9]|[0-9])"
+_SIXTY, _SECOND = "([0-5][0-9]|[0-9])", "(6[01]|[0-5][0-9]|[0-9])"
+#: Parts of one or two digits: year-month-day or year/month/day, blanks or T, time.
+_LOOSE = rf"(?is)^(\d{{4}})([-/]){_MONTH}\2{_DAY}(?:\s+|T){_HOUR}:{_SIXTY}:{_SECOND}(.*)$"
+#: The same without separators: each part takes two digits where it can and leaves one for each that follows.
+_DIGITS = rf"(?s)^(\d{{4}}){_MONTH}{_DAY}{_HOUR}{_SIXTY}{_SECOND}(.*)$"
+#: ISO 8601: calendar or week date, with or without separators, then any one character and a time, and an offset.
+_ISO = (
+    r"(?s)^(\d{4})(?:-(\d\d)-(\d\d)|(\d\d)(\d\d)|-?W(\d\d)(?:-?(\d))?)"
+    r"(?:.(\d\d)(?::(\d\d)(?::(\d\d))?|(\d\d)(\d\d)?)?(?:[.,](\d+))?(?: ?([+-])(\d\d)(?::?(\d\d)(?::?(\d\d))?)?)?)?$"
+)
+
 
 def trimmed(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
 
-def offset_of(text: Column) -> Column:
-    """The UTC offset that a time text carries (``Z`` is ``+00:00``); null without one."""
-    return F.nullif(F.regexp_extract(F.replace(trimmed(text), F.lit("Z"), F.lit("+00:00")), r"\d{2}:\d{2}.*?([+-]\d{2}:?\d{2})$", 1), F.lit(""))
+def let(value: Column, use) -> Column:
+    """``use(value)``, with the value made once and standing in the plan once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def parse_time(text: Column) -> Column:
-    """Local time of a text in one of FORMATS, 14 digits, 8 digits or ISO form; null for anything else.
+def _groups(text: Column, pattern: str, n: int) -> Column:
+    """What the first n groups matched; empty texts where the pattern doesn't fit."""
+    return F.transform(F.array(*map(F.lit, range(1, n + 1))), lambda k: F.call_function("regexp_extract", text, F.lit(pattern), k))
+
+
+def _number(groups: Column, *at: int) -> Column:
+    """The first of the groups that isn't empty, as a number; null if all are."""
+    return F.concat(*(groups[k - 1] for k in at)).try_cast("int")
+
 
-    Runs of blanks count as one. A text of 13 digits or an ISO week date gives null.
+def _moment(y: Column, mo: Column, d: Column, h: Column, mi: Column, s: Column) -> Column:
+    return F.when(s < 60, F.try_make_timestamp_ntz(y, mo, d, h, mi, s.cast("decimal(16,6)")))
+
+
+def _date_of(g: Column) -> Column:
+    """The date in the groups of _ISO; a week without day starts on Monday."""
+    year, week = _number(g, 1), _number(g, 6)
+    first = F.date_trunc("week", F.make_date(year, F.lit(1), F.lit(4))).cast("date")
+    by_week = F.date_add(first, (week - 1) * 7 + F.coalesce(_number(g, 7), F.lit(1)) - 1)
+    fits = (week >= 1) & F.coalesce(_number(g, 7).between(1, 7), F.lit(True)) & (F.extract(F.lit("YEAROFWEEK"), by_week) == year)
+    return F.when(week.isNotNull(), F.when(fits, by_week)).otherwise(F.try_make_timestamp_ntz(year, _number(g, 2, 4), _number(g, 3, 5), *map(F.lit, (0, 0, 0))).cast("date"))
+
+
+def iso_time(text: Column) -> Column:
+    """struct(parsed, tz) of an ISO 8601 text whose ``Z`` is spelled ``+00:00``; parsed is null for anything else.
+
+    tz is ``+hh:mm`` or ``+hh:mm:ss``, or null without an offset. Digits of the second beyond the sixth are cut off.
     """
-    t = F.regexp_replace(F.regexp_replace(trimmed(text), r"\s+", " "), r"(Z|[+-]\d{2}:?\d{2})$", "")
-    t = F.when(F.regexp_count(trimmed(text), F.lit(r":")) > 0, t).otherwise(F.regexp_replace(trimmed(text), r"Z$", ""))
-    tries = [F.try_to_timestamp(t, F.lit(f)).cast("timestamp_ntz") for f in FORMATS]
-    tries.append(F.when(t.rlike(r"^\d{14}$"), F.try_to_timestamp(t, F.lit("yyyyMMddHHmmss"))).cast("timestamp_ntz"))
-    tries.append(F.when(t.rlike(r"^\d{8}$"), F.try_to_timestamp(t, F.lit("yyyyMMdd"))).cast("timestamp_ntz"))
-    tries.append(F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?$"), t).try_cast("timestamp_ntz"))
-    return F.coalesce(*tries)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+
+    def timed(p: Column) -> Column:
+        g = p["g"]
+        fraction = F.rpad(F.substring(g[12], 1, 6), 6, "0").try_cast("int")
+        second = zero(_number(g, 10, 12)) + fraction / F.lit(1_000_000).cast("decimal(8,0)")
+        h, m, s = (zero(_number(g, k)) for k in (15, 16, 17))
+        d = p["date"]
+        moment = _moment(F.year(d), F.month(d), F.day(d), zero(_number(g, 8)), zero(_number(g, 9, 11)), second)
+        sign = F.when(h + m + s == 0, "+").otherwise(g[13])
+        tz = F.concat(sign, F.format_string("%02d:%02d", h, m), F.when(s > 0, F.format_string(":%02d", s)).otherwise(""))
+        parsed = F.when((F.year(d) > 0) & (h < 24) & (m < 60) & (s < 60), moment)
+        return F.struct(parsed.alias("parsed"), F.when(parsed.isNotNull() & (g[13] != ""), tz).alias("tz"))
+
+    return let(_groups(text, _ISO, 17), lambda g: let(F.struct(g.alias("g"), _date_of(g).alias("date")), timed))
+
+
+def read_time(text: Column) -> Column:
+    """struct(parsed, tz) of a text in any accepted layout; parsed is null for anything else.
+
+    Layouts: year, month, day and time with ``-`` or ``/`` and parts of one or two digits; the same as digits alone
+    (9 to 14); ISO 8601. Only the last carries an offset, ``Z`` or ``+hh:mm``.
+    """
+    t = F.replace(trimmed(text), F.lit("Z"), F.lit("+00:00"))
+    loose = lambda g: F.when(g[7] == "", _moment(*(_number(g, k) for k in (1, 3, 4, 5, 6, 7))))
+    digits = lambda g: F.when(g[6] == "", _moment(*(_number(g, k) for k in range(1, 7))))
+    plain = F.coalesce(let(_groups(t, _LOOSE, 8), loose), let(_groups(t, _DIGITS, 7), digits))
+    at = F.struct(plain.alias("parsed"), F.lit(None).cast("string").alias("tz"))
+    return let(at, lambda p: F.when(p["parsed"].isNotNull(), p).otherwise(iso_time(t)))
+
+
+def parse_time(text: Column) -> Column:
+    """Local time of a text; see ``read_time``."""
+    return read_time(text)["parsed"]
+
+
+def offset_of(text: Column) -> Column:
+    """The UTC offset that a time text carries; see ``read_time``."""
+    return read_time(text)["tz"]
 
 
 def to_utc(local: Column, hours: float) -> Column:

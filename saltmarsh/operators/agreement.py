@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,16 +42,25 @@ def rate(counts: DataFrame) -> DataFrame:
     )
 
 
-def kappa(counts: DataFrame, weights: str = "linear") -> DataFrame:
-    """One row, kappa: null without rows or where no disagreement is expected."""
-    if weights not in ("linear", "quadratic"):
-        raise ValueError(f"weights must be linear or quadratic, not {weights}")
+WEIGHTS = ("linear", "quadratic")
+
+
+def kappas(counts: DataFrame) -> DataFrame:
+    """One row, linear and quadratic weighted kappa: null without rows or where no disagreement is expected."""
     d = F.abs(F.col("left_rank") - F.col("right_rank")) / F.lit(len(LABELS) - 1.0)
-    w = d if weights == "linear" else d * d
     total = F.nullif(F.sum("n").over(Window.partitionBy()), F.lit(0))
     expected = F.sum("n").over(Window.partitionBy("left_rank")) * F.sum("n").over(Window.partitionBy("right_rank")) / total
-    parts = dense(counts).select((w * F.col("n")).alias("seen"), (w * expected).alias("expected"))
-    return parts.agg((1 - F.sum("seen") / F.nullif(F.sum("expected"), F.lit(0.0))).alias("kappa"))
+    parts = dense(counts).select("n", d.alias("d"), expected.alias("expected"))
+    seen = lambda w, c: F.sum(w * F.col(c))
+    weight = {"linear": F.col("d"), "quadratic": F.col("d") * F.col("d")}
+    return parts.agg(*((1 - seen(w, "n") / F.nullif(seen(w, "expected"), F.lit(0.0))).alias(k) for k, w in weight.items()))
+
+
+def kappa(counts: DataFrame, weights: str = "linear") -> DataFrame:
+    """One row, kappa with one of WEIGHTS."""
+    if weights not in WEIGHTS:
+        raise ValueError(f"weights must be linear or quadratic, not {weights}")
+    return kappas(counts).select(F.col(weights).alias("kappa"))
 
 
 def differences(counts: DataFrame) -> DataFrame:
@@ -66,21 +78,39 @@ def mismatch_pairs(counts: DataFrame) -> DataFrame:
 
 
 def mismatches(df: DataFrame, left: str = LEFT, right: str = RIGHT) -> DataFrame:
-    """Rows with two known, different labels, with the signed and the absolute difference of their ranks."""
-    d = rank_of(F.col(right)) - rank_of(F.col(left))
+    """Rows with two known, different labels, with how far the left rank is above the right, and the absolute difference."""
+    d = rank_of(F.col(left)) - rank_of(F.col(right))
     return known(df, left, right).where(F.col(left) != F.col(right)).withColumn("class_rank_difference", d).withColumn("class_difference_abs", F.abs(d))
 
 
 def report(df: DataFrame, left: str = LEFT, right: str = RIGHT) -> str:
-    """The text report; only the counts reach the driver."""
-    counts = confusion(df, left, right).cache()
+    """The text report; only the counts, 16 rows at most, reach the driver."""
+    met = {(r.left_rank, r.right_rank): r.n for r in confusion(df, left, right).collect()}
+    counts = df.sparkSession.createDataFrame([(*k, n) for k, n in met.items()], "left_rank long, right_rank long, n long")
     number = lambda x: "nan" if x is None else f"{x:.4f}"
-    head, cells = rate(counts).first(), {(r.left_rank, r.right_rank): r.n for r in dense(counts).collect()}
-    lines = [f"rows = {head['rows']}", f"exact_agreement = {head['agreement']}", f"exact_agreement_rate = {number(head['rate'])}"]
-    lines += [f"{w}_weighted_kappa = {number(kappa(counts, w).first()['kappa'])}" for w in ("linear", "quadratic")]
-    lines += ["", f"confusion_matrix_rows={left} columns={right}", "\t".join(["", *LABELS])]
-    lines += ["\t".join([LABELS[i], *(str(cells[i, j]) for j in range(4))]) for i in range(4)]
-    lines += ["", "absolute_class_difference_counts", *(f"{r.difference}\t{r.n}" for r in differences(counts).collect()), "", "mismatch_pairs"]
-    lines += [f"{r.left}\t{r.right}\t{r.n}" for r in mismatch_pairs(counts).collect()] or ["none"]
-    counts.unpersist()
-    return "\n".join(lines)
+    head, by_weight = rate(counts).first(), kappas(counts).first()
+    matrix = pd.DataFrame([[met.get((i, j), 0) for j in range(4)] for i in range(4)], pd.Index(LABELS, name=left), pd.Index(LABELS, name=right))
+    apart = differences(counts).toPandas()
+    distances = pd.Series(apart["n"].to_numpy(), pd.Index(apart["difference"], name="class_difference_abs"))
+    pairs = mismatch_pairs(counts).toPandas()
+    sizes = pd.Series(pairs["n"].to_numpy(), pd.MultiIndex.from_frame(pairs[["left", "right"]], names=[left, right]))
+    parts = [
+        f"rows = {head['rows']}",
+        f"exact_agreement = {head['agreement']}",
+        f"exact_agreement_rate = {number(head['rate'])}",
+        *(f"{w}_weighted_kappa = {number(by_weight[w])}" for w in WEIGHTS),
+        f"\nconfusion_matrix_rows={left} columns={right}",
+        matrix.to_string(),
+        "\nabsolute_class_difference_counts",
+        distances.to_string(),
+        "\nmismatch_pairs",
+        sizes.to_string() if len(sizes) else "none",
+    ]
+    return "\n".join(parts)
+
+
+def write_report(df: DataFrame, path: str, left: str = LEFT, right: str = RIGHT) -> str:
+    """Write the report as UTF-8, without a newline at the end, to a file of the driver's, and return it."""
+    text = report(df, left, right)
+    Path(path).write_text(text, encoding="utf-8")
+    return text

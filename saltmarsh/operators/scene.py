@@ -1,7 +1,8 @@
 """Acquisition time and centre coordinates of a scene, by preference among what its XML members say.
 
-Input rows have file, open_error and members, each with name, parse_error, times (tag, parsed, tz, raw), lons, lats
-(tag, value, raw) and fields (tag, value), in archive order.
+``read`` makes candidates of what archives hold: file, open_error and members, each with name, parse_error, times
+(tag, parsed, tz, raw), lons, lats (tag, value, raw) and fields (tag, value), in archive order. The rest chooses
+among them.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saltmarsh.functions.timeops import iso_text, midpoint, trimmed
+from saltmarsh.functions.timeops import iso_text, let, midpoint, read_time, trimmed
 
 #: Parts of tag names, in order of preference.
 TIME_PRIORITY = (
@@ -24,7 +25,9 @@ TIME_HINTS = (
 LON_HINTS = ("centerlongitude", "center_lon", "centerlong", "longitude")
 LAT_HINTS = ("centerlatitude", "center_lat", "centerlat", "latitude")
 CORNERS = ("topleft", "topright", "bottomright", "bottomleft")
-NAME = r"_E([0-9.]+)_N([0-9.]+)_([0-9]{8})_"
+NAME = r"_E([0-9]+(?:\.[0-9]+)?)_N([0-9]+(?:\.[0-9]+)?)_([0-9]{8})_"
+#: A decimal number, digits parted by single underscores at most, or a word for infinity or no number.
+NUMBER = r"^[+-]?(D\.?D?|\.D)([eE][+-]?D)?$".replace("D?", "(D)?").replace("D", "[0-9](_?[0-9])*")
 
 
 def normal_tag(tag: Column) -> Column:
@@ -36,7 +39,50 @@ def hinted(tag: Column, hints: tuple[str, ...]) -> Column:
 
 
 def number(text: Column) -> Column:
-    return F.when(trimmed(text).rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i)(inf|infinity|nan)$"), trimmed(text)).try_cast("double")
+    """The number that a text spells; null for any other text."""
+    t = F.lower(trimmed(text))
+    plain = F.when(t.rlike(NUMBER), F.replace(t, F.lit("_"), F.lit(""))).when(t.rlike(r"^[+-]?inf(inity)?$"), t)
+    return F.when(t.rlike(r"^[+-]?nan$"), float("nan")).otherwise(plain.try_cast("double"))
+
+
+def read_elements(elements: Column) -> Column:
+    """struct(times, lons, lats, fields) of an XML member's elements (tag, text); blank texts are left out."""
+    def timed(f: Column) -> Column:
+        row = lambda t: F.struct(f["tag"].alias("tag"), t["parsed"].alias("parsed"), t["tz"].alias("tz"), f["value"].alias("raw"))
+        return let(read_time(f["value"]), row)
+
+    def numbered(f: Column) -> Column:
+        return F.struct(f["tag"].alias("tag"), number(f["value"]).alias("value"), f["value"].alias("raw"))
+
+    def candidates(fields: Column) -> Column:
+        of = lambda hints: F.filter(fields, lambda f: hinted(f["tag"], hints))
+        lons, lats = (F.filter(F.transform(of(h), numbered), lambda c: c["value"].isNotNull()) for h in (LON_HINTS, LAT_HINTS))
+        times = F.filter(F.transform(of(TIME_HINTS), timed), lambda c: c["parsed"].isNotNull())
+        return F.struct(times.alias("times"), lons.alias("lons"), lats.alias("lats"), fields.alias("fields"))
+
+    tidy = F.transform(elements, lambda e: F.struct(normal_tag(e["tag"]).alias("tag"), trimmed(e["text"]).alias("value")))
+    return let(F.filter(tidy, lambda f: f["value"] != ""), candidates)
+
+
+def read(archives: DataFrame) -> DataFrame:
+    """Candidates of every member up to the first that has times, longitudes and latitudes.
+
+    What follows such a member counts as not read: neither later members nor an error of the archive after it.
+    """
+
+    def member(m: Column) -> Column:
+        row = lambda r: F.struct(m["name"].alias("name"), m["parse_error"].alias("parse_error"), *(r[c].alias(c) for c in ("times", "lons", "lats", "fields")))
+        return let(read_elements(m["elements"]), row)
+
+    def upto(members: Column) -> Column:
+        whole = F.transform(members, lambda m: (F.size(m["times"]) > 0) & (F.size(m["lons"]) > 0) & (F.size(m["lats"]) > 0))
+        cut = lambda end: F.struct(
+            F.when(end > 0, None).otherwise(F.col("open_error")).alias("open_error"),
+            F.slice(members, F.lit(1), F.when(end > 0, end.cast("int")).otherwise(F.size(members))).alias("members"),
+        )
+        return let(F.array_position(whole, True), cut)
+
+    return archives.select("file", let(F.transform("members", member), upto).alias("r")).select("file", "r.open_error", "r.members")
 
 
 def filename_fields(file: Column) -> dict[str, Column]:
@@ -58,9 +104,11 @@ def choose_time(times: Column) -> Column:
 
 
 def average_time(times: Column) -> Column:
+    """Text of the middle of the first start and the first end, with their offset; null if either is missing or the offsets differ."""
     first = lambda key: F.get(F.filter(times, lambda t: F.contains(t["tag"], F.lit(key))), F.lit(0))
     start, end = first("start"), first("end")
-    return F.when(start["tz"].eqNullSafe(end["tz"]) & end.isNotNull(), midpoint(start["parsed"], end["parsed"]))
+    middle = F.concat(iso_text(midpoint(start["parsed"], end["parsed"])), F.coalesce(start["tz"], F.lit("")))
+    return F.when(start["tz"].eqNullSafe(end["tz"]) & end.isNotNull(), middle)
 
 
 def choose_coordinate(fields: Column, axis: str, fallback: Column) -> Column:
@@ -94,7 +142,8 @@ def status(open_error: Column, members: Column, best: Column) -> tuple[Column, C
     """Status and message. An error while no member has yet been read sticks, the last such error winning."""
     first_good = F.coalesce(F.nullif(F.array_position(F.transform(members, lambda m: m["parse_error"].isNull()), True), F.lit(0)) - 1, F.size(members))
     early = F.filter(F.slice(members, 1, first_good.cast("int")), lambda m: m["parse_error"].isNotNull())
-    stuck = F.concat(F.lit("xml_parse_failed: "), F.try_element_at(early, F.lit(-1))["parse_error"])
+    last = F.try_element_at(early, F.lit(-1))
+    stuck = F.concat(F.lit("xml_parse_failed: "), last["name"], F.lit(": "), last["parse_error"])
     kind = F.when(open_error.isNotNull(), "error").when(best.isNull() | (F.size(best["times"]) == 0) | stuck.isNotNull(), "warning").otherwise("ok")
     message = (
         F.when(open_error.isNotNull(), F.concat(F.lit("open_archive_failed: "), open_error))
@@ -106,30 +155,32 @@ def status(open_error: Column, members: Column, best: Column) -> tuple[Column, C
     return kind, message
 
 
-def scene_info(archives: DataFrame) -> DataFrame:
-    """The 16 columns of a scene; missing values are null."""
+INFO = (
+    "xml", "selected_time_tag", "selected_time", "selected_time_raw", "mid_time_from_start_end", "xml_lon_tag", "xml_center_lon", "xml_lat_tag",
+    "xml_center_lat", "coordinate_source", "status", "message",
+)
+
+
+def scene_info(read_rows: DataFrame) -> DataFrame:
+    """The 16 columns of a scene, from ``read`` rows; missing values are null."""
     names = filename_fields(F.col("file"))
-    rows = archives.select("file", "open_error", "members", *(c.alias(k) for k, c in names.items()))
-    rows = rows.withColumn("best", F.when(F.col("open_error").isNull(), best_member(F.col("members"))))
-    best = F.col("best")
-    rows = rows.withColumn("time", choose_time(best["times"]))
-    for axis, key in (("longitude", "lon"), ("latitude", "lat")):
-        chosen = choose_coordinate(best["fields"], axis, F.col(f"filename_center_{key}"))
-        rows = rows.withColumn(key, F.when(best.isNotNull(), chosen))
-    kind, message = status(F.col("open_error"), F.col("members"), best)
-    time = F.col("time")
-    both = F.when(F.col("lon.source") == F.col("lat.source"), F.col("lon.source")).otherwise(F.concat(F.col("lon.source"), F.lit("/"), F.col("lat.source")))
-    return rows.select(
-        "file", *names,
-        best["name"].alias("xml"),
-        time["tag"].alias("selected_time_tag"),
-        F.concat(iso_text(time["parsed"]), F.coalesce(time["tz"], F.lit(""))).alias("selected_time"),
-        time["raw"].alias("selected_time_raw"),
-        iso_text(average_time(best["times"])).alias("mid_time_from_start_end"),
-        F.col("lon.tag").alias("xml_lon_tag"), F.col("lon.value").alias("xml_center_lon"),
-        F.col("lat.tag").alias("xml_lat_tag"), F.col("lat.value").alias("xml_center_lat"),
-        both.alias("coordinate_source"), kind.alias("status"), message.alias("message"),
-    )
+
+    def described(best: Column, time: Column, lon: Column, lat: Column) -> Column:
+        kind, message = status(F.col("open_error"), F.col("members"), best)
+        both = F.when(lon["source"] == lat["source"], lon["source"]).otherwise(F.concat(lon["source"], F.lit("/"), lat["source"]))
+        values = (
+            best["name"], time["tag"], F.concat(iso_text(time["parsed"]), F.coalesce(time["tz"], F.lit(""))), time["raw"], average_time(best["times"]),
+            lon["tag"], lon["value"], lat["tag"], lat["value"], both, kind, message,
+        )
+        return F.struct(*(v.alias(n) for n, v in zip(INFO, values, strict=True)))
+
+    def placed(best: Column) -> Column:
+        coordinate = lambda axis, key: F.when(best.isNotNull(), choose_coordinate(best["fields"], axis, names[f"filename_center_{key}"]))
+        at = lambda time, lon: let(coordinate("latitude", "lat"), lambda lat: described(best, time, lon, lat))
+        return let(choose_time(best["times"]), lambda time: let(coordinate("longitude", "lon"), lambda lon: at(time, lon)))
+
+    best = F.when(F.col("open_error").isNull(), best_member(F.col("members")))
+    return read_rows.select("file", *(c.alias(k) for k, c in names.items()), let(best, placed).alias("info")).select("file", *names, "info.*")
 
 
 def status_counts(info: DataFrame) -> DataFrame:

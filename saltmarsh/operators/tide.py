@@ -1,14 +1,14 @@
 """Astronomical tide heights from a grid of harmonic constants.
 
-``grid``: constituent, lat_idx, lon_idx, lat, lon, amplitude, phase (degrees). ``constituents``: name,
-speed_deg_per_hour, and optionally argument_deg, the phase at the epoch; they are few and broadcast.
-Heights are ``sum(amplitude * cos(speed * t + argument - phase))``, without nodal corrections. Interpolation is on
-``amplitude * cos(phase)`` and ``amplitude * sin(phase)``, as phases wrap at 360 degrees.
+``grid``: constituent, lat_idx, lon_idx, lat, lon, amplitude, phase (degrees), one row a constituent and cell.
+``constituents``: name, speed_deg_per_hour, and optionally argument_deg, the phase at the epoch; they are few and broadcast.
+Heights are ``sum(f * amplitude * cos(speed * t + argument + u - phase))``; f and u are 1 and 0 unless nodal corrections
+are asked for. Interpolation is on ``amplitude * cos(phase)`` and ``amplitude * sin(phase)``, as phases wrap at 360 degrees.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saltmarsh.functions.classify import finite
@@ -16,7 +16,24 @@ from saltmarsh.functions.geo import haversine_km
 
 BOXES = (0.25, 0.5, 1.0)
 LEAST_AMPLITUDE = 0.001
-TILE_DEGREES = 1.0
+#: Coordinates beyond this aren't on any grid.
+FAR = 1e6
+#: Fixed values (Schureman 1958, Pugh 1987): f = a + b cos N, u = c sin N, for the longitude N of the moon's node.
+NODAL = {
+    "MM": (1.0, -0.130, 0.0),
+    "MF": (1.043, 0.414, -23.7),
+    "Q1": (1.009, 0.187, 10.8),
+    "O1": (1.009, 0.187, 10.8),
+    "K1": (1.006, 0.115, -8.9),
+    "2N2": (1.0, -0.037, -2.1),
+    "MU2": (1.0, -0.037, -2.1),
+    "N2": (1.0, -0.037, -2.1),
+    "NU2": (1.0, -0.037, -2.1),
+    "M2": (1.0, -0.037, -2.1),
+    "K2": (1.024, 0.286, -17.7),
+}
+#: N at the start of 1992 and its motion a day, in degrees.
+NODE_AT_EPOCH, NODE_A_DAY = 279.802, -0.0529538
 
 
 def valid_cells(grid: DataFrame, constituent: str = "M2") -> DataFrame:
@@ -24,104 +41,161 @@ def valid_cells(grid: DataFrame, constituent: str = "M2") -> DataFrame:
     return grid.where((F.col("constituent") == constituent) & fit).select("lat_idx", "lon_idx", "lat", "lon")
 
 
-def _tile(c: Column) -> Column:
-    return F.floor(c / TILE_DEGREES)
+def on_earth(lon: Column, lat: Column) -> Column:
+    return finite(lon) & finite(lat) & (F.abs(lon) < FAR) & (F.abs(lat) < FAR)
 
 
 def nearest_valid(scenes: DataFrame, cells: DataFrame, max_degrees: float = 2.0, id_col: str = "id") -> DataFrame:
     """id, cell_lat_idx, cell_lon_idx, cell_lon, cell_lat, km: the nearest cell of the smallest box that holds one.
 
     Boxes of BOXES and max_degrees are tried in turn, so radii under 1 degree don't limit the search. Ties go to the
-    first row, then column. An equi-join on tiles with the box as residual condition; ``min_by`` combines before the
-    shuffle. Scenes without any cell are left out. Longitudes don't wrap.
+    first row, then column. Each box is an equi-join on tiles as wide as its radius with the box as residual condition,
+    and only scenes without a cell so far open their tiles; the others pass through under keys of their own that no
+    tile has. ``min_by`` combines before the shuffle. Scenes without any cell are left out, and scenes that share an
+    id are one scene only if they share the place. Longitudes don't wrap.
     """
-    radius = max(BOXES[-1], max_degrees)
-    span = lambda c: F.sequence(_tile(c - radius), _tile(c + radius))
-    s = scenes.select(F.col(id_col).alias("id"), F.col("lon").alias("s_lon"), F.col("lat").alias("s_lat")).where(finite(F.col("s_lon")) & finite(F.col("s_lat")))
-    s = s.withColumn("tile_lat", F.explode(span(F.col("s_lat")))).withColumn("tile_lon", F.explode(span(F.col("s_lon"))))
-    c = cells.withColumn("tile_lat", _tile(F.col("lat"))).withColumn("tile_lon", _tile(F.col("lon")))
-    far = F.greatest(F.abs(F.col("lat") - F.col("s_lat")), F.abs(F.col("lon") - F.col("s_lon")))
-    box = F.when(far <= BOXES[0], 0)
-    for k, size in enumerate([*BOXES[1:], max_degrees], 1):
-        box = box.when(far <= size, k)
-    met = s.join(c, ["tile_lat", "tile_lon"]).withColumn("box", box).where(F.col("box").isNotNull())
-    met = met.withColumn("km", haversine_km(F.col("s_lon"), F.col("s_lat"), F.col("lon"), F.col("lat")))
-    best = F.min_by(F.struct("lat_idx", "lon_idx", "lon", "lat", "km"), F.struct("box", "km", "lat_idx", "lon_idx")).alias("b")
-    return met.groupBy("id").agg(best).select(
-        F.col("id").alias(id_col), *(F.col(f"b.{c}").alias(f"cell_{c}" if c != "km" else c) for c in ("lat_idx", "lon_idx", "lon", "lat", "km"))
-    )
+    lon, lat = F.col("s_lon"), F.col("s_lat")
+    s = scenes.select(F.col(id_col).alias("id"), F.col("lon").alias("s_lon"), F.col("lat").alias("s_lat")).where(on_earth(lon, lat)).distinct()
+    cell = "struct<lat_idx: bigint, lon_idx: bigint, lon: double, lat: double, km: double>"
+    s = s.withColumn("best", F.lit(None).cast(cell))
+    found = F.struct(F.col("lat_idx").cast("long").alias("lat_idx"), F.col("lon_idx").cast("long").alias("lon_idx"), "lon", "lat", haversine_km(lon, lat, F.col("lon"), F.col("lat")).alias("km"))
+    for size in (*BOXES, *([max_degrees] if max_degrees > BOXES[-1] else [])):
+        tile = lambda c: F.floor(c / size)  # noqa: B023, E731
+        span = lambda c: F.sequence(tile(c - size), tile(c + size))  # noqa: B023, E731
+        around = F.flatten(F.transform(span(lat), lambda y: F.transform(span(lon), lambda x: F.struct(y.alias("y"), x.alias("x")))))  # noqa: B023
+        aside = F.array(F.struct((-F.pmod(F.xxhash64("id"), F.lit(10**9)) - 10**9).alias("y"), F.lit(0).cast("long").alias("x")))
+        opened = s.withColumn("tile", F.explode(F.when(F.col("best").isNull(), around).otherwise(aside)))
+        tiled = cells.select("*", F.struct(tile(F.col("lat")).alias("y"), tile(F.col("lon")).alias("x")).alias("tile"))
+        inside = F.greatest(F.abs(F.col("lat") - lat), F.abs(F.col("lon") - lon)) <= size
+        met = opened.join(tiled, "tile", "left").withColumn("met", F.when(inside, found))
+        closeness = F.when(F.col("met").isNotNull(), F.struct("met.km", "met.lat_idx", "met.lon_idx"))
+        s = met.groupBy("id", "s_lon", "s_lat").agg(
+            F.coalesce(F.max("best"), F.min_by("met", closeness)).alias("best")
+        )
+    names = {"lat_idx": "cell_lat_idx", "lon_idx": "cell_lon_idx", "lon": "cell_lon", "lat": "cell_lat", "km": "km"}
+    return s.where("best IS NOT NULL").select(F.col("id").alias(id_col), *(F.col(f"best.{k}").alias(v) for k, v in names.items()))
 
 
-def sample(scenes: DataFrame, grid: DataFrame, step: float, lon0: float, lat0: float, linear: bool = True, id_col: str = "id") -> DataFrame:
-    """id, constituent, re, im: harmonic constants at each scene of a regular grid, without extrapolation.
+def wave(re: Column, im: Column, speed: Column, days: Column, argument: Column | float = 0.0, constituent: Column | None = None) -> Column:
+    """Height of one constituent, from ``amplitude * cos(phase)`` and ``amplitude * sin(phase)``.
 
-    Linear sampling needs every corner of positive weight, or gives no row. Scenes carry their corners to an
-    equi-join on cell indexes.
+    With the constituent's name, nodal corrections apply; those not in NODAL have none.
     """
-    x, y = (F.col("lon") - lon0) / step, (F.col("lat") - lat0) / step
-    if linear:
-        i, j = F.floor(x), F.floor(y)
-        u, v = x - i, y - j
-        corner = lambda di, dj: F.struct(
-            (i + di).cast("long").alias("lon_idx"), (j + dj).cast("long").alias("lat_idx"), ((u if di else 1 - u) * (v if dj else 1 - v)).alias("w")
-        )
-        corners = F.array(*(corner(di, dj) for di in (0, 1) for dj in (0, 1)))
-    else:
-        corners = F.array(F.struct(F.floor(x + 0.5).cast("long").alias("lon_idx"), F.floor(y + 0.5).cast("long").alias("lat_idx"), F.lit(1.0).alias("w")))
-    corners = F.filter(corners, lambda c: c["w"] > 0)
-    s = scenes.select(F.col(id_col).alias("id"), F.size(corners).alias("wanted"), F.explode(corners).alias("c")).select("id", "wanted", "c.*")
-    g = grid.where(finite(F.col("amplitude")) & finite(F.col("phase"))).select(
+    angle = speed * 24 * days + argument
+    if constituent is None:
+        return re * F.cos(F.radians(angle)) + im * F.sin(F.radians(angle))
+    node = F.radians(NODE_AT_EPOCH + NODE_A_DAY * days)
+    table = F.create_map(*(x for k, v in NODAL.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
+    known = F.coalesce(F.try_element_at(table, F.upper(constituent)), F.array(F.lit(1.0), F.lit(0.0), F.lit(0.0)))
+    f = F.get(known, F.lit(0)) + F.get(known, F.lit(1)) * F.cos(node)
+    moved = F.radians(angle + F.get(known, F.lit(2)) * F.sin(node))
+    return f * (re * F.cos(moved) + im * F.sin(moved))
+
+
+def _constants(grid: DataFrame) -> DataFrame:
+    return grid.where(finite(F.col("amplitude")) & finite(F.col("phase"))).select(
         "constituent",
         F.col("lat_idx").cast("long").alias("lat_idx"),
         F.col("lon_idx").cast("long").alias("lon_idx"),
         (F.col("amplitude") * F.cos(F.radians("phase"))).alias("re"),
         (F.col("amplitude") * F.sin(F.radians("phase"))).alias("im"),
     )
-    met = s.join(g, ["lat_idx", "lon_idx"]).groupBy("id", "constituent").agg(
+
+
+def _corners(x: Column, y: Column) -> Column:
+    """The cells around a place in grid steps: w, the linear weight, and near, whether it is the nearest."""
+    i, j = F.floor(x), F.floor(y)
+    u, v = x - i, y - j
+    corner = lambda di, dj: F.struct(
+        (i + di).cast("long").alias("lon_idx"),
+        (j + dj).cast("long").alias("lat_idx"),
+        ((u if di else 1 - u) * (v if dj else 1 - v)).alias("w"),
+        ((i + di == F.floor(x + 0.5)) & (j + dj == F.floor(y + 0.5))).alias("near"),
+    )
+    return F.array(*(corner(di, dj) for di in (0, 1) for dj in (0, 1)))
+
+
+def sample(scenes: DataFrame, grid: DataFrame, step: float, lon0: float, lat0: float, linear: bool = True, id_col: str = "id") -> DataFrame:
+    """id, constituent, re, im: harmonic constants at each scene of a regular grid, without extrapolation.
+
+    Linear sampling needs every corner of positive weight, or gives no row. Scenes carry their corners to an
+    equi-join on cell indexes. Rows that share an id are one scene: ids are keys here.
+    """
+    x, y = (F.col("lon") - lon0) / step, (F.col("lat") - lat0) / step
+    corners = F.filter(_corners(x, y), (lambda c: c["w"] > 0) if linear else (lambda c: c["near"]))
+    weight = F.col("c.w") if linear else F.lit(1.0)
+    s = scenes.where(on_earth(F.col("lon"), F.col("lat"))).select(F.col(id_col).alias("id"), "lon", "lat").distinct()
+    s = s.select("id", F.size(corners).alias("wanted"), F.explode(corners).alias("c")).select("id", "wanted", "c.lat_idx", "c.lon_idx", weight.alias("w"))
+    met = s.join(_constants(grid), ["lat_idx", "lon_idx"]).groupBy("id", "constituent").agg(
         F.sum(F.col("w") * F.col("re")).alias("re"), F.sum(F.col("w") * F.col("im")).alias("im"), F.count(F.lit(1)).alias("n"), F.max("wanted").alias("wanted")
     )
     return met.where("n = wanted").select(F.col("id").alias(id_col), "constituent", "re", "im")
 
 
-def predict(scenes: DataFrame, constants: DataFrame, constituents: DataFrame, id_col: str = "id") -> DataFrame:
+def _speeds(constituents: DataFrame) -> DataFrame:
+    """The constituents with their number; a window over one partition, as they are some dozens."""
+    argument = F.col("argument_deg") if "argument_deg" in constituents.columns else F.lit(0.0)
+    n = F.count(F.lit(1)).over(Window.partitionBy())
+    return F.broadcast(constituents.select(F.col("name").alias("constituent"), F.col("speed_deg_per_hour").alias("speed"), argument.alias("argument"), n.alias("n_all")))
+
+
+def predict(scenes: DataFrame, constants: DataFrame, constituents: DataFrame, id_col: str = "id", nodal: bool = False) -> DataFrame:
     """id, height, from scenes (id, days since the epoch) and sampled constants; null unless all constituents are there."""
-    speeds = constituents.select(
-        F.col("name").alias("constituent"), "speed_deg_per_hour", (F.col("argument_deg") if "argument_deg" in constituents.columns else F.lit(0.0)).alias("argument")
-    )
-    n = constituents.count()
-    angle = F.radians(F.col("speed_deg_per_hour") * 24 * F.col("days") + F.col("argument"))
-    wave = F.col("re") * F.cos(angle) + F.col("im") * F.sin(angle)
-    met = constants.join(F.broadcast(speeds), "constituent").join(scenes.select(id_col, "days"), id_col)
-    return met.groupBy(id_col).agg(F.when(F.count(F.lit(1)) == n, F.sum(wave)).alias("height"))
+    h = wave(F.col("re"), F.col("im"), F.col("speed"), F.col("days"), F.col("argument"), F.col("constituent") if nodal else None)
+    met = constants.join(_speeds(constituents), "constituent").join(scenes.select(id_col, "days").distinct(), id_col)
+    return met.groupBy(id_col).agg(F.when(F.count(F.lit(1)) == F.max("n_all"), F.sum(h)).alias("height"))
+
+
+#: What ``cascade`` adds.
+CASCADE = ("tide_ocean_m", "tide_interpolation", "tide_query_lon", "tide_query_lat", "tide_point_source", "tide_point_distance_km")
 
 
-def cascade(scenes: DataFrame, grid: DataFrame, constituents: DataFrame, step: float, lon0: float, lat0: float, max_degrees: float = 2.0, id_col: str = "id") -> DataFrame:
-    """Scenes (id, lon, lat, days) with tide_ocean_m, tide_interpolation, query point, source and distance.
+def cascade(scenes: DataFrame, grid: DataFrame, constituents: DataFrame, step: float, lon0: float, lat0: float, max_degrees: float = 2.0, nodal: bool = False) -> DataFrame:
+    """Scenes (lon, lat, days and any other columns) with CASCADE; columns of those names give way.
 
-    Linear first, then the nearest cell, then the nearest valid cell, each for the scenes left without a height.
-    A scene that no step resolves is marked nearest, at its own centre, with null height.
+    Linear first, then the nearest cell, then the nearest valid cell, each for the scenes left without a height. Heights
+    are made once for each distinct (lon, lat, days), whatever ids the scenes have or share, so repeated rows have one
+    height. One pass over the grid serves linear and nearest. A scene that no step resolves, such as one with a null or
+    non-finite coordinate, is marked nearest, at its own centre, with null height.
     """
-    def heights(points: DataFrame, linear: bool, name: str) -> DataFrame:
-        return predict(points, sample(points, grid, step, lon0, lat0, linear, id_col), constituents, id_col).withColumnRenamed("height", name)
-
-    a = scenes.join(heights(scenes, True, "h1"), id_col, "left")
-    left = a.where("h1 IS NULL").select(id_col, "lon", "lat", "days")
-    b = left.join(heights(left, False, "h2"), id_col, "left")
-    rest = b.where("h2 IS NULL").select(id_col, "lon", "lat", "days")
-    near = nearest_valid(rest, valid_cells(grid), max_degrees, id_col)
-    moved = rest.select(id_col, "days").join(near, id_col).withColumnsRenamed({"cell_lon": "lon", "cell_lat": "lat"})
-    c = moved.select(id_col, F.col("lon").alias("near_lon"), F.col("lat").alias("near_lat"), "km").join(heights(moved, False, "h3"), id_col, "left")
+    kept = [c for c in scenes.columns if c not in CASCADE]
+    place = F.struct("lon", "lat", "days").alias("place")
+    every = scenes.select(F.struct(*kept).alias("scene"), place)
+    at = lambda c: F.col("place").getField(c)
+    places = every.select("place").distinct().where(on_earth(at("lon"), at("lat")))
+    corners = F.filter(_corners((at("lon") - lon0) / step, (at("lat") - lat0) / step), lambda c: (c["w"] > 0) | c["near"])
+    open_ = places.select("place", F.size(F.filter(corners, lambda c: c["w"] > 0)).alias("wanted"), F.explode(corners).alias("c")).select("place", "wanted", "c.*")
+    known, speeds = _constants(grid), _speeds(constituents)
+    h = wave(F.col("re"), F.col("im"), F.col("speed"), at("days"), F.col("argument"), F.col("constituent") if nodal else None)
+    weighs = F.col("w") > 0
+    both = open_.join(known, ["lat_idx", "lon_idx"]).join(speeds, "constituent").groupBy("place").agg(
+        F.when(F.count_if(weighs) == F.max(F.col("wanted") * F.col("n_all")), F.sum(F.when(weighs, F.col("w") * h))).alias("h1"),
+        F.when(F.count_if(F.col("near")) == F.max("n_all"), F.sum(F.when(F.col("near"), h))).alias("h2"),
+    )
+    tried = places.join(both, "place", "left")
+    rest = tried.where("h1 IS NULL AND h2 IS NULL").select("place", "place.lon", "place.lat")
+    near = nearest_valid(rest, valid_cells(grid), max_degrees, "place")
+    moved = near.select("place", "km", F.col("cell_lon").alias("near_lon"), F.col("cell_lat").alias("near_lat"), F.col("cell_lat_idx").alias("lat_idx"), F.col("cell_lon_idx").alias("lon_idx"))
+    met = moved.join(known, ["lat_idx", "lon_idx"], "left").join(speeds, "constituent", "left")
+    third = met.groupBy("place", "km", "near_lon", "near_lat").agg(F.when(F.count("speed") == F.max("n_all"), F.sum(h)).alias("h3"))
     found = F.col("near_lon").isNotNull()
     return (
-        a.join(b.select(id_col, "h2"), id_col, "left")
-        .join(c, id_col, "left")
+        every.join(both, "place", "left")
+        .join(third, "place", "left")
         .select(
-            *scenes.columns,
+            "scene.*",
             F.coalesce("h1", "h2", "h3").alias("tide_ocean_m"),
             F.when(F.col("h1").isNotNull(), "linear").when(found, "nearest_valid_grid").otherwise("nearest").alias("tide_interpolation"),
-            F.coalesce("near_lon", "lon").alias("tide_query_lon"),
-            F.coalesce("near_lat", "lat").alias("tide_query_lat"),
+            F.coalesce("near_lon", at("lon")).alias("tide_query_lon"),
+            F.coalesce("near_lat", at("lat")).alias("tide_query_lat"),
             F.when(found, "nearest_valid_fes_grid").otherwise("scene_center").alias("tide_point_source"),
             F.coalesce("km", F.lit(0.0)).alias("tide_point_distance_km"),
         )
     )
+
+
+def summary(heights: DataFrame, height: str = "tide_ocean_m") -> DataFrame:
+    """One row: n_valid, n_missing, least and most; infinite heights are missing but are the least or the most."""
+    h = F.nanvl(F.col(height), F.lit(None).cast("double"))
+    fit = F.count_if(finite(F.col(height)))
+    return heights.agg(fit.alias("n_valid"), (F.count(F.lit(1)) - fit).alias("n_missing"), F.min(h).alias("least"), F.max(h).alias("most"))

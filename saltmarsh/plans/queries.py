@@ -1,7 +1,7 @@
 """The registered queries of the tide and scene operators, with their DuckDB SQL.
 
 The test tables hold no scenes, so each operator runs over whole stand-in tables: events as acquisition times,
-customers as places, orders as heights.
+customers as places or scenes, orders as heights.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from saltmarsh.functions import classify, geo, timeops
 from saltmarsh.operators import agreement, scene, tide
+from saltmarsh.operators.scene_tide import scene_tide as assemble
 from saltmarsh.sources.tables import not_null
 
 #: name, speed in degrees an hour, amplitude, phase of the inline constituents.
@@ -32,10 +33,11 @@ def _days(spark: SparkSession, d: str) -> DataFrame:
 
 def _heights(spark: SparkSession, d: str) -> DataFrame:
     """Height by event; one event in 97 has none."""
-    wave = lambda c: F.lit(c[2]) * F.cos(F.radians(F.lit(c[1]) * 24.0 * F.col("days") - c[3]))
-    h = wave(CONSTITUENTS[0])
-    for c in CONSTITUENTS[1:]:
-        h = h + wave(c)
+    part = lambda c, turn: F.lit(c[2]) * turn(F.radians(F.lit(c[3])))
+    waves = [tide.wave(part(c, F.cos), part(c, F.sin), F.lit(c[1]), F.col("days")) for c in CONSTITUENTS]
+    h = waves[0]
+    for w in waves[1:]:
+        h = h + w
     return _days(spark, d).select("event_id", F.when(F.col("event_id") % 97 == 0, float("nan")).otherwise(F.round(h, 6)).alias("height"))
 
 
@@ -70,8 +72,7 @@ def tide_classes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def height_range(spark: SparkSession, d: str) -> DataFrame:
-    h = F.nanvl("height", F.lit(None).cast("double"))
-    return _heights(spark, d).agg(F.count(h).alias("n_valid"), (F.count(F.lit(1)) - F.count(h)).alias("n_missing"), F.min(h).alias("least"), F.max(h).alias("most"))
+    return tide.summary(_heights(spark, d), "height")
 
 
 def confusion_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -87,9 +88,7 @@ def agreement_rate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def kappa_linear_quadratic(spark: SparkSession, d: str) -> DataFrame:
-    counts = agreement.confusion(_classes(spark, d))
-    both = [agreement.kappa(counts, w).select(F.round("kappa", 9).alias(w)) for w in ("linear", "quadratic")]
-    return both[0].crossJoin(F.broadcast(both[1]))
+    return agreement.kappas(agreement.confusion(_classes(spark, d))).select(*(F.round(w, 9).alias(w) for w in agreement.WEIGHTS))
 
 
 def abs_diff_hist(spark: SparkSession, d: str) -> DataFrame:
@@ -138,10 +137,34 @@ def bilinear_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fallback_cascade(spark: SparkSession, d: str) -> DataFrame:
-    scenes = _scenes(spark, d).withColumn("days", 11_688.0 + F.col("id") / 24.0)
-    constituents = spark.createDataFrame([(n, s) for n, s, *_ in CONSTITUENTS], "name string, speed_deg_per_hour double")
-    out = tide.cascade(scenes, _grid(spark), constituents, GRID["step"], GRID["lon0"], GRID["lat0"])
-    return out.select("id", F.round("tide_ocean_m", 6).alias("tide_ocean_m"), "tide_interpolation", "tide_point_source", F.round("tide_point_distance_km", 6).alias("km"))
+    """Every tenth scene stands there twice, and once more elsewhere under the same id."""
+    once = _scenes(spark, d)
+    again = once.where("id % 10 = 0")
+    scenes = once.union(again).union(again.withColumn("lon", F.col("lon") - 0.5)).withColumn("days", 11_688.0 + F.col("id") / 24.0)
+    out = tide.cascade(scenes, _grid(spark), _constituents(spark), GRID["step"], GRID["lon0"], GRID["lat0"])
+    return out.select(
+        "id", F.round("tide_ocean_m", 6).alias("tide_ocean_m"), "tide_interpolation", "tide_point_source", F.round("tide_point_distance_km", 6).alias("km"),
+        F.round("tide_query_lon", 6).alias("tide_query_lon"), F.round("tide_query_lat", 6).alias("tide_query_lat"),
+    )
+
+
+def _constituents(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(n, s) for n, s, *_ in CONSTITUENTS], "name string, speed_deg_per_hour double")
+
+
+def scene_tide(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as scenes, each with a time of its own; some have no time, a blank one, or no centre."""
+    k = F.col("id")
+    text = F.date_format(F.timestamp_add("SECOND", k * 3601, F.lit("2024-01-01").cast("timestamp_ntz")), "yyyy-MM-dd HH:mm:ss")
+    info = _scenes(spark, d).select(
+        F.concat(F.lit("s"), k.cast("string")).alias("file"),
+        F.when(k % 11 == 0, None).when(k % 13 == 0, "  ").otherwise(text).alias("selected_time"),
+        F.when(k % 17 != 0, F.col("lon")).alias("xml_center_lon"),
+        F.col("lat").alias("xml_center_lat"),
+    )
+    out = assemble(info, _grid(spark), _constituents(spark), GRID["step"], GRID["lon0"], GRID["lat0"])
+    double = [f.name for f in out.schema if f.dataType.simpleString() == "double"]
+    return out.withColumns({c: F.round(c, 5) for c in double})
 
 
 def multi_format_time(spark: SparkSession, d: str) -> DataFrame:
@@ -189,6 +212,26 @@ def _members(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _elements(spark: SparkSession, d: str) -> DataFrame:
+    """Each lineitem as an XML member with tags in a namespace, texts with blanks around them, and texts that say nothing."""
+    k = F.col("l_partkey") % 7
+    tag = F.get(F.array(*(F.lit(x) for x in ("{u:x}CenterTime", "StartTime", "{u}TopLeftLongitude", "CenterLatitude", "Receiver", "center_lon", "Center_Lat"))), k.cast("int"))
+    time = F.date_format("l_shipdate", "yyyy/M/d H:m:s")
+    text = F.when(F.col("l_suppkey") % 5 == 0, "none").when(k < 2, time).otherwise(F.col("l_quantity").cast("string"))
+    element = F.struct(tag.alias("tag"), F.concat(F.lit(" \n"), text, F.lit("\t")).alias("text"))
+    blank = F.struct(F.lit("starttime").alias("tag"), F.lit(" \n").alias("text"))
+    return _read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.array(blank, element).alias("elements"))
+
+
+def hint_candidates(spark: SparkSession, d: str) -> DataFrame:
+    rows = _elements(spark, d).select("l_orderkey", "l_linenumber", scene.read_elements(F.col("elements")).alias("r"))
+    first = lambda c: F.get(f"r.{c}", F.lit(0))
+    return rows.select(
+        "l_orderkey", "l_linenumber", F.size("r.fields").alias("n_fields"), F.get("r.fields", F.lit(0))["tag"].alias("tag"),
+        first("times")["parsed"].alias("time"), first("lons")["value"].alias("lon"), first("lats")["value"].alias("lat"),
+    )
+
+
 def best_member(spark: SparkSession, d: str) -> DataFrame:
     best = scene.best_member(F.col("members"))
     return _members(spark, d).select("file", best.alias("b")).select("file", F.col("b.name").alias("name"), F.get("b.times", F.lit(0))["tag"].alias("tag"))
@@ -220,8 +263,8 @@ def not_null_filter(spark: SparkSession, d: str) -> DataFrame:
 
 _ALL = (
     utc_days, tide_height, quantile_cuts, quantile_class, threshold_class, tide_classes, height_range, confusion_counts, confusion_dense, agreement_rate,
-    kappa_linear_quadratic, abs_diff_hist, mismatch_pairs, mismatch_rows, haversine, nearest_valid_cell, bilinear_sample, fallback_cascade,
-    multi_format_time, time_midpoint, filename_fields, best_member, choose_time, choose_coordinate, scene_status, status_summary, not_null_filter,
+    kappa_linear_quadratic, abs_diff_hist, mismatch_pairs, mismatch_rows, haversine, nearest_valid_cell, bilinear_sample, fallback_cascade, scene_tide,
+    multi_format_time, time_midpoint, filename_fields, hint_candidates, best_member, choose_time, choose_coordinate, scene_status, status_summary, not_null_filter,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
@@ -250,11 +293,23 @@ wanted AS (SELECT id, count(*) AS wanted FROM corners WHERE w > 0 GROUP BY id),
 sampled AS (SELECT c.id, constituent, speed, sum(w * amplitude * cos(radians(phase))) AS re, sum(w * amplitude * sin(radians(phase))) AS im, count(*) AS n
   FROM corners c JOIN grid g ON c.lat_idx = g.lat_idx AND c.lon_idx = g.lon_idx WHERE w > 0 GROUP BY c.id, constituent, speed),
 linear AS (SELECT s.* FROM sampled s JOIN wanted w ON s.id = w.id AND n = wanted)"""
-_ANGLE = "radians(speed * 24 * (11688.0::DOUBLE + id / 24.0::DOUBLE))"
+_CASCADE = """h1 AS (SELECT l.id, sum(re * cos(radians(speed * 24 * days)) + im * sin(radians(speed * 24 * days))) AS h FROM linear l JOIN scenes s ON l.id = s.id GROUP BY l.id HAVING count(*) = 4),
+h2 AS (SELECT id, sum(amplitude * cos(radians(speed * 24 * days - phase))) AS h FROM scenes JOIN grid ON lon_idx = floor((s_lon - 117) / 0.25::DOUBLE + 0.5::DOUBLE) AND lat_idx = floor((s_lat - 33) / 0.25::DOUBLE + 0.5::DOUBLE) GROUP BY id HAVING count(*) = 4),
+h3 AS (SELECT near.id, max(km) AS km, max(near.lon) AS lon, max(near.lat) AS lat, sum(amplitude * cos(radians(speed * 24 * days - phase))) AS h
+  FROM near JOIN scenes s ON near.id = s.id JOIN grid ON near.r = 1 AND near.lat_idx = grid.lat_idx AND near.lon_idx = grid.lon_idx GROUP BY near.id),
+cascade AS (SELECT s.*, coalesce(h1.h, h2.h, h3.h) AS h, h1.h IS NOT NULL AS by_linear, h1.h IS NULL AND h2.h IS NULL AND h3.km IS NOT NULL AS moved, h3.km, h3.lon AS near_lon, h3.lat AS near_lat
+  FROM scenes s LEFT JOIN h1 ON s.id = h1.id LEFT JOIN h2 ON s.id = h2.id LEFT JOIN h3 ON s.id = h3.id)"""
+_CASCADED = """CASE WHEN by_linear THEN 'linear' WHEN moved THEN 'nearest_valid_grid' ELSE 'nearest' END AS tide_interpolation, CASE WHEN moved THEN 'nearest_valid_fes_grid' ELSE 'scene_center' END AS tide_point_source"""
+_PLACES = """places AS (SELECT *, 11688.0::DOUBLE + id / 24.0::DOUBLE AS days FROM (SELECT c_custkey AS id, 0.0::DOUBLE AS shift FROM customer UNION ALL SELECT c_custkey, unnest([0.0::DOUBLE, 0.5::DOUBLE]) FROM customer WHERE c_custkey % 10 = 0)),
+named AS (SELECT row_number() OVER () AS row, id AS name, days, 116.53::DOUBLE + (id * 37 % 1103) / 100.0::DOUBLE - shift AS s_lon, 32.51::DOUBLE + (id * 53 % 997) / 100.0::DOUBLE AS s_lat FROM places),
+scenes AS (SELECT row AS id, name, days, s_lon, s_lat FROM named)"""
+_TIMED = """scenes AS (SELECT *, date_diff('microsecond', TIMESTAMP '1992-01-01', local - INTERVAL 8 HOUR) / 86400e6 AS days FROM (
+  SELECT c_custkey AS id, 116.53::DOUBLE + (c_custkey * 37 % 1103) / 100.0::DOUBLE AS s_lon, 32.51::DOUBLE + (c_custkey * 53 % 997) / 100.0::DOUBLE AS s_lat,
+    TIMESTAMP '2024-01-01' + to_seconds(c_custkey * 3601) AS local FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 13 <> 0 AND c_custkey % 17 <> 0))"""
 _MEMBERS = """m AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS k,
   ['starttime', 'endtime', 'centertime', 'receivetime_end'][l_partkey % 4 + 1] AS tag, l_suppkey % 3 <> 0 AS timed, l_partkey % 5 = 0 AS bad FROM lineitem)"""
 _STATUS = f"""{_MEMBERS}, f AS (SELECT l_orderkey, min(k) FILTER (WHERE NOT bad) AS first_good, bool_or(timed AND NOT bad) AS timed FROM m GROUP BY l_orderkey),
-e AS (SELECT f.l_orderkey, first_good, f.timed, arg_max('bad ' || l_linenumber, k) FILTER (WHERE bad AND (first_good IS NULL OR k < first_good)) AS stuck FROM m JOIN f ON m.l_orderkey = f.l_orderkey GROUP BY ALL),
+e AS (SELECT f.l_orderkey, first_good, f.timed, arg_max(l_linenumber || '/' || l_partkey || '/' || l_suppkey || '/' || l_quantity || ': bad ' || l_linenumber, k) FILTER (WHERE bad AND (first_good IS NULL OR k < first_good)) AS stuck FROM m JOIN f ON m.l_orderkey = f.l_orderkey GROUP BY ALL),
 s AS (SELECT 'o' || l_orderkey AS file,
   CASE WHEN l_orderkey % 13 = 0 THEN 'error' WHEN first_good IS NULL OR NOT timed OR stuck IS NOT NULL THEN 'warning' ELSE 'ok' END AS status,
   CASE WHEN l_orderkey % 13 = 0 THEN 'open_archive_failed: cut short' WHEN first_good IS NULL THEN 'xml_parse_failed: ' || stuck WHEN NOT timed THEN 'no_time_candidate' ELSE coalesce('xml_parse_failed: ' || stuck, '') END AS message FROM e)"""
@@ -275,19 +330,24 @@ c AS (SELECT abs(l.i - r.j) / 3.0::DOUBLE AS w, coalesce(n, 0) AS n, l * r / t A
 SELECT round(1 - sum(w * n) / nullif(sum(w * e), 0), 9) AS linear, round(1 - sum(w * w * n) / nullif(sum(w * w * e), 0), 9) AS quadratic FROM c""",
     "abs_diff_hist": f"WITH {_CLASSES} SELECT abs(i - j)::BIGINT AS difference, sum(n)::BIGINT AS n FROM counts GROUP BY 1",
     "mismatch_pairs": f"WITH {_CLASSES} SELECT a AS left, b AS right, count(*) AS n FROM ranked WHERE a <> b GROUP BY a, b",
-    "mismatch_rows": f"WITH {_CLASSES} SELECT event_id, (j - i)::BIGINT AS class_rank_difference, abs(j - i)::BIGINT AS class_difference_abs FROM ranked WHERE a <> b",
+    "mismatch_rows": f"WITH {_CLASSES} SELECT event_id, (i - j)::BIGINT AS class_rank_difference, abs(i - j)::BIGINT AS class_difference_abs FROM ranked WHERE a <> b",
     "haversine": f"SELECT c_custkey, round({_KM.format(lon1='(c_custkey % 360 - 180.0::DOUBLE)', lat1='(c_custkey % 171 - 85.0::DOUBLE)', lon2='120.25::DOUBLE', lat2='36.5::DOUBLE')}, 6) AS km FROM customer",
     "nearest_valid_cell": f"WITH {_SCENES}, {_GRID}, {_NEAR} SELECT id, lat_idx AS cell_lat_idx, lon_idx AS cell_lon_idx, round(km, 6) AS km FROM near WHERE r = 1",
     "bilinear_sample": f"WITH {_SCENES}, {_GRID}, {_LINEAR} SELECT id, constituent, round(re, 6) AS re, round(im, 6) AS im FROM linear",
-    "fallback_cascade": f"""WITH {_SCENES}, {_GRID}, {_LINEAR}, {_NEAR},
-h1 AS (SELECT id, sum(re * cos({_ANGLE}) + im * sin({_ANGLE})) AS h FROM linear GROUP BY id HAVING count(*) = 4),
-h2 AS (SELECT id, sum(amplitude * cos({_ANGLE} - radians(phase))) AS h FROM scenes JOIN grid ON lon_idx = floor((s_lon - 117) / 0.25::DOUBLE + 0.5::DOUBLE) AND lat_idx = floor((s_lat - 33) / 0.25::DOUBLE + 0.5::DOUBLE) GROUP BY id HAVING count(*) = 4),
-h3 AS (SELECT id, max(km) AS km, sum(amplitude * cos({_ANGLE} - radians(phase))) AS h FROM near JOIN grid ON near.r = 1 AND near.lat_idx = grid.lat_idx AND near.lon_idx = grid.lon_idx GROUP BY id)
-SELECT s.id, round(coalesce(h1.h, h2.h, h3.h), 6) AS tide_ocean_m,
-  CASE WHEN h1.h IS NOT NULL THEN 'linear' WHEN h2.h IS NULL AND h3.km IS NOT NULL THEN 'nearest_valid_grid' ELSE 'nearest' END AS tide_interpolation,
-  CASE WHEN h1.h IS NULL AND h2.h IS NULL AND h3.km IS NOT NULL THEN 'nearest_valid_fes_grid' ELSE 'scene_center' END AS tide_point_source,
-  round(CASE WHEN h1.h IS NULL AND h2.h IS NULL THEN coalesce(h3.km, 0) ELSE 0 END, 6) AS km
-FROM scenes s LEFT JOIN h1 ON s.id = h1.id LEFT JOIN h2 ON s.id = h2.id LEFT JOIN h3 ON s.id = h3.id""",
+    "fallback_cascade": f"""WITH {_PLACES}, {_GRID}, {_LINEAR}, {_NEAR}, {_CASCADE}
+SELECT name AS id, round(h, 6) AS tide_ocean_m, {_CASCADED}, round(CASE WHEN moved THEN km ELSE 0 END, 6) AS km,
+  round(CASE WHEN moved THEN near_lon ELSE s_lon END, 6) AS tide_query_lon, round(CASE WHEN moved THEN near_lat ELSE s_lat END, 6) AS tide_query_lat FROM cascade""",
+    "scene_tide": f"""WITH {_TIMED}, {_GRID}, {_LINEAR}, {_NEAR}, {_CASCADE}, cuts AS (SELECT quantile_cont(h, [0.25, 0.5, 0.75]) AS q FROM cascade)
+SELECT 's' || id AS file, strftime(local, '%Y-%m-%d %H:%M:%S') AS selected_time, round(s_lon, 5) AS xml_center_lon, round(s_lat, 5) AS xml_center_lat,
+  strftime(local, '%Y-%m-%d %H:%M:%S') AS selected_time_local, strftime(local - INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS selected_time_utc,
+  8.0::DOUBLE AS time_offset_hours_applied, 'FES2022_extrapolated' AS tide_model, {_CASCADED},
+  round(CASE WHEN moved THEN near_lon ELSE s_lon END, 5) AS tide_query_lon, round(CASE WHEN moved THEN near_lat ELSE s_lat END, 5) AS tide_query_lat,
+  round(CASE WHEN moved THEN km ELSE 0 END, 5) AS tide_point_distance_km, round(h, 5) AS tide_ocean_m,
+  {_QUANTILE} AS tide_level_class, {_FIXED} AS tide_level_class_threshold, round(q[1], 5) AS tide_q25_m, round(q[2], 5) AS tide_q50_m, round(q[3], 5) AS tide_q75_m
+FROM cascade, cuts""",
+    "hint_candidates": """WITH t AS (SELECT *, l_partkey % 7 AS k, l_suppkey % 5 = 0 AS none FROM lineitem)
+SELECT l_orderkey, l_linenumber, 1 AS n_fields, ['centertime', 'starttime', 'topleftlongitude', 'centerlatitude', 'receiver', 'center_lon', 'center_lat'][k + 1] AS tag,
+  CASE WHEN k < 2 AND NOT none THEN l_shipdate END AS time, CASE WHEN k IN (2, 5) AND NOT none THEN l_quantity END AS lon, CASE WHEN k IN (3, 6) AND NOT none THEN l_quantity END AS lat FROM t""",
     "multi_format_time": "SELECT event_id, CASE WHEN event_id % 101 <> 0 THEN date_trunc('second', ts) END AS parsed FROM events",
     "time_midpoint": """SELECT user_id, strftime(m, '%Y-%m-%d %H:%M:%S') || CASE WHEN epoch_us(m) % 1000000 = 0 THEN '' ELSE strftime(m, '.%f') END AS middle
 FROM (SELECT user_id, make_timestamp(epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) // 2 + ((epoch_us(max(ts)) - epoch_us(min(ts))) % 4 = 3)::INT) AS m FROM events GROUP BY user_id)""",

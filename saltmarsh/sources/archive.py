@@ -1,7 +1,7 @@
 """Scene archives as rows: paths are listed by Spark, archives opened in tasks, one row each.
 
-Paths must be readable on the workers. Members are read in archive order until one has times, longitudes and
-latitudes; what comes later is not read.
+The reader gives what archives hold as it stands, tags and texts of every XML member; ``operators.scene`` makes times
+and coordinates of them. Paths must be readable on the workers.
 """
 
 from __future__ import annotations
@@ -9,87 +9,62 @@ from __future__ import annotations
 import tarfile
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
-from datetime import datetime
+from urllib.parse import unquote, urlparse
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saltmarsh.operators.scene import LAT_HINTS, LON_HINTS, TIME_HINTS
-
-_TIME = "array<struct<tag: string, parsed: timestamp_ntz, tz: string, raw: string>>"
-_NUMBER = "array<struct<tag: string, value: double, raw: string>>"
-SCHEMA = (
-    "file string, open_error string, members array<struct<name: string, parse_error: string, "
-    f"times: {_TIME}, lons: {_NUMBER}, lats: {_NUMBER}, fields: array<struct<tag: string, value: string>>>>"
-)
-FORMATS = ("%Y-%m-%d %H:%M:%S", "%Y/%m/%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y/%m/%dT%H:%M:%S")
-
-
-def parse_time(text: str) -> datetime | None:
-    text = text.strip().replace("Z", "+00:00")
-    for f in (*FORMATS, *(["%Y%m%d%H%M%S"] if len(text) == 14 else [])):
-        try:
-            return datetime.strptime(text, f)
-        except ValueError:
-            continue
-    try:
-        return datetime.fromisoformat(text) if "W" not in text else None
-    except ValueError:
-        return None
-
-
-def read_member(name: str, content: bytes) -> dict:
-    out: dict = {"name": name, "parse_error": None, "times": [], "lons": [], "lats": [], "fields": []}
-    try:
-        root = ET.fromstring(content)
-    except ET.ParseError as e:
-        return out | {"parse_error": str(e)}
-    for element in root.iter():
-        tag, text = str(element.tag).rpartition("}")[2].lower(), (element.text or "").strip()
-        if not text:
-            continue
-        out["fields"].append({"tag": tag, "value": text})
-        if any(h in tag for h in TIME_HINTS) and (t := parse_time(text)):
-            offset = t.strftime("%:z") if t.tzinfo else None
-            out["times"].append({"tag": tag, "parsed": t.replace(tzinfo=None), "tz": offset, "raw": text})
-        for key, hints in (("lons", LON_HINTS), ("lats", LAT_HINTS)):
-            if any(h in tag for h in hints):
-                try:
-                    out[key].append({"tag": tag, "value": float(text), "raw": text})
-                except ValueError:
-                    pass
-    return out
-
-
-def read_archive(path: str) -> dict:
-    members: list[dict] = []
-    try:
-        with tarfile.open(path, "r:*") as tar:
-            for info in tar:
-                if info.isfile() and info.name.lower().endswith(".xml"):
-                    m = read_member(info.name, tar.extractfile(info).read())
-                    members.append(m)
-                    if m["times"] and m["lons"] and m["lats"]:
-                        break
-    except (tarfile.TarError, OSError, EOFError) as e:
-        return {"file": path, "open_error": str(e), "members": members}
-    return {"file": path, "open_error": None, "members": members}
+SCHEMA = "file string, open_error string, members array<struct<name: string, parse_error: string, elements: array<struct<tag: string, text: string>>>>"
+
+
+def elements(content: bytes) -> list[dict]:
+    """Tag and direct text of every element that has text, in document order."""
+    return [{"tag": x.tag, "text": x.text} for x in ET.fromstring(content).iter() if x.text]
+
+
+def xml_members(path: str) -> Iterator[dict]:
+    """A row for each regular file named ``.xml`` in any case; one that can't be read bears its error."""
+    with tarfile.open(path) as tar:
+        for info in tar:
+            if not (info.isfile() and info.name.lower().endswith(".xml")):
+                continue
+            content = tar.extractfile(info).read()  # an error here is the archive's
+            try:
+                yield {"name": info.name, "parse_error": None, "elements": elements(content)}
+            except Exception as error:  # parsers raise many kinds, e.g. for unknown encodings; none may end the job
+                yield {"name": info.name, "parse_error": str(error), "elements": []}
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for path in batch["file"]:
-            yield pd.DataFrame([read_archive(path)])
+        for path in batch["path"]:
+            file = unquote(urlparse(path).path) if path.startswith("file:") else path
+            row: dict = {"file": file, "open_error": None, "members": []}
+            try:
+                row["members"].extend(xml_members(file))
+            except Exception as error:  # damaged archives fail in tarfile, zlib, lzma or the file system
+                row["open_error"] = str(error)
+            yield pd.DataFrame([row])
 
 
 def archives(spark: SparkSession, folder: str, pattern: str = "GF2*.tar.gz", recursive: bool = True) -> DataFrame:
-    """file, open_error and members of every archive; the order of rows is that of the query that uses them."""
+    """file, open_error and members of every archive, in no order; an error if there is none.
+
+    members holds what was read before an error of the archive.
+    """
     found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower())
-    return found.load(folder).select(F.regexp_replace("path", "^file:(//)?", "").alias("file")).mapInPandas(_read, SCHEMA)
+    paths = found.load(folder).select("path")
+    if paths.isEmpty():
+        raise FileNotFoundError(f"no {pattern} in {folder}")
+    return paths.mapInPandas(_read, SCHEMA)
+
 
+def inspect(read: DataFrame, most: int = 12) -> DataFrame:
+    """Per member of ``scene.read`` rows: what the file name says, times, and the first longitudes and latitudes."""
+    from saltmarsh.operators.scene import filename_fields
 
-def candidates(archive_rows: DataFrame, most: int = 12) -> DataFrame:
-    """Per member: times, and the first longitudes and latitudes."""
-    m = archive_rows.select("file", F.posexplode_outer("members").alias("ordinal", "m"))
-    return m.select("file", "ordinal", "m.name", "m.parse_error", "m.times", F.slice("m.lons", 1, most).alias("lons"), F.slice("m.lats", 1, most).alias("lats"))
+    names = [c.alias(k) for k, c in filename_fields(F.col("file")).items()]
+    m = read.select("file", *names, F.posexplode_outer("members").alias("ordinal", "m"))
+    firsts = [F.slice(f"m.{c}", 1, most).alias(c) for c in ("lons", "lats")]
+    return m.select("file", *(n for n in m.columns if n.startswith("filename_")), "ordinal", "m.name", "m.parse_error", "m.times", *firsts)

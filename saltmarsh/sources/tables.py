@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-#: Texts that count as missing on reading.
-MISSING = ("", "NA", "N/A", "NaN", "nan", "NULL", "null", "None", "n/a", "#N/A")
+#: Texts that count as missing on reading.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
+    "NaN", "None", "n/a", "nan", "null",
+)
+BYTE_ORDER_MARK = "\ufeff"
 
 
 def require(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -17,22 +21,30 @@ def require(df: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """All columns as text, or cast to ``schema``; MISSING becomes null."""
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, infer: bool = False) -> DataFrame:
+    """All columns as text, or cast to ``schema``, or with the types that all texts of a column fit; MISSING becomes null."""
     raw = spark.read.csv(path, header=True, multiLine=True, escape='"', encoding="UTF-8")
-    clean = [F.when(F.trim(raw[c]).isin(*MISSING), None).otherwise(raw[c]).alias(c.removeprefix("﻿")) for c in raw.columns]
+    clean = [F.when(raw[c].isin(*MISSING), None).otherwise(raw[c]).alias(c.removeprefix(BYTE_ORDER_MARK)) for c in raw.columns]
     df = raw.select(*clean)
-    if schema is None:
-        return df
-    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    require(df, wanted.names)
-    return df.select(*(F.col(f.name).cast(f.dataType) for f in wanted))
+    if schema is not None:
+        wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        require(df, wanted.names)
+        return df.select(*(F.col(f"`{f.name}`").cast(f.dataType) for f in wanted))
+    if infer and df.columns:
+        fits = {(c, t): F.count_if(F.col(f"`{c}`").isNotNull() & F.trim(f"`{c}`").try_cast(t).isNull()) == 0 for c in df.columns for t in ("long", "double")}
+        said = df.agg(*(v.alias(f"{k}") for k, v in enumerate(fits.values()))).first()
+        kind = {c: t for k, (c, t) in reversed(list(enumerate(fits))) if said[k]}
+        return df.select(*(F.trim(f"`{c}`").cast(kind[c]).alias(c) if c in kind else F.col(f"`{c}`") for c in df.columns))
+    return df
 
 
 def write_csv(df: DataFrame, path: str, order_by: str | None = None) -> None:
-    """Nulls as blanks; each file starts with a header."""
-    text = df.select(*(F.col(f.name).cast(StringType()).alias(f.name) for f in df.schema))
-    (text.orderBy(order_by) if order_by else text).write.csv(path, header=True, mode="overwrite", escape='"', nullValue="", emptyValue="")
+    """Nulls as blanks; each file starts with a byte-order mark and a header; files are in order of ``order_by``."""
+    names = [f"{BYTE_ORDER_MARK * (k == 0)}{c}" for k, c in enumerate(df.columns)]
+    rows = df.orderBy(order_by) if order_by else df
+    rows.select(*(F.col(f"`{c}`").cast(StringType()).alias(n) for c, n in zip(df.columns, names, strict=True))).write.csv(
+        path, header=True, mode="overwrite", escape='"', nullValue="", emptyValue=""
+    )
 
 
 def not_null(df: DataFrame, columns: list[str]) -> DataFrame:
