@@ -7,7 +7,8 @@ encodes it once. The ids go back to the blocks, whose table is bucketed by block
 documents are put together by position. Only distinct words per block travel, never occurrences, so a word that
 every document uses costs one row entry a block.
 
-Decoding joins ids with the token-byte table; that table is the vocabulary, so each task holds it whole.
+Decoding meets ids with the token-byte table where they are: the table, bounded by the vocabulary, goes to every task as
+a constant array in order of id, so it is a join without a shuffle of ids, and all of it is column expressions.
 
 Cases: null text is empty and has no ids; a text of any length is cut for matching only where a non-space meets
 a space, which always starts a pre-token; repeated rows, repeated and null ids give a row each; an empty table
@@ -25,7 +26,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saltmarsh.llm.common import bucketed, ship
@@ -45,17 +46,26 @@ def _ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}
 
 
+#: Takes a whole pre-token as one piece.
+PIECE = r"(?s:.+)"
+
+
 @lru_cache(maxsize=2)
-def _encoding(path: str, pattern: str):
+def _encoding(path: str):
     import tiktoken
 
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=_ranks(path), special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=PIECE, mergeable_ranks=_ranks(path), special_tokens={})
 
 
-@lru_cache(maxsize=2)
-def _token_bytes(path: str) -> pa.Array:
-    by_id = {i: b for b, i in _ranks(path).items()}
-    return pa.array([by_id.get(i, b"") for i in range(max(by_id) + 1)], pa.large_binary())
+def token_bytes(ranks_path: str) -> tuple[Column, Column]:
+    """The token-byte table as two constant arrays in order of id: each token's bytes, and the id as four little-endian bytes.
+
+    Both are hexadecimal text; an id without token has none. The vocabulary bounds them.
+    """
+    by_id = {i: b.hex() for b, i in _ranks(ranks_path).items()}
+    ids = range(max(by_id) + 1)
+    constant = lambda texts: F.split(F.lit(",".join(texts)), ",")
+    return constant(by_id.get(i, "") for i in ids), constant(i.to_bytes(4, "little").hex() for i in ids)
 
 
 def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
@@ -121,7 +131,7 @@ class _Block:
     def row(self, block: int, n_buckets: int) -> dict:
         at = np.concatenate([*self.parts, np.empty(0, np.int32)])
         often = np.bincount(at, minlength=len(self.numbers))
-        words = [w.encode("utf-8", "surrogatepass") for w in self.numbers]
+        words = [w.encode() for w in self.numbers]
         bucket = np.fromiter((zlib.crc32(w) % n_buckets for w in words), np.int32, len(words))
         order = np.lexsort((-often, bucket))  # in each bucket the frequent words first: small ranks pack well
         size = np.bincount(bucket, minlength=n_buckets)
@@ -168,9 +178,9 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str, n_buckets:
     return bucketed(slim.mapInArrow(cut, schema), "block", "bpe_blocks")
 
 
-def _encode_words(path: str, pattern: str):
+def _encode_words(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece, bucket, known = _encoding(path, pattern)._encode_single_piece, None, {}
+        piece, bucket, known = _encoding(path).encode_ordinary, None, {}
         for batch in batches:
             out: dict[str, list] = {"block": [], "bucket": [], "lens": [], "ids": []}
             for block, b, words in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
@@ -179,7 +189,7 @@ def _encode_words(path: str, pattern: str):
                 words = _unpack_words(words)
                 for w in words:
                     if w not in known:
-                        known[w] = piece(w)
+                        known[w] = piece(w.decode())
                 found = [known[w] for w in words]
                 out["block"].append(block)
                 out["bucket"].append(b)
@@ -235,7 +245,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     encoded = (
         words.repartition(n, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_encode_words(ranks_path, pattern), "block long, bucket int, lens binary, ids binary")
+        .mapInArrow(_encode_words(ranks_path), "block long, bucket int, lens binary, ids binary")
     )
     found = encoded.groupBy("block").agg(F.collect_list(F.struct("bucket", "lens", F.col("ids").alias("ids"))).alias("found"))
     none = F.array().cast("array<struct<bucket: int, lens: binary, ids: binary>>")
@@ -246,30 +256,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """From id and ids: id, n_tokens, ids_le (ids as little-endian unsigned 32-bit integers) and decoded bytes; ids if asked for.
 
-    Null ids decode to nothing; an id that the vocabulary lacks is an error.
+    A null list decodes to nothing; an id that the vocabulary lacks is an error.
     """
-    ship(encoded.sparkSession)
-    id_type = encoded.select(id_col).schema[0].dataType.simpleString()
+    tokens, numbers = token_bytes(ranks_path)
+    ids = F.coalesce("ids", F.array().cast("array<int>"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _token_bytes(ranks_path)
-        for batch in batches:
-            lists = batch.column(1)
-            offsets = np.array(lists.offsets, np.int64)
-            flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
-            offsets -= offsets[0]
-            joined = table.take(flat)
-            ends = np.concatenate([np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1), [0]])[offsets] if len(joined) else offsets
-            data = joined.buffers()[2] if len(joined) else pa.py_buffer(b"")
-            raw = pa.py_buffer(np.asarray(flat, dtype="<i4").tobytes())
-            n = pa.array(np.diff(offsets))
-            columns = [batch.column(0), n, _binary(offsets * 4, raw), _binary(ends, data)]
-            yield pa.RecordBatch.from_arrays(columns + [lists] * with_ids, ["id", "n_tokens", "ids_le", "decoded"] + ["ids"] * with_ids)
-
-    slim = encoded.select(F.col(id_col).alias("id"), F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-    schema = f"id {id_type}, n_tokens long, ids_le binary, decoded binary" + ", ids array<int>" * with_ids
-    return slim.mapInArrow(run, schema).withColumnRenamed("id", id_col)
-
-
-def _binary(offsets: np.ndarray, data: pa.Buffer) -> pa.Array:
-    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64).tobytes()), data]).cast(pa.binary())
+    def spelled(table: Column) -> Column:
+        missing = lambda i: F.raise_error(F.concat(F.lit("no such token: "), i.cast("string"))).cast("string")
+        return F.unhex(F.array_join(F.transform("ids", lambda i: F.coalesce(F.nullif(F.get(table, i), F.lit("")), missing(i))), ""))
+
+    columns = [F.size("ids").cast("long").alias("n_tokens"), spelled(numbers).alias("ids_le"), spelled(tokens).alias("decoded")]
+    return encoded.select(F.col(id_col), ids.alias("ids")).select(id_col, *columns, *["ids"] * with_ids)
