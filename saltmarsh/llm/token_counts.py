@@ -1,7 +1,7 @@
 """Token counts by a tokenizers-library vocabulary, with huge documents cut up and spliced.
 
-Documents of up to LONG characters are counted whole. A longer one is cut into overlapping chunks, rows of
-their own, which the library encodes with offsets. Two neighbours are spliced where both start a pre-token:
+Documents of up to LONG characters are counted whole. A longer one is cut, in one pass over its text, into overlapping
+chunks, rows of their own that are dealt to all tasks, which the library encodes with offsets. Two neighbours are spliced where both start a pre-token:
 from such a place on, both split alike, because a pre-token depends only on what follows its start. The place
 must lie MARGIN characters before the left chunk ends, further than any pre-token or special token looks ahead.
 Documents with a pair of neighbours that share no such place are cut again with chunks and overlaps WIDEN times
@@ -30,6 +30,8 @@ LONG = 65_536
 STEP = 32_768
 OVERLAP = 512
 WIDEN = 8
+#: Characters of chunks that leave a task at once.
+CHUNK_CHARS = 4_000_000
 MARGIN = 64
 #: Words whose counts a worker remembers before it starts afresh.
 REMEMBERED = 200_000
@@ -78,14 +80,31 @@ def _learn(tokenizer, known: dict[str, int], new: dict[str, None]) -> None:
         known.update(zip(some, map(len, tokenizer.encode_batch_fast(some, add_special_tokens=False)), strict=True))
 
 
-def _encode_chunks(path: str):
+def _cut(step: int, overlap: int):
+    """Chunks of each (row, text): every ``step`` characters one of ``step + overlap``, until the text ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_once = max(1, CHUNK_CHARS // (step + overlap))
+        for batch in batches:
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text = text.as_py()
+                last = max(0, -(-(len(text) - overlap) // step) - 1)
+                for first in range(0, last + 1, at_once):
+                    ks = range(first, min(first + at_once, last + 1))
+                    chunks = [text[k * step : (k + 1) * step + overlap] for k in ks]
+                    yield pa.RecordBatch.from_arrays([pa.array([row] * len(ks), pa.int64()), pa.array(ks, pa.int64()), pa.array(chunks, pa.string())], ["row", "k", "text"])
+
+    return run
+
+
+def _encode_chunks(path: str, step: int, overlap: int):
     """For each chunk its tokens, and its pre-token starts in the zones shared with its neighbours."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
         for batch in batches:
             out: dict[str, list] = {k: [] for k in ("row", "k", "total", "left", "left_n", "right", "right_n")}
-            for row, k, text, step, overlap in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
+            for row, k, text in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
                 e = tokenizer.encode(text, add_special_tokens=False)
                 words = np.array([-1 if w is None else w for w in e.word_ids] or [], np.int64)
                 starts = np.flatnonzero(np.diff(words, prepend=-2))  # tokens that start a pre-token
@@ -106,16 +125,9 @@ def _encode_chunks(path: str):
 
 def _splice(documents: DataFrame, path: str, step: int, overlap: int) -> DataFrame:
     """Count by chunks: row, n_tokens (null where some neighbours share no place)."""
-    n_chunks = F.greatest(F.lit(1), F.ceil((F.char_length("text") - overlap) / step))
-    chunks = documents.select("row", "text", F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("k")).select(
-        "row",
-        F.col("k").cast("long").alias("k"),
-        F.substring(F.col("text"), (F.col("k") * step + 1).cast("int"), F.lit(step + overlap)).alias("text"),
-        F.lit(step).alias("step"),
-        F.lit(overlap).alias("overlap"),
-    )
+    chunks = documents.select("row", "text").mapInArrow(_cut(step, overlap), "row long, k long, text string")
     encoded = chunks.repartition("row", "k").mapInArrow(
-        _encode_chunks(path),
+        _encode_chunks(path, step, overlap),
         "row long, k long, total long, left array<long>, left_n array<long>, right array<long>, right_n array<long>",
     )
     order = Window.partitionBy("row").orderBy("k")
