@@ -7,8 +7,10 @@ of a score. For a block of query classes:
 1. each holder reports its best partial scores; the classes it names are scored in full, and the k-th best of
    these is a safe cutoff: the true k-th best is no lower;
 2. the cutoff is broadcast, and each holder reports every partial score of at least cutoff / NODES. A class that
-   no holder reports has a total below the cutoff;
-3. totals that all holders reported are sums; the others are resolved from the whole vectors.
+   no holder reports has a total below the cutoff. Totals that all holders reported are sums, and with those of the first
+   phase they give a second cutoff, again the k-th best of what is known;
+3. of the others only those are resolved from the whole vectors whose reported part, with the most that the silent
+   holders can add, reaches the second cutoff.
 
 Queries are taken in blocks of bounded size, so what is broadcast has a fixed bound however many there are.
 
@@ -190,21 +192,31 @@ def _block(spark, fragments, every, q, k, exact, width, ends) -> DataFrame:
     scored = "q int, class long, score long"
     first = named.join(whole, "class").select("q", "class", "vec").mapInArrow(_scores(queries, exact, width), scored)
     by_q = Window.partitionBy("q").orderBy(F.desc("score"), "class")
-    best = first.withColumn("r", F.row_number().over(by_q)).where(F.col("r") == k1).select("q", "score").collect()  # a row a query
-    cutoff = np.full(len(q), np.iinfo(np.int64).min)
-    for r in best:
-        cutoff[r["q"]] = r["score"]
-    least = np.array([-(-int(c) // len(ends)) for c in cutoff], np.int64)
+    first = materialize(first, "named")
+
+    def kth(known: DataFrame) -> np.ndarray:
+        """The k1-th best known score of each query; the least number where fewer are known. A row a query reaches the driver."""
+        best = known.withColumn("r", F.row_number().over(by_q)).where(F.col("r") == k1).select("q", "score").collect()
+        out = np.full(len(q), np.iinfo(np.int64).min)
+        for r in best:
+            out[r["q"]] = r["score"]
+        return out
+
+    least = np.array([-(-int(c) // len(ends)) for c in kth(first)], np.int64)
     cut = spark.sparkContext.broadcast((q, least))
     reported = fragments.mapInArrow(_partials(cut, exact, width, ends, _above(len(ends))), found)
     summed = reported.groupBy("q", "class").agg(F.sum("partial").alias("score"), F.count(F.lit(1)).alias("n"))
     summed = materialize(summed, "reported")
-    known = summed.where(F.col("n") == len(ends)).select("q", "class", "score")
-    rest = summed.where(F.col("n") < len(ends)).select("q", "class").join(whole, "class").select("q", "class", "vec")
-    resolved = rest.mapInArrow(_scores(queries, exact, width), scored)
+    sums = summed.where(F.col("n") == len(ends)).select("q", "class", "score")
+    known = first.unionByName(sums).distinct()
+    second = kth(known)
+    # a silent holder has less than the least score to report, so the second cutoff bounds what is worth resolving
+    most_silent = [int(x) - 1 if x > np.iinfo(np.int64).min // len(ends) else 0 for x in least]
+    cutoffs = F.broadcast(spark.createDataFrame([(i, int(c), most_silent[i]) for i, c in enumerate(second)], "q int, cutoff long, silent long"))
+    open_ = summed.where(F.col("n") < len(ends)).join(cutoffs, "q").where(F.col("score") >= F.col("cutoff") - F.col("silent") * (len(ends) - F.col("n")))
+    resolved = open_.select("q", "class").join(whole, "class").select("q", "class", "vec").mapInArrow(_scores(queries, exact, width), scored)
     smallest = every.select("class", "members", F.get("members", F.lit(0)).alias("least_id"))
-    cutoffs = spark.createDataFrame([(i, int(c)) for i, c in enumerate(cutoff)], "q int, cutoff long")
-    enough = known.unionByName(resolved).join(F.broadcast(cutoffs), "q").where(F.col("score") >= F.col("cutoff")).drop("cutoff")
+    enough = known.unionByName(resolved).join(cutoffs, "q").where(F.col("score") >= F.col("cutoff")).select("q", "class", "score").distinct()
     order = Window.partitionBy("q").orderBy(F.desc("score"), "least_id")
     top = enough.join(smallest, "class").withColumn("r", F.row_number().over(order)).where(F.col("r") <= k1)
     return top.select("q", "members", "score")
