@@ -1,9 +1,14 @@
 """Weak supervision for quality rules: rules vote or abstain, EM estimates how accurate each is.
 
-The metrics and the votes are built-in column expressions. The votes of all documents are counted by
-pattern (at most ``3 ** len(RULES)`` rows whatever the input), expectation-maximisation runs over those
-counts, and the posterior is again a column expression whose weights are literals. So there is no join and
-no shuffle but that of the pattern counts.
+A document is good or has one of several faults, each found by some rules and not by others, so a single class of
+bad documents would be no model: symbols, tables and repeats share no signs. There is a fault for each rule, which at
+first it alone finds; expectation-maximisation over all votes then estimates how often each rule votes bad on good
+documents and on each fault, and how common each is. An abstention says nothing. So a bad vote counts by what usually
+goes with it: one that the other rules would have confirmed, and don't, can be outvoted.
+
+The metrics and the votes are built-in column expressions. The votes of all documents are counted by pattern (at
+most ``3 ** len(RULES)`` rows whatever the input), the fit runs over those counts, and the posterior is again a column
+expression whose weights are literals. So there is no join and no shuffle but that of the pattern counts.
 
 Cases: null text counts as empty; empty text has zero words, fails the base rule and is rejected; repeated
 rows and ties are judged row by row; an empty table gives an empty result and the prior model; other
@@ -15,13 +20,21 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saltmarsh.llm.common import SPACE_RUN, WORD_SPACES, materialize
 
 SYMBOLS = "#*$%&|<>"
-METRICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+METRICS = (
+    "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_distinct_words", "n_upper", "n_mark_runs", "n_ended_lines",
+    "n_letterless",
+)
+#: Two or more punctuation marks in a row, a sentence mark at a line's end, and a word without a letter.
+MARK_RUN = r"[!?.,;:]{2,}"
+ENDED = r"[.!?][\x20\x09\x0B-\x0D]*(?=\n|\z)"
+LETTERLESS = r"(?<![^\x20\x09-\x0D])[^\p{L}\x20\x09-\x0D]++(?![^\x20\x09-\x0D])"
 RESULT = (*METRICS, "base_failed", "p_good", "kept")
 
 
@@ -64,6 +77,11 @@ def with_metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 "n_lines": F.size("_lines").cast("long"),
                 "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
                 "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
+                "n_distinct_words": F.size(F.array_distinct("_words")).cast("long"),
+                "n_upper": F.regexp_count(text, F.lit(r"\p{Lu}")).cast("long"),
+                "n_mark_runs": F.regexp_count(text, F.lit(MARK_RUN)).cast("long"),
+                "n_ended_lines": F.regexp_count(text, F.lit(ENDED)).cast("long"),
+                "n_letterless": F.regexp_count(text, F.lit(LETTERLESS)).cast("long"),
             }
         )
         .drop("_words", "_lines", "_windows")
@@ -79,76 +97,83 @@ def _band(value: Column, bad: Column, good: Column) -> Column:
 
 
 def rules() -> dict[str, Column]:
-    """The labelling functions over METRICS: 1 votes for good, -1 for bad, 0 abstains."""
-    n = F.nullif(F.col("n_words"), F.lit(0))
-    length = F.col("word_chars") / n
-    symbols = F.col("n_symbols") / n
-    dup = F.col("n_dup_lines") / F.nullif(F.col("n_lines"), F.lit(0))
-    repeat = F.col("n_repeat_words") / n
+    """The labelling functions over METRICS: 1 votes for good, -1 for bad, 0 abstains between the two."""
+    n, lines = (F.nullif(F.col(c), F.lit(0)) for c in ("n_words", "n_lines"))
+    size, symbols, dup, repeat = F.col("word_chars") / n, F.col("n_symbols") / n, F.col("n_dup_lines") / lines, F.col("n_repeat_words") / n
+    distinct, upper = F.col("n_distinct_words") / n, F.col("n_upper") / F.nullif(F.col("word_chars"), F.lit(0))
+    marks, ended, letterless = F.col("n_mark_runs") / n, F.col("n_ended_lines") / lines, F.col("n_letterless") / n
     return {
-        "vote_length": _band(F.col("n_words"), F.col("n_words") < 50, F.col("n_words") >= 80),
-        "vote_word_size": _band(length, (length < 3.0) | (length > 10.0), (length >= 3.5) & (length <= 8.5)),
-        "vote_symbols": _band(symbols, symbols > 0.1, symbols <= 0.03),
-        "vote_lines": _band(dup, dup > 0.5, dup <= 0.1),
-        "vote_repeats": _band(repeat, repeat > 0.3, repeat <= 0.15),
+        "vote_word_size": _band(size, (size < 3.6) | (size > 7.0), (size >= 4.4) & (size <= 6.0)),
+        "vote_symbols": _band(symbols, symbols > 0.1, symbols == 0),
+        "vote_lines": _band(dup, dup > 0.3, (dup == 0) & (lines >= 2)),
+        "vote_repeats": _band(repeat, repeat > 0.2, repeat <= 0.02),
+        "vote_upper": _band(upper, upper > 0.25, upper <= 0.03),
+        "vote_distinct": _band(distinct, distinct < 0.5, distinct >= 0.7),
+        "vote_marks": _band(marks, marks > 0.1, marks == 0),
+        "vote_endings": _band(ended, ended < 0.7, ended > 0.95),
+        "vote_letters": _band(letterless, letterless > 0.2, letterless < 0.02),
     }
 
 
-#: Chances of a vote (-1, 0, 1) before any is seen. A rule that votes bad is seldom wrong, one that votes good
-#: says less: junk that one rule finds passes the others.
-PRIOR_GOOD = 0.8
-PRIOR_VOTES = {"good": {-1: 0.01, 0: 0.29, 1: 0.70}, "bad": {-1: 0.40, 0: 0.10, 1: 0.50}}
-#: Weight of PRIOR_VOTES, as a share of all documents.
-PRIOR_WEIGHT = 0.1
-#: The rules are written so that good documents fail each of them this seldom at most. Without such a bound
-#: the likelihood has a second top at which all documents are good and every bad vote is an error.
-MOST_FALSE_ALARMS = 0.01
+#: Where the fit starts: the share of good documents; how often the rule of a fault votes bad on it, and any other rule does.
+START_GOOD, START_OWN, START_OTHER = 0.8, 0.9, 0.1
+#: Documents added to each count of the fit, so that no chance is 0 or 1.
+PSEUDO_COUNT = 1.0
+ROUNDS, STEADY = 1000, 1e-9
 
 
 @dataclass(frozen=True)
 class RuleModel:
-    """P(good) before any vote, and P(vote | class) of each rule: what it gets right, by class and by vote."""
-
-    prior: float
-    votes: dict[str, dict[str, dict[int, float]]]
+    """How common good documents and each fault are, and by class how often each rule that votes votes bad."""
 
-    def weight(self, rule: str, vote: int) -> float:
-        """Log odds that a vote adds for good; nothing for an abstention."""
-        p = self.votes[rule]
-        return math.log(p["good"][vote] / p["bad"][vote]) if vote else 0.0
+    names: tuple[str, ...]
+    shares: tuple[float, ...]  # good first, then the faults
+    bad: tuple[tuple[float, ...], ...]
 
     def posterior(self) -> Column:
-        """P(good | votes), from METRICS."""
-        odds = F.lit(_logit(self.prior))
-        for name, vote in rules().items():
-            odds = odds + F.when(vote < 0, self.weight(name, -1)).when(vote > 0, self.weight(name, 1)).otherwise(0.0)
-        return 1 / (1 + F.exp(-odds))
-
-
-def _logit(p: float) -> float:
-    return math.log(p / (1 - p))
-
-
-def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], names: list[str], rounds: int = 50) -> RuleModel:
-    """Fit prior and vote chances to counted vote patterns."""
-    model = RuleModel(PRIOR_GOOD, {k: PRIOR_VOTES for k in names})
-    n_all = sum(n for _, n in patterns)
-    for _ in range(rounds if n_all else 0):
-        weight = PRIOR_WEIGHT * n_all
-        seen = {k: {c: {v: weight * PRIOR_VOTES[c][v] for v in (-1, 0, 1)} for c in PRIOR_VOTES} for k in names}
-        n_good = 0.0
-        for votes, n in patterns:
-            odds = _logit(model.prior) + sum(model.weight(k, v) for k, v in zip(names, votes, strict=True))
-            p = 1 / (1 + math.exp(-odds))
-            n_good += n * p
-            for k, v in zip(names, votes, strict=True):
-                seen[k]["good"][v] += n * p
-                seen[k]["bad"][v] += n * (1 - p)
-        chances = {k: {c: {v: x / sum(by.values()) for v, x in by.items()} for c, by in seen[k].items()} for k in names}
-        for by in (chances[k]["good"] for k in names):
-            if (alarms := by[-1]) > MOST_FALSE_ALARMS:
-                by |= {v: by[v] * (1 - MOST_FALSE_ALARMS) / (1 - alarms) for v in (0, 1)} | {-1: MOST_FALSE_ALARMS}
-        model = RuleModel(min(0.99, max(0.01, n_good / n_all)), chances)
+        """P(good | votes), from METRICS: one over the odds of all classes against good."""
+        votes = rules()
+
+        def odds(c: int) -> Column:
+            out = F.lit(math.log(self.shares[c] / self.shares[0]))
+            for r, name in enumerate(self.names):
+                against, for_ = (math.log(f(self.bad[c][r]) / f(self.bad[0][r])) for f in (float, lambda p: 1 - p))
+                out = out + F.when(votes[name] < 0, against).when(votes[name] > 0, for_).otherwise(0.0)
+            return F.exp(F.least(out, F.lit(700.0)))
+
+        total = F.lit(1.0)
+        for c in range(1, len(self.shares)):
+            total = total + odds(c)
+        return 1 / total
+
+    def accuracy(self) -> float:
+        """Mean over the rules of being right on good documents and on the fault that each finds best."""
+        own = [max(b[r] for b in self.bad[1:]) for r in range(len(self.names))]
+        return sum(o + 1 - g for o, g in zip(own, self.bad[0], strict=True)) / (2 * len(self.names))
+
+
+def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], names: list[str], rounds: int = ROUNDS) -> RuleModel:
+    """Fit shares and chances to counted vote patterns. An error if the rules are no better than chance, as then no class is the good one."""
+    n = len(names)
+    shares = np.array([START_GOOD] + [(1 - START_GOOD) / n] * n)
+    bad = np.full((n + 1, n), START_OTHER)
+    bad[np.arange(1, n + 1), np.arange(n)] = START_OWN
+    votes, counts = np.array([v for v, _ in patterns]).reshape(-1, n), np.array([c for _, c in patterns], float)
+    against, for_ = (votes < 0).astype(float), (votes > 0).astype(float)
+    for _ in range(rounds if counts.sum() else 0):
+        log = np.log(shares) + against @ np.log(bad).T + for_ @ np.log(1 - bad).T
+        p = np.exp(log - log.max(axis=1, keepdims=True))
+        weight = counts[:, None] * p / p.sum(axis=1, keepdims=True)
+        new_shares = (weight.sum(axis=0) + PSEUDO_COUNT) / (counts.sum() + PSEUDO_COUNT * (n + 1))
+        no, yes = weight.T @ against, weight.T @ for_
+        new_bad = (no + PSEUDO_COUNT) / (no + yes + 2 * PSEUDO_COUNT)
+        change = max(np.abs(new_shares - shares).max(), np.abs(new_bad - bad).max())
+        shares, bad = new_shares, new_bad
+        if change < STEADY:
+            break
+    model = RuleModel(tuple(names), tuple(map(float, shares)), tuple(tuple(map(float, b)) for b in bad))
+    if model.accuracy() <= 0.5:
+        raise ValueError("the rules agree with each other no better than by chance")
     return model
 
 

@@ -73,7 +73,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
@@ -147,6 +147,48 @@ c AS (SELECT r.*, (floor(rate * rank + o) - floor(rate * (rank - 1) + o))::BIGIN
 SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM c
 """
 
+_RATIOS = """n_words AS n, word_chars / nullif(n_words, 0) AS size, n_symbols / nullif(n_words, 0) AS symbols, n_dup_lines / nullif(n_lines, 0) AS dup,
+  n_repeat_words / nullif(n_words, 0) AS repeats, n_distinct / nullif(n_words, 0) AS distincts, n_upper / nullif(word_chars, 0) AS upper,
+  n_marks / nullif(n_words, 0) AS marks, n_ended / nullif(n_lines, 0) AS ended, n_letterless / nullif(n_words, 0) AS letterless"""
+#: bad, good: the bounds of each rule, in the order of quality_rules.rules().
+_BANDS = [
+    ("size < 3.6 OR size > 7", "size BETWEEN 4.4 AND 6"), ("symbols > 0.1", "symbols = 0"), ("dup > 0.3", "dup = 0 AND n_lines >= 2"),
+    ("repeats > 0.2", "repeats <= 0.02"), ("upper > 0.25", "upper <= 0.03"), ("distincts < 0.5", "distincts >= 0.7"), ("marks > 0.1", "marks = 0"),
+    ("ended < 0.7", "ended > 0.95"), ("letterless > 0.2", "letterless < 0.02"),
+]
+_RULES = range(1, len(_BANDS) + 1)
+_START = ", ".join(f"[{', '.join('0.9' if c == r else '0.1' for r in _RULES)}]" for c in (0, *_RULES))
+ORACLE_SQL["op9_quality_rules"] = rf"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT k, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
+tri AS (SELECT k, i, count(*) OVER (PARTITION BY k, a, b, c) AS times FROM (SELECT k, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM w))),
+r AS (SELECT k, count(DISTINCT p) AS n_repeat_words FROM (SELECT k, unnest([i, i + 1, i + 2]) AS p FROM tri WHERE times > 1) GROUP BY k),
+m AS (SELECT w.k, doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+  len(l) AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, len(list_distinct(w)) AS n_distinct,
+  len(regexp_extract_all(text, '\p{{Lu}}')) AS n_upper, len(regexp_extract_all(text, '[!?.,;:]{{2,}}')) AS n_marks,
+  len(list_filter(l, lambda x: regexp_matches(x, '[.!?][\x20\x09\x0B-\x0D]*$'))) AS n_ended, len(list_filter(w, lambda x: NOT regexp_matches(x, '\p{{L}}'))) AS n_letterless
+  FROM w LEFT JOIN r ON w.k = r.k),
+x AS (SELECT k, n_lines, {_RATIOS} FROM m),
+v AS (SELECT k, [{", ".join(f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END" for bad, good in _BANDS)}] AS votes FROM x),
+pats AS (SELECT row_number() OVER () AS p, votes, n FROM (SELECT votes, count(*)::DOUBLE AS n FROM v GROUP BY votes)),
+total AS (SELECT sum(n) AS total FROM pats),
+fit(step, shares, bad) AS (
+  SELECT 0, [0.8::DOUBLE, {", ".join(["0.2::DOUBLE / 9"] * len(_BANDS))}], [{_START}]::DOUBLE[][]
+  UNION ALL
+  SELECT any_value(step) + 1, list(share ORDER BY c), list(chances ORDER BY c) FROM (
+    SELECT any_value(step) AS step, c, (sum(weight) + 1) / ((SELECT total FROM total) + 10) AS share,
+      [{", ".join(f"(sum(CASE WHEN votes[{r}] < 0 THEN weight ELSE 0 END) + 1) / (sum(CASE WHEN votes[{r}] <> 0 THEN weight ELSE 0 END) + 2)" for r in _RULES)}] AS chances
+    FROM (SELECT step, c, votes, n * likely / sum(likely) OVER (PARTITION BY p) AS weight FROM (
+      SELECT step, c, p, votes, n, shares[c] * {" * ".join(f"(CASE votes[{r}] WHEN -1 THEN bad[c][{r}] WHEN 1 THEN 1 - bad[c][{r}] ELSE 1 END)" for r in _RULES)} AS likely
+      FROM fit, pats, range(1, 11) classes(c) WHERE step < 300)) GROUP BY c) HAVING count(*) > 0),
+last AS (SELECT shares, bad FROM fit WHERE step = 300),
+odds AS (SELECT p, c, shares[c] * {" * ".join(f"(CASE votes[{r}] WHEN -1 THEN bad[c][{r}] WHEN 1 THEN 1 - bad[c][{r}] ELSE 1 END)" for r in _RULES)} AS likely FROM last, pats, range(1, 11) classes(c)),
+judged AS (SELECT p, sum(likely) FILTER (WHERE c = 1) / sum(likely) AS p_good FROM odds GROUP BY p)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND p_good >= 0.5 AS kept
+FROM m JOIN v ON m.k = v.k JOIN pats ON v.votes = pats.votes JOIN judged ON pats.p = judged.p
+"""
+
 ORACLE_SQL["op7_chat_format"] = r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-1::BIGINT, 0::BIGINT, 'user', '<|im_end|><|im_start|>assistant ok'),

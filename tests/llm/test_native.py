@@ -129,18 +129,49 @@ def test_quality_metrics_equal_brute_force(spark, sf, awkward, empty):
     assert quality_rules.judge(empty).collect() == []
 
 
-def test_quality_verdicts_agree_with_labels(spark, sf):
-    d = sf.replace("0.001", "0.1")
-    judged = quality_rules.judge(spark.read.parquet(f"{d}/documents.parquet"))
-    rows = judged.join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").select("kept", "quality").collect()
-    good = [r.kept for r in rows if r.quality == 1]
-    assert sum(good) / len(good) > 0.95
+def fitted(patterns: dict[tuple[int, ...], int], n: int):
+    """P(good) of each pattern: a class for good and one a fault, fitted in plain Python."""
+    share, bad = [0.8] + [0.2 / n] * n, [[0.9 if c == r + 1 else 0.1 for r in range(n)] for c in range(n + 1)]
+
+    def likely(votes):
+        return [share[c] * math.prod(bad[c][r] if v < 0 else 1 - bad[c][r] for r, v in enumerate(votes) if v) for c in range(n + 1)]
 
+    for _ in range(400):
+        weight = {v: [x * k / sum(p) for x in p] for v, k in patterns.items() for p in [likely(v)]}
+        sums = [sum(w[c] for w in weight.values()) for c in range(n + 1)]
+        seen = lambda c, r, signs: sum(w[c] for v, w in weight.items() if v[r] in signs)  # noqa: B023, E731
+        share = [(x + 1) / (sum(sums) + n + 1) for x in sums]
+        bad = [[(seen(c, r, (-1,)) + 1) / (seen(c, r, (-1, 1)) + 2) for r in range(n)] for c in range(n + 1)]
+    return {v: p[0] / sum(p) for v in patterns for p in [likely(v)]}
 
-def test_expectation_maximisation_finds_the_better_rule():
-    patterns = [((1, 1), 800), ((-1, -1), 150), ((1, -1), 40), ((-1, 1), 10)]
-    model = quality_rules.expectation_maximisation(patterns, ["a", "b"])
-    assert 0.5 < model.prior < 0.99 and model.weight("a", -1) < 0 < model.weight("a", 1)
+
+def test_quality_verdicts_equal_a_plain_fit_and_beat_all_must_pass(spark, sf):
+    d = sf.replace("0.001", "0.1")
+    judged = quality_rules.judge(spark.read.parquet(f"{d}/documents.parquet"), carry=["doc_id"])
+    names = list(quality_rules.rules())
+    rows = judged.select("*", *(c.alias(k) for k, c in quality_rules.rules().items())).collect()
+    votes = [tuple(r[k] for k in names) for r in rows]
+    want = fitted(Counter(votes), len(names))
+    assert all(abs(r.p_good - want[v]) < 1e-6 for r, v in zip(rows, votes, strict=True))
+    assert all(r.kept == (not r.base_failed and want[v] >= 0.5) for r, v in zip(rows, votes, strict=True))
+    quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    told = [(r, v.count(-1)) for r, v in zip(rows, votes, strict=True) if r.doc_id in quality and not r.base_failed]
+    right = sum(r.kept == (quality[r.doc_id] == 1) for r, _ in told)
+    must_pass = sum((n == 0) == (quality[r.doc_id] == 1) for r, n in told)
+    assert right > must_pass and right / len(told) > 0.99
+    one = Counter(r.kept for r, v in zip(rows, votes, strict=True) if v.count(-1) == 1 and not r.base_failed)
+    assert one[True] and one[False]  # a single bad vote can be outvoted, and need not be
+    print("one bad vote", one, "right", right, "all must pass", must_pass, "of", len(told))
+
+
+def test_a_fault_is_believed_where_other_rules_confirm_it():
+    """Rules a and b find one fault together, c finds another alone and errs on good documents too."""
+    counts = {(1, 1, 1): 800, (-1, -1, 1): 90, (-1, 1, 1): 5, (1, 1, -1): 40, (0, 0, 0): 10, (-1, 0, 1): 8}
+    model = quality_rules.expectation_maximisation(list(counts.items()), ["a", "b", "c"])
+    want = fitted(counts, 3)
+    assert want[-1, -1, 1] < 0.01 and want[0, 0, 0] > 0.5 and want[1, 1, 1] > 0.99
+    assert model.accuracy() > 0.5 and abs(sum(model.shares) - 1) < 1e-9
+    assert quality_rules.expectation_maximisation([], ["a"]).shares == (0.8, pytest.approx(0.2))
 
 
 def test_chat_round_trip(spark):
