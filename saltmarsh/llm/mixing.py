@@ -1,10 +1,12 @@
 """Mixing sources to target weights by systematic sampling.
 
 Each source has one rate, target words over own words. With the documents of a source in a fixed order the
-expected copies add up to ``rate * rank``; one offset is added and a document is emitted once for each
-integer that its step crosses. The order is by size class and then by a hash of the id, so every size class
-is sampled evenly. Whether the few largest documents are among those emitted depends on the offset alone: of
-OFFSETS the one whose words come nearest to the target is taken, from sums over all documents of the source.
+expected copies add up to ``rate * rank``; one random offset, drawn from the seed, is added and a document is
+emitted once for each integer that its step crosses. The order is by size class and then by a hash of the id, so every
+size class is sampled evenly: the words taken miss their target by about the largest document, whatever the offset. So
+that this is little, the few documents with more than 1 / GIANTS of their source's words are sampled by themselves,
+and the rate of the others is set by what is left of the target. Over seeds each document's copies are its source's rate
+on average, but for what a rate of the others beyond CAP would take.
 
 Ranks come from counts in three levels (size class, hash slice, row), so no task holds a whole source:
 windows run over the size classes of a source, over at most SLICES counts, or over the rows of one slice of
@@ -28,8 +30,9 @@ BUDGET = 1.5
 CAP = 2
 SLICES = 256
 WORD = r"[^\x20\x09-\x0D]+"
-#: Where the comb of a source may start.
-OFFSETS = tuple((2 * k + 1) / 64 for k in range(32))
+SEED = 0
+#: A size class whose documents each have more than this part of their source's words is sampled apart.
+GIANTS = 200
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -71,7 +74,7 @@ def size_class(size: Column) -> Column:
     return bits * 16 + F.expr("shiftright(size, greatest(length(bin(size)) - 4, 0))")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = (), seed: int = SEED) -> DataFrame:
     """Return id, source, size, source_size, target, copies and taken (copies * size) for every document.
 
     With ``carry``, those columns come too, as the struct ``carried``; they travel with the one shuffle that
@@ -92,28 +95,37 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     )
     slim = materialize(sized.drop("carried"), "mix-sizes")
     counts = slim.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
-    class_before = F.sum("n").over(Window.partitionBy("source_key").orderBy("size_class")) - F.col("n")
-    classes = (
-        slim.groupBy("source_key", "size_class")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("source_key", "size_class", class_before.alias("class_before"))
-        .join(source_targets(slim), "source_key")
-    )
+    by_class = slim.groupBy("source_key", "size_class").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("least"), F.sum("size").alias("words"))
+    targets = source_targets(slim)
+    giant = (GIANTS * F.col("least") > F.col("source_size")).alias("giant")
+    class_before = F.sum("n").over(Window.partitionBy("source_key", "giant").orderBy("size_class")) - F.col("n")
+    classes = by_class.join(targets, "source_key").select("*", giant).withColumn("class_before", class_before)
+    classes = materialize(classes.select("source_key", "size_class", "giant", "words", "class_before", "source_size", "target"), "mix-classes")
     slice_before = F.sum("n").over(Window.partitionBy("source_key", "size_class").orderBy("slice")) - F.col("n")
     cells = (
         counts.select(*cell, slice_before.alias("slice_before"))
         .join(classes, ["source_key", "size_class"])
         .withColumn("before", F.col("class_before") + F.col("slice_before"))
-        .select(*cell, "before", "source_size", "target")
+        .select(*cell, "giant", "before", "source_size", "target")
     )
     row = F.row_number().over(Window.partitionBy(*cell).orderBy("key", "id"))
-    ranked = lambda rows, cells: rows.withColumn("row", row).join(cells, cell).withColumn("rank", F.col("before") + F.col("row"))
-    rate = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
-    copies = lambda offset: F.floor(rate * F.col("rank") + offset) - F.floor(rate * (F.col("rank") - 1) + offset)
-    sums = [F.struct(F.abs(F.sum(copies(F.lit(o)) * F.col("size")) - F.max("target")).alias("off"), F.lit(o).alias("offset")) for o in OFFSETS]
-    offsets = ranked(slim, cells).groupBy("source_key").agg(F.array_min(F.array(*sums)).getField("offset").alias("offset"))
-    chosen = ranked(sized if carry else slim, cells.join(offsets, "source_key"))
-    return chosen.withColumn("copies", copies(F.col("offset"))).select(
+    mark = F.concat(F.lit(f"{seed}:"), F.when(F.col("giant"), "giant:").otherwise(""), F.col("source_key"))
+    offset = F.conv(F.substring(F.md5(mark), 1, 8), 16, 10).cast("double") / 2.0**32
+    copies = F.floor(F.col("rate") * F.col("rank") + offset) - F.floor(F.col("rate") * (F.col("rank") - 1) + offset)
+
+    def sample(rows: DataFrame, rated: DataFrame) -> DataFrame:
+        ranked = rows.withColumn("row", row).join(rated, cell).withColumn("rank", F.col("before") + F.col("row"))
+        return ranked.withColumn("copies", copies)
+
+    whole = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
+    first = cells.where("giant").withColumn("rate", whole)
+    few = slim.join(classes.where("giant").select("source_key", "size_class"), ["source_key", "size_class"], "left_semi")
+    taken = sample(few, first).groupBy("source_key").agg(F.sum(F.col("copies") * F.col("size")).alias("giants_take"))
+    rest = classes.where("NOT giant").groupBy("source_key").agg(F.sum("words").alias("rest_words"), F.max("target").alias("target")).join(taken, "source_key", "left")
+    left = (F.col("target") - F.coalesce("giants_take", F.lit(0))) / F.nullif(F.col("rest_words"), F.lit(0))
+    rest = rest.select("source_key", F.least(F.lit(float(CAP)), F.greatest(F.lit(0.0), F.coalesce(left, F.lit(0.0)))).alias("rate"))
+    ranked = sample(sized if carry else slim, first.unionByName(cells.where("NOT giant").join(rest, "source_key")))
+    return ranked.select(
         F.col("id").alias(id_col),
         F.col("source").alias(source_col),
         "size",

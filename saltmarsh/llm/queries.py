@@ -137,13 +137,16 @@ g AS (SELECT *, (budget - full_before) / weight_left AS water0,
     row_number() OVER (ORDER BY level, source NULLS LAST) AS place FROM f),
 h AS (SELECT *, (SELECT arg_min(water0, place) FROM g WHERE level > water0) AS water FROM g),
 t AS (SELECT source, source_size, CASE WHEN water IS NULL OR level <= water THEN cap::DOUBLE ELSE water * weight END AS target FROM h),
-r AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
-    row_number() OVER (PARTITION BY d.source ORDER BY size_class, ('0x' || substr(k, 1, 8))::BIGINT % 256, k, doc_id) AS rank,
-    coalesce(t.target / nullif(t.source_size, 0), 0) AS rate
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-e AS (SELECT source, o, row_number() OVER (PARTITION BY source ORDER BY abs(sum((floor(rate * rank + o) - floor(rate * (rank - 1) + o))::BIGINT * size)::BIGINT - max(target)), o) AS n
-  FROM r, (SELECT (2 * range + 1)::DOUBLE / 64 AS o FROM range(32)) GROUP BY source, o),
-c AS (SELECT r.*, (floor(rate * rank + o) - floor(rate * (rank - 1) + o))::BIGINT AS copies FROM r JOIN e ON r.source IS NOT DISTINCT FROM e.source AND n = 1)
+k AS (SELECT *, 200 * min(size) OVER (PARTITION BY source, size_class) > source_size AS giant
+  FROM (SELECT d.*, t.source_size, t.target FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)),
+r AS (SELECT *, row_number() OVER (PARTITION BY source, giant ORDER BY size_class, ('0x' || substr(k, 1, 8))::BIGINT % 256, k, doc_id) AS rank,
+    ('0x' || substr(md5('0:' || CASE WHEN giant THEN 'giant:' ELSE '' END || coalesce('s' || source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS o FROM k),
+g1 AS (SELECT *, (floor(rate * rank + o) - floor(rate * (rank - 1) + o))::BIGINT AS copies FROM (SELECT *, coalesce(target / nullif(source_size, 0), 0) AS rate FROM r WHERE giant)),
+g2 AS (SELECT source, max(target) AS target, sum(size) AS words FROM r WHERE NOT giant GROUP BY source),
+g3 AS (SELECT g2.source, least(2.0::DOUBLE, greatest(0.0::DOUBLE, coalesce((g2.target - coalesce(take, 0)) / nullif(words, 0), 0))) AS rate
+  FROM g2 LEFT JOIN (SELECT source, sum(copies * size)::BIGINT AS take FROM g1 GROUP BY source) u ON g2.source IS NOT DISTINCT FROM u.source),
+c AS (SELECT doc_id, source, size, source_size, target, copies FROM g1 UNION ALL
+  SELECT doc_id, r.source, size, source_size, r.target, (floor(g3.rate * rank + o) - floor(g3.rate * (rank - 1) + o))::BIGINT FROM r JOIN g3 ON r.source IS NOT DISTINCT FROM g3.source WHERE NOT giant)
 SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM c
 """
 
