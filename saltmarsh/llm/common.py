@@ -42,11 +42,14 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only where the session names none (tests in local mode) is a temporary folder made.
+    Where the session names none, a temporary folder is made in local mode; on a cluster that is an error, as executors
+    would write to folders of their own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if "dir" not in _own:
         _own["dir"] = "file://" + tempfile.mkdtemp(prefix="saltmarsh-")
     return _own["dir"]
@@ -76,6 +79,26 @@ def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     return spark.table(name)
 
 
+#: A key is hot with more than one in HOT_SHARE of all rows and more than HOT_ROWS rows; so there are fewer than HOT_SHARE of them.
+HOT_SHARE, HOT_ROWS = 200, 10_000
+
+
+def join_skewed(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``left`` joined to ``right``, whose ``key`` is unique, inner or left: rows of hot keys stay where they are.
+
+    ``left`` should be a stored table, as it is read once to count the keys.
+    """
+    counts = left.groupBy(key).count()
+    most = max(HOT_ROWS, left.count() // HOT_SHARE)
+    hot = [r[0] for r in counts.where(F.col("count") > most).select(key).collect()]  # fewer than HOT_SHARE
+    if not hot:
+        return left.join(right, key, how)
+    keys = F.broadcast(left.sparkSession.createDataFrame([(k,) for k in hot], left.select(key).schema))
+    few = F.broadcast(right.join(keys, key, "left_semi"))
+    cold = left.join(keys, key, "left_anti").join(right, key, how)
+    return cold.unionByName(left.join(keys, key, "left_semi").join(few, key, how))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,8 +9,10 @@ posted at all. Candidates are confirmed on the full sets.
 No list is expanded into pairs. Each list names a hub, the member whose values are the most shared, and pairs its
 members with it; confirmed links join components. Lists that name the same hub form a group. In a group that
 still holds several components, each member outside the largest one is held against all others, in blocks
-of bounded rows and bytes, three times over: by sketches (a byte of each coordinate), which count the coordinates
-that agree; by parities of what passed; by full sets of what passed that. So most members travel as 64 bytes, and
+of bounded rows and bytes, three times over: by sketches (a byte of each coordinate); by parities of what passed; by
+full sets of what passed that. In a block the members lie in a posting list for each coordinate and byte, and an asking
+row counts collisions by merging its lists: the SHORT shortest are merged, members that they give too seldom to reach
+MATCHES are skipped, and the long lists are only probed for the rest. So most members travel as 64 bytes, and
 sets only where sketch and parity leave a doubt. A block gives one link for each member and component at most. So
 every pair of a list is confirmed, or its ends are joined by other links.
 
@@ -36,10 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saltmarsh.llm.common import bucketed, materialize, ship
+from saltmarsh.llm.common import bucketed, join_skewed, materialize, ship
 
 COORDINATES = 64
 MATCHES = 36
+#: Lists of a sketch that are merged; the longer ones are probed.
+SHORT = 32
 #: Rows of a block: members outside the largest component, and members they are held against.
 OUTSIDERS, MEMBERS = 4096, 16_384
 #: Shingles of those members of a block that ask or are asked, where sets or parities travel.
@@ -240,6 +244,30 @@ class _Parities:
         return out
 
 
+class _Lists:
+    """Posting lists of sketches: for each coordinate and byte the rows that have it, in order."""
+
+    def __init__(self, sketches: np.ndarray):
+        self.sketches = sketches
+        self.rows = np.argsort(sketches, axis=0, kind="stable").astype(np.int32)
+        size = np.stack([np.bincount(sketches[:, c], minlength=256) for c in range(COORDINATES)])
+        self.ends = np.cumsum(size, axis=1)
+        self.starts = self.ends - size
+
+    def collisions(self, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows that agree with a sketch in MATCHES coordinates at least, and in how many."""
+        every = np.arange(COORDINATES)
+        starts, ends = self.starts[every, sketch], self.ends[every, sketch]
+        order = np.argsort(ends - starts, kind="stable")
+        short, long = order[:SHORT], order[SHORT:]
+        merged = np.concatenate([self.rows[starts[c] : ends[c], c] for c in short])
+        times = np.bincount(merged, minlength=len(self.rows))
+        met = np.flatnonzero(times >= MATCHES - len(long))  # the long lists can't make up for less
+        agree = times[met] + (self.sketches[met][:, long] == sketch[long]).sum(axis=1)
+        enough = agree >= MATCHES
+        return met[enough], agree[enough]
+
+
 class _Block:
     """Members that ask, and members of other components that may be linked with them."""
 
@@ -253,14 +281,14 @@ class _Block:
     def __iter__(self) -> Iterator[tuple[int, np.ndarray]]:
         """Each asking row and the rows in doubt, those with the most agreeing coordinates first."""
         members = np.flatnonzero(~self.asking)
-        sketches, n, cls, part = self.sketches[members], self.n[members], self.cls[members], self.part[members]
+        lists, n, cls, part = _Lists(self.sketches[members]), self.n[members], self.cls[members], self.part[members]
         inside = ~self.outside[members]
         for i in np.flatnonzero(self.asking):
-            like = (np.minimum(n, self.n[i]) * 100 >= self.percent * np.maximum(n, self.n[i])) & (part != self.part[i]) & (inside | (self.cls[i] < cls))
-            fit = np.flatnonzero(like)
-            agree = (sketches[fit] == self.sketches[i]).sum(axis=1)
-            order = np.argsort(-agree, kind="stable")
-            others = members[fit[order[agree[order] >= MATCHES]]]
+            met, agree = lists.collisions(self.sketches[i])
+            size = n[met]
+            like = (np.minimum(size, self.n[i]) * 100 >= self.percent * np.maximum(size, self.n[i])) & (part[met] != self.part[i]) & (inside[met] | (self.cls[i] < cls[met]))
+            met, agree = met[like], agree[like]
+            others = members[met[np.argsort(-agree, kind="stable")]]
             if self.parities is not None and len(others):
                 others = others[may_link(self.parities.differ(i, others), self.n[others] + self.n[i], self.percent)]
             if len(others):
@@ -336,10 +364,11 @@ def components(links: DataFrame) -> DataFrame:
     both = materialize(both.distinct(), "links")
     labels = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels")
     while True:
-        near = both.join(labels.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
+        near = join_skewed(both, labels.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
         new = labels.join(near, "a").select("a", F.least("label", "near").alias("label"), F.col("label").alias("old"))
+        new = materialize(new, "labels")
         jump = new.select(F.col("a").alias("label"), F.col("label").alias("far"))
-        new = materialize(new.join(jump, "label").select("a", F.least("label", "far").alias("label"), "old"), "labels")
+        new = materialize(join_skewed(new, jump, "label").select("a", F.least("label", "far").alias("label"), "old"), "labels")
         labels = new.select("a", "label")
         if new.where("label <> old").isEmpty():
             return labels.select(F.col("a").alias("node"), F.col("label").alias("component"))
@@ -423,6 +452,7 @@ def group(docs: DataFrame, width: int, percent: int = 80, id_col: str = "doc_id"
     classes = materialize(by_set.withColumn("class", F.monotonically_increasing_id()), "classes")
     links = pair_links(classes, rows, width, percent)
     known = classes.select("set_key", "class", F.col("id").alias("class_id"))
+    slim = signed.select("id", "n_shingles", "set_key")
     if links.isEmpty():
         known = known.withColumn("component_id", F.col("class_id"))
     else:
@@ -430,7 +460,8 @@ def group(docs: DataFrame, width: int, percent: int = 80, id_col: str = "doc_id"
         known = known.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
         smallest = known.groupBy("component").agg(F.min("class_id").alias("component_id"))
         known = known.join(smallest, "component")
-    named = signed.join(known.select("set_key", "class_id", "component_id"), "set_key", "left")
+    named = join_skewed(slim.where("set_key IS NOT NULL"), known.select("set_key", "class_id", "component_id"), "set_key", "left")
+    named = named.unionByName(slim.where("set_key IS NULL"), allowMissingColumns=True)
     linked = F.col("id").isNotNull()
     return named.select(
         F.col("id").alias(id_col),

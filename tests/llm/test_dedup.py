@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
-from saltmarsh.llm import line_dedup, near_dedup
+import numpy as np
+
+from saltmarsh.llm import common, line_dedup, near_dedup
 
 
 def passage(seed: int, n: int) -> str:
@@ -86,6 +89,31 @@ def test_near_duplicates_equal_brute_force(spark):
         assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_merged_lists_count_what_a_comparison_counts():
+    r = np.random.default_rng(3)
+    sketches = r.integers(0, 256, (400, near_dedup.COORDINATES), dtype=np.uint8)
+    for k in range(300):  # near copies of row 0 of every degree, and values that all rows share
+        same = r.permutation(near_dedup.COORDINATES)[: k % 65]
+        sketches[100 + k, same] = sketches[0, same]
+    sketches[:, :20] = 7
+    lists = near_dedup._Lists(sketches)
+    for i in (0, 5, 399):
+        agree = (sketches == sketches[i]).sum(axis=1)
+        want = np.flatnonzero(agree >= near_dedup.MATCHES)
+        met, times = lists.collisions(sketches[i])
+        assert met.tolist() == want.tolist() and times.tolist() == agree[want].tolist()
+
+
+def test_hot_keys_are_joined_alike(spark, monkeypatch):
+    rows = [(k % 3 if k % 4 else None, k) for k in range(300)] + [(9, 1000)]
+    left = spark.createDataFrame(rows, "key long, v long")
+    right = spark.createDataFrame([(0, "a"), (1, "b"), (5, "c")], "key long, w string")
+    want = {how: Counter(map(tuple, left.join(right, "key", how).collect())) for how in ("inner", "left")}
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    for how in want:
+        assert Counter(map(tuple, common.join_skewed(left, right, "key", how).collect())) == want[how]
+
+
 def test_a_common_passage_in_a_third_of_all_documents(spark):
     hot = passage(1, 40)
     rows = [(k, f"{hot} {passage(50 + k, 12 if k % 2 else 60)}") for k in range(150)] + [(1000 + k, passage(900 + k, 40)) for k in range(150)]
