@@ -6,7 +6,9 @@ close a turn, and ``unescape`` restores it.
 
 Prefix sums of turn tokens cut a conversation into spans: a turn belongs to the stride in which its last token
 falls. A stride is half of what the budget leaves after system turn and history, so a window keeps to the
-budget unless one turn alone is longer than a stride; such a turn stays whole. Each window repeats the system
+budget unless one turn alone is longer than a stride, or the system turn leaves less than MIN_STRIDE; turns stay whole.
+Tokens of a turn are those of its text, counted before (``tokens_col``, as token_counts gives them), and FRAME_TOKENS for
+its marks; without counts, a quarter of its bytes. Each window repeats the system
 turn that opens the conversation and as many turns before the span as fit the history allowance. The loss mask
 covers assistant texts of the span alone, so each target counts once.
 
@@ -28,6 +30,8 @@ BUDGET = 1024
 HISTORY = 128
 MIN_STRIDE = 64
 BYTES_A_TOKEN = 4
+#: Tokens of a turn's marks and role, where texts' tokens are counted.
+FRAME_TOKENS = 6
 
 
 def _swap(c: Column, old: str, new: str) -> Column:
@@ -44,8 +48,8 @@ def unescape(c: Column, role: bool = False) -> Column:
     return _swap(_swap(out, "\\n", "\n") if role else out, "\\s", "\\")
 
 
-def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """From (conv_id, turn, role, text): conv_id, window, text, n_tokens, n_repeated and loss.
+def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens_col: str | None = None) -> DataFrame:
+    """From (conv_id, turn, role, text), and the text's tokens if named: conv_id, window, text, n_tokens, n_repeated and loss.
 
     n_repeated says how many turns at the front are repeats; loss holds (start, end) in characters.
     """
@@ -54,13 +58,14 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     turn = conv.orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     by_n = conv.orderBy("n")
     numbered = (
-        conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"))
+        conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.col(tokens_col) if tokens_col else F.lit(None)).cast("long").alias("tokens"))
         .withColumn("n", F.row_number().over(turn))
         .withColumn("system", (F.col("n") == 1) & (F.col("role") == "system"))
         .withColumn("head", F.concat(F.lit(START), escape(F.col("role"), True), F.lit("\n")))
         .withColumn("body", escape(F.col("text")))
-        .select("conv_id", "n", "system", "role", "head", "body")
-        .withColumn("cost", F.ceil((F.octet_length("head") + F.octet_length("body") + len(END)) / BYTES_A_TOKEN))
+        .withColumn("bytes", F.octet_length("head") + F.octet_length("body") + len(END))
+        .withColumn("cost", F.coalesce(F.col("tokens") + FRAME_TOKENS, F.ceil(F.col("bytes") / BYTES_A_TOKEN)))
+        .select("conv_id", "n", "system", "role", "head", "body", "cost")
     )
     own = F.when(F.col("system"), 0).otherwise(F.col("cost"))
     stride = F.greatest(F.lit(MIN_STRIDE), F.floor((budget - history - F.col("system_cost")) / 2))
