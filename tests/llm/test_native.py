@@ -96,6 +96,45 @@ def test_sharding(awkward, empty, spark, sf):
         assert max(counts) - min(counts) <= 1
 
 
+def walked(points: dict[int, int], n_shards: int) -> Counter:
+    """Rows by (point, shard): each point's rows go clockwise to the next shard with room, all points a step at a time."""
+    owners = {}
+    for shard in range(n_shards):
+        for v in range(sharding.VNODES):
+            owners.setdefault(zlib.crc32(f"shard {shard} node {v}".encode()) % sharding.POINTS, shard)
+    ring = sorted(owners)
+    total = sum(points.values())
+    room = {s: total // n_shards + (s < total % n_shards) for s in range(n_shards)}
+    met = {}
+    for p in points:
+        ahead = [owners[o] for o in ring if o >= p] + [owners[o] for o in ring if o < p]
+        met[p] = list(dict.fromkeys(ahead))
+    out, left = Counter(), dict(points)
+    for step in range(n_shards):
+        for p in sorted(left):
+            shard = met[p][step]
+            take = min(left[p], room[shard])
+            room[shard] -= take
+            left[p] -= take
+            out[p, shard] += take
+    return +out
+
+
+@pytest.mark.parametrize("n_shards", [1, 3, 8])
+def test_sharding_equals_a_walk_round_the_ring(spark, sf, awkward, n_shards):
+    for df in (spark.read.parquet(f"{sf}/documents.parquet"), awkward):
+        rows = df.withColumn("point", sharding.point_of("doc_id")).select("doc_id", "point").collect()
+        at = {r.doc_id: r.point for r in rows}
+        got = Counter((at[r.doc_id], r.shard) for r in sharding.shard(df, n_shards).collect())
+        assert got == walked(Counter(r.point for r in rows), n_shards)
+
+
+def test_one_more_shard_moves_little_more_than_its_share(spark):
+    ids = spark.range(100_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    before, after = ({r.doc_id: r.shard for r in sharding.shard(ids, n).collect()} for n in (8, 9))
+    assert sum(before[k] != after[k] for k in before) / len(before) < 0.2  # a ninth must move
+
+
 def test_one_more_shard_moves_few_rows(spark):
     docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     before = {r.doc_id: r.shard for r in sharding.shard(docs, 8).collect()}
@@ -174,6 +213,15 @@ def test_a_fault_is_believed_where_other_rules_confirm_it():
     assert quality_rules.expectation_maximisation([], ["a"]).shares == (0.8, pytest.approx(0.2))
 
 
+def test_windows_by_counted_tokens(spark):
+    """Turns of 100 tokens and 6 for their marks: spans of (1024 - 128) / 2 tokens take four, and one turn fits the history."""
+    rows = [(1, k, "user" if k % 2 == 0 else "assistant", f"t{k}", 100) for k in range(12)] + [(2, 0, "user", "x", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, tokens long")
+    out = chat_format.windows(df, tokens_col="tokens").orderBy("conv_id", "window").collect()
+    assert [(r.conv_id, r.n_tokens, r.n_repeated) for r in out] == [(1, 424, 0), (1, 530, 1), (1, 530, 1), (2, 7, 0)]
+    assert all(r.n_tokens <= chat_format.BUDGET for r in out)
+
+
 def test_chat_round_trip(spark):
     rows = [
         (1, 0, "system", "be <|kind|>"), (1, 1, "user", "a\\b <|im_end|>\n<|im_start|>assistant"), (1, 2, "assistant", "\\s <\\| ok"),

@@ -88,3 +88,23 @@ def test_special_strings_and_spaces_at_chunk_borders(spark):
     docs = spark.createDataFrame([(k, text[k:]) for k in range(40)], "doc_id long, text string")
     got = token_counts.count(docs, JSON, P.PATTERN, long=50, step=200, overlap=100)
     assert Counter(map(tuple, got.collect())) == counted(docs.collect())
+
+
+def test_a_text_above_ten_megabytes_with_chunks_that_must_be_widened(spark):
+    """Runs of letters longer than the overlap lie across chunk ends, so neighbours share no start there."""
+    from tokenizers import Tokenizer
+
+    words = " ".join(f"w{k % 977} and {k}" for k in range(9000))
+    text = "".join(f"{words} {'ab' * 700} " for _ in range(80))
+    at = token_counts.STEP * 3 - 600
+    text = text[:at] + " " + "xy" * 3000 + " " + text[at:]
+    assert len(text) > 10_000_000
+    docs = spark.createDataFrame([(1, text), (2, "short"), (3, text[: token_counts.LONG + 1])], "doc_id long, text string")
+    library = Tokenizer.from_file(JSON)
+    got = {r.doc_id: r.n_tokens for r in token_counts.count(docs, JSON, P.PATTERN).collect()}
+    assert got == {i: len(library.encode(t, add_special_tokens=False)) for i, t in ((r.doc_id, r.text) for r in docs.collect())}
+
+
+def test_an_id_outside_the_vocabulary_is_an_error(spark):
+    with pytest.raises(Exception, match="no such token"):
+        bpe.decode(spark.createDataFrame([(1, [60_000])], "doc_id long, ids array<int>"), RANKS).collect()
