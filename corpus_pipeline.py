@@ -1,6 +1,12 @@
 """A training-data pipeline over ``documents``: each stage's result is written as Parquet and read by the next.
 
 All stages but the last return the columns of documents; the last returns token ids.
+
+Cases, in every stage: an empty table gives an empty result; other columns go; a null text stays null until quality rules
+reject it, as they do empty texts. Repeated rows are judged each by quality rules, and the later one loses its passages
+in line dedup, a null id coming first. Near-dedup decides by id: rows that share one stay or go together, rows without
+id stay. Mixing takes each row by itself, ties in its order being rows that agree in id and size, and a null source is
+one. The last stage gives every row its ids.
 """
 
 from __future__ import annotations
@@ -55,7 +61,7 @@ STAGES = [
     ("tokens", tokens),
 ]
 
-#: Signatures, rolling hashes and fitted rules have no SQL form; tests hold the stages against brute force.
+#: Signatures, passages and fitted rules in turn have no SQL form; tests hold run() against a version in plain Python.
 ORACLE_SQL = None
 
 
