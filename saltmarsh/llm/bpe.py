@@ -178,7 +178,12 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str, n_buckets:
     return bucketed(slim.mapInArrow(cut, schema), "block", "bpe_blocks")
 
 
-def _encode_words(path: str):
+def _width(path: str) -> str:
+    """The least unsigned integers that hold every id."""
+    return "<u2" if max(_ranks(path).values()) < 1 << 16 else "<u4"
+
+
+def _encode_words(path: str, width: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece, bucket, known = _encoding(path).encode_ordinary, None, {}
         for batch in batches:
@@ -194,20 +199,20 @@ def _encode_words(path: str):
                 out["block"].append(block)
                 out["bucket"].append(b)
                 out["lens"].append(_pack(np.fromiter(map(len, found), "<u4", len(found)).tobytes()))
-                out["ids"].append(_pack(np.fromiter((i for f in found for i in f), "<u4").tobytes()))
+                out["ids"].append(_pack(np.fromiter((i for f in found for i in f), width).tobytes()))
             yield pa.RecordBatch.from_pydict(out, pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("lens", pa.binary()), ("ids", pa.binary())]))
 
     return run
 
 
-def _assemble(n_buckets: int):
+def _assemble(n_buckets: int, width: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {n: batch.column(n)[k].as_py() for n in batch.schema.names if n != "ids"}
                 found = [x | {c: _unpack(x[c]) for c in ("lens", "ids")} for x in sorted(row["found"], key=lambda x: x["bucket"])]
                 lens = np.concatenate([np.frombuffer(x["lens"], "<u4") for x in found] or [np.empty(0, "<u4")]).astype(np.int64)
-                ids = np.concatenate([np.frombuffer(x["ids"], "<u4") for x in found] or [np.empty(0, "<u4")]).astype(np.int32)
+                ids = np.concatenate([np.frombuffer(x["ids"], width) for x in found] or [np.empty(0, width)]).astype(np.int32)
                 first = np.zeros(n_buckets, np.int64)  # each bucket's first word
                 total = 0
                 for x in found:
@@ -239,18 +244,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     ship(docs.sparkSession)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_buckets = min(MOST_BUCKETS, max(BUCKETS, n))
-    table = blocks(docs, id_col, text_col, pattern, n_buckets)
+    table, width = blocks(docs, id_col, text_col, pattern, n_buckets), _width(ranks_path)
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     words = table.select("block", F.posexplode("words").alias("bucket", "words")).where(F.octet_length("words") > 0)
     encoded = (
         words.repartition(n, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_encode_words(ranks_path), "block long, bucket int, lens binary, ids binary")
+        .mapInArrow(_encode_words(ranks_path, width), "block long, bucket int, lens binary, ids binary")
     )
     found = encoded.groupBy("block").agg(F.collect_list(F.struct("bucket", "lens", F.col("ids").alias("ids"))).alias("found"))
     none = F.array().cast("array<struct<bucket: int, lens: binary, ids: binary>>")
     met = table.drop("words").join(found.hint("shuffle_merge"), "block", "left").withColumn("found", F.coalesce("found", none)).drop("block")
-    return met.mapInArrow(_assemble(n_buckets), f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col)
+    return met.mapInArrow(_assemble(n_buckets, width), f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
