@@ -88,9 +88,9 @@ def join_skewed(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
 
     ``left`` should be a stored table, as it is read once to count the keys.
     """
-    counts = left.groupBy(key).count()
-    most = max(HOT_ROWS, left.count() // HOT_SHARE)
-    hot = [r[0] for r in counts.where(F.col("count") > most).select(key).collect()]  # fewer than HOT_SHARE
+    rows = left.count()
+    counts = left.groupBy(key).count().where((F.col("count") > max(HOT_ROWS, rows // HOT_SHARE)) & F.col(key).isNotNull())
+    hot = [r[0] for r in counts.select(key).collect()] if rows > HOT_ROWS else []  # fewer than HOT_SHARE
     if not hot:
         return left.join(right, key, how)
     keys = F.broadcast(left.sparkSession.createDataFrame([(k,) for k in hot], left.select(key).schema))
