@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from saltmarsh.functions.classify import with_classes
 from saltmarsh.functions.timeops import day_number, iso_text, iso_time, to_utc, trimmed
 from saltmarsh.operators.tide import CASCADE, cascade
-from saltmarsh.sources.tables import not_null, require
+from saltmarsh.sources.tables import materialize, not_null, require
 
 REQUIRED = ["selected_time", "xml_center_lon", "xml_center_lat"]
 #: The columns that are added, in order.
@@ -44,14 +44,15 @@ def scene_tide(
     """All columns of ``info``, then ADDED; columns of those names give way.
 
     Rows without time or centre are left out, a blank time being none. Local times lie ``hours`` ahead of UTC. Rows that
-    share a file are rows of their own. The quartiles are those of all rows of this table.
+    share a file are rows of their own. The quartiles are those of all rows of this table, whose heights are stored first.
     """
     timed = not_null(require(info, REQUIRED), REQUIRED).where(trimmed(F.col("selected_time")) != "")
     kept = [c for c in info.columns if c not in ADDED]
     local = local_time(trimmed(F.col("selected_time")))
     at = timed.select(F.struct(*kept).alias("info"), local.alias("local"), *(F.col(f"xml_center_{c}").cast("double").alias(c) for c in ("lon", "lat")))
     at = at.withColumn("utc", to_utc(F.col("local"), hours)).withColumn("days", day_number(F.col("utc")))
-    classed = with_classes(cascade(at, grid, constituents, step, lon0, lat0, max_degrees, nodal), "tide_ocean_m")
+    heights = materialize(cascade(at, grid, constituents, step, lon0, lat0, max_degrees, nodal), "scene-heights")
+    classed = with_classes(heights, "tide_ocean_m")
     added = {
         "selected_time_local": iso_text(F.col("local")),
         "selected_time_utc": iso_text(F.col("utc")),

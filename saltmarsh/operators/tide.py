@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from saltmarsh.functions.classify import finite
 from saltmarsh.functions.geo import haversine_km
+from saltmarsh.sources.tables import materialize
 
 BOXES = (0.25, 0.5, 1.0)
 LEAST_AMPLITUDE = 0.001
@@ -58,7 +59,8 @@ def nearest_valid(scenes: DataFrame, cells: DataFrame, max_degrees: float = 2.0,
     s = scenes.select(F.col(id_col).alias("id"), F.col("lon").alias("s_lon"), F.col("lat").alias("s_lat")).where(on_earth(lon, lat)).distinct()
     cell = "struct<lat_idx: bigint, lon_idx: bigint, lon: double, lat: double, km: double>"
     s = s.withColumn("best", F.lit(None).cast(cell))
-    found = F.struct(F.col("lat_idx").cast("long").alias("lat_idx"), F.col("lon_idx").cast("long").alias("lon_idx"), "lon", "lat", haversine_km(lon, lat, F.col("lon"), F.col("lat")).alias("km"))
+    index = [F.col(c).cast("long").alias(c) for c in ("lat_idx", "lon_idx")]
+    found = F.struct(*index, "lon", "lat", haversine_km(lon, lat, F.col("lon"), F.col("lat")).alias("km"))
     for size in (*BOXES, *([max_degrees] if max_degrees > BOXES[-1] else [])):
         tile = lambda c: F.floor(c / size)  # noqa: B023, E731
         span = lambda c: F.sequence(tile(c - size), tile(c + size))  # noqa: B023, E731
@@ -155,8 +157,9 @@ def cascade(scenes: DataFrame, grid: DataFrame, constituents: DataFrame, step: f
 
     Linear first, then the nearest cell, then the nearest valid cell, each for the scenes left without a height. Heights
     are made once for each distinct (lon, lat, days), whatever ids the scenes have or share, so repeated rows have one
-    height. One pass over the grid serves linear and nearest. A scene that no step resolves, such as one with a null or
-    non-finite coordinate, is marked nearest, at its own centre, with null height.
+    height. One pass over the grid serves linear and nearest; its result is stored, as the scenes it leaves are sought in
+    it. A scene that no step resolves, such as one with a null or non-finite coordinate, is marked nearest, at its own
+    centre, with null height.
     """
     kept = [c for c in scenes.columns if c not in CASCADE]
     place = F.struct("lon", "lat", "days").alias("place")
@@ -172,7 +175,7 @@ def cascade(scenes: DataFrame, grid: DataFrame, constituents: DataFrame, step: f
         F.when(F.count_if(weighs) == F.max(F.col("wanted") * F.col("n_all")), F.sum(F.when(weighs, F.col("w") * h))).alias("h1"),
         F.when(F.count_if(F.col("near")) == F.max("n_all"), F.sum(F.when(F.col("near"), h))).alias("h2"),
     )
-    tried = places.join(both, "place", "left")
+    tried = materialize(places.join(both, "place", "left"), "heights")
     rest = tried.where("h1 IS NULL AND h2 IS NULL").select("place", "place.lon", "place.lat")
     near = nearest_valid(rest, valid_cells(grid), max_degrees, "place")
     moved = near.select("place", "km", F.col("cell_lon").alias("near_lon"), F.col("cell_lat").alias("near_lat"), F.col("cell_lat_idx").alias("lat_idx"), F.col("cell_lon_idx").alias("lon_idx"))
@@ -180,7 +183,7 @@ def cascade(scenes: DataFrame, grid: DataFrame, constituents: DataFrame, step: f
     third = met.groupBy("place", "km", "near_lon", "near_lat").agg(F.when(F.count("speed") == F.max("n_all"), F.sum(h)).alias("h3"))
     found = F.col("near_lon").isNotNull()
     return (
-        every.join(both, "place", "left")
+        every.join(tried, "place", "left")
         .join(third, "place", "left")
         .select(
             "scene.*",

@@ -1,7 +1,10 @@
-"""CSV tables with a byte-order mark, and checks on their columns."""
+"""CSV tables with a byte-order mark, checks on columns, and tables that a computation stores on its way."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -13,6 +16,8 @@ MISSING = (
 )
 BYTE_ORDER_MARK = "\ufeff"
 
+_own: dict[str, str] = {}
+
 
 def require(df: DataFrame, columns: list[str]) -> DataFrame:
     """``df``, or an error that lists the missing columns in order."""
@@ -49,3 +54,35 @@ def write_csv(df: DataFrame, path: str, order_by: str | None = None) -> None:
 
 def not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     return require(df, columns).na.drop(subset=columns)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where the session names none, a temporary folder is made in local mode; on a cluster that is an error, as executors
+    would write to folders of their own.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    if "dir" not in _own:
+        _own["dir"] = "file://" + tempfile.mkdtemp(prefix="saltmarsh-")
+    return _own["dir"]
+
+
+def job_dir(spark: SparkSession) -> str:
+    """This application's folder in the shared one: what it wrote can go once its results are stored."""
+    return f"{shared_dir(spark)}/saltmarsh-{spark.sparkContext.applicationId}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it again.
+
+    Cuts lineage: what follows survives lost executors without repeating what came before.
+    """
+    spark = df.sparkSession
+    path = f"{job_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -316,9 +316,11 @@ def test_from_archives_to_the_report(spark, tmp_path):
     assert [r.tide_level_class_threshold for r in rows] == fixed
     text = agreement.report(back)
     assert text.startswith(f"rows = 8\nexact_agreement = {sum(rows[k].tide_level_class == fixed[k] for k in range(8))}\n")
-    assert tuple(tide.summary(out).first())[:2] == (8, 0)
+    assert tuple(tide.summary(back).first())[:2] == (8, 0)
     with pytest.raises(Exception, match="has an offset"):
-        scene_tide.scene_tide(info.withColumn("selected_time", F.lit("2024-01-01 00:00:00+08:00")), spark.createDataFrame(grid_rows(), GRID), m2, 1.0, 100.0, 20.0).collect()
+        info.select(scene_tide.local_time(F.lit("2024-01-01 00:00:00+08:00"))).collect()
+    with pytest.raises(Exception, match="is no time"):
+        info.select(scene_tide.local_time(F.lit("yesterday"))).collect()
 
 
 def test_csv(spark, tmp_path):
