@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saltmarsh.sources.tables import job_dir, materialize  # noqa: F401
+
 #: Characters that separate words: space and U+0009 to U+000D.
 WORD_SPACES = " \t\n\x0b\x0c\r"
 #: The same as a regular expression.
@@ -18,8 +20,6 @@ SPACE_RUN = r"[\x20\x09-\x0D]+"
 #: Bytes of an Arrow batch.
 ARROW_BYTES = 8 * 1024 * 1024
 
-_own: dict[str, str] = {}
-
 
 def ship(spark: SparkSession) -> None:
     """Give this package to the Python workers, once a context, so that they can import its functions.
@@ -39,38 +39,6 @@ def ship(spark: SparkSession) -> None:
     context._saltmarsh_shipped = True
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which driver and executors share.
-
-    Where the session names none, a temporary folder is made in local mode; on a cluster that is an error, as executors
-    would write to folders of their own.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    if "dir" not in _own:
-        _own["dir"] = "file://" + tempfile.mkdtemp(prefix="saltmarsh-")
-    return _own["dir"]
-
-
-def job_dir(spark: SparkSession) -> str:
-    """This application's folder in the shared one: what it wrote can go once its results are stored."""
-    return f"{shared_dir(spark)}/saltmarsh-{spark.sparkContext.applicationId}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it again.
-
-    Cuts lineage: what follows survives lost executors without repeating what came before.
-    """
-    spark = df.sparkSession
-    path = f"{job_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     """Like ``materialize``, as a table bucketed by ``key``: joins and groupings by it leave these rows where they are."""
     spark = df.sparkSession
