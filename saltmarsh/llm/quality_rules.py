@@ -24,6 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saltmarsh.functions.timeops import let
 from saltmarsh.llm.common import SPACE_RUN, WORD_SPACES, materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -132,19 +133,22 @@ class RuleModel:
 
     def posterior(self) -> Column:
         """P(good | votes), from METRICS: one over the odds of all classes against good."""
-        votes = rules()
+        by_name = rules()
 
-        def odds(c: int) -> Column:
+        def odds(votes: Column, c: int) -> Column:
             out = F.lit(math.log(self.shares[c] / self.shares[0]))
-            for r, name in enumerate(self.names):
+            for r in range(len(self.names)):
                 against, for_ = (math.log(f(self.bad[c][r]) / f(self.bad[0][r])) for f in (float, lambda p: 1 - p))
-                out = out + F.when(votes[name] < 0, against).when(votes[name] > 0, for_).otherwise(0.0)
+                out = out + F.when(votes[r] < 0, against).when(votes[r] > 0, for_).otherwise(0.0)
             return F.exp(F.least(out, F.lit(700.0)))
 
-        total = F.lit(1.0)
-        for c in range(1, len(self.shares)):
-            total = total + odds(c)
-        return 1 / total
+        def share_of_good(votes: Column) -> Column:
+            total = F.lit(1.0)
+            for c in range(1, len(self.shares)):
+                total = total + odds(votes, c)
+            return 1 / total
+
+        return let(F.array(*(by_name[name] for name in self.names)), share_of_good)
 
     def accuracy(self) -> float:
         """Mean over the rules of being right on good documents and on the fault that each finds best."""
