@@ -7,8 +7,8 @@ encodes it once. The ids go back to the blocks, whose table is bucketed by block
 documents are put together by position. Only distinct words per block travel, never occurrences, so a word that
 every document uses costs one row entry a block.
 
-Decoding meets ids with the token-byte table where they are: the table, bounded by the vocabulary, goes to every task as
-a constant array in order of id, so it is a join without a shuffle of ids, and all of it is column expressions.
+Decoding meets ids with the token-byte table where they are: the table is the vocabulary, so each task holds it whole, in
+order of id, and takes a batch of ids from it at once. A shuffled join would move a row a token.
 
 Cases: null text is empty and has no ids; a text of any length is cut for matching only where a non-space meets
 a space, which always starts a pre-token; repeated rows, repeated and null ids give a row each; an empty table
@@ -26,7 +26,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saltmarsh.llm.common import bucketed, ship
@@ -57,15 +57,11 @@ def _encoding(path: str):
     return tiktoken.Encoding("ranks", pat_str=PIECE, mergeable_ranks=_ranks(path), special_tokens={})
 
 
-def token_bytes(ranks_path: str) -> tuple[Column, Column]:
-    """The token-byte table as two constant arrays in order of id: each token's bytes, and the id as four little-endian bytes.
-
-    Both are hexadecimal text; an id without token has none. The vocabulary bounds them.
-    """
-    by_id = {i: b.hex() for b, i in _ranks(ranks_path).items()}
-    ids = range(max(by_id) + 1)
-    constant = lambda texts: F.split(F.lit(",".join(texts)), ",")
-    return constant(by_id.get(i, "") for i in ids), constant(i.to_bytes(4, "little").hex() for i in ids)
+@lru_cache(maxsize=2)
+def _token_bytes(path: str) -> pa.Array:
+    """The token-byte table in order of id; null for an id without token."""
+    by_id = {i: b for b, i in _ranks(path).items()}
+    return pa.array([by_id.get(i) for i in range(max(by_id) + 1)], pa.large_binary())
 
 
 def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
@@ -239,8 +235,8 @@ def _assemble(n_buckets: int, width: str):
     return run
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Return id and ids (array of int) for every document."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", then=None) -> DataFrame:
+    """Return id and ids (array of int) for every document; with ``then``, from DECODED, what it makes of them."""
     ship(docs.sparkSession)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_buckets = min(MOST_BUCKETS, max(BUCKETS, n))
@@ -255,7 +251,39 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     found = encoded.groupBy("block").agg(F.collect_list(F.struct("bucket", "lens", F.col("ids").alias("ids"))).alias("found"))
     none = F.array().cast("array<struct<bucket: int, lens: binary, ids: binary>>")
     met = table.drop("words").join(found.hint("shuffle_merge"), "block", "left").withColumn("found", F.coalesce("found", none)).drop("block")
-    return met.mapInArrow(_assemble(n_buckets, width), f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col)
+    assemble, columns = _assemble(n_buckets, width), "ids array<int>"
+    if then is None:
+        return met.mapInArrow(assemble, f"id {id_type}, {columns}").withColumnRenamed("id", id_col)
+    # in the worker that assembles: a second one a task would need memory of its own
+    return met.mapInArrow(lambda batches: then(assemble(batches)), f"id {id_type}, {DECODED}").withColumnRenamed("id", id_col)
+
+
+DECODED = "n_tokens long, ids_le binary, decoded binary, ids array<int>"
+
+
+def decoding(ranks_path: str):
+    """Batches of id and ids to batches of id and DECODED. An id that the vocabulary lacks is an error."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _token_bytes(ranks_path)
+        for batch in batches:
+            lists = batch.column(1)
+            offsets = np.array(lists.offsets, np.int64)
+            flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+            offsets -= offsets[0]
+            try:
+                joined = table.take(flat)
+            except pa.ArrowIndexError as error:
+                raise ValueError(f"no such token: {error}") from error
+            if joined.null_count:
+                raise ValueError("no such token: an id lies in a gap of the vocabulary")
+            ends = np.concatenate([np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1), [0]])[offsets] if len(joined) else offsets
+            data = joined.buffers()[2] if len(joined) else pa.py_buffer(b"")
+            raw = pa.py_buffer(np.asarray(flat, dtype="<i4").tobytes())
+            columns = [batch.column(0), pa.array(np.diff(offsets)), _binary(offsets * 4, raw), _binary(ends, data), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids_le", "decoded", "ids"])
+
+    return run
 
 
 def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
@@ -263,12 +291,12 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", with_ids
 
     A null list decodes to nothing; an id that the vocabulary lacks is an error.
     """
-    tokens, numbers = token_bytes(ranks_path)
-    ids = F.coalesce("ids", F.array().cast("array<int>"))
+    ship(encoded.sparkSession)
+    id_type = encoded.select(id_col).schema[0].dataType.simpleString()
+    slim = encoded.select(F.col(id_col).alias("id"), F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    out = slim.mapInArrow(decoding(ranks_path), f"id {id_type}, {DECODED}").withColumnRenamed("id", id_col)
+    return out if with_ids else out.drop("ids")
 
-    def spelled(table: Column) -> Column:
-        missing = lambda i: F.raise_error(F.concat(F.lit("no such token: "), i.cast("string"))).cast("string")
-        return F.unhex(F.array_join(F.transform("ids", lambda i: F.coalesce(F.nullif(F.get(table, i), F.lit("")), missing(i))), ""))
 
-    columns = [F.size("ids").cast("long").alias("n_tokens"), spelled(numbers).alias("ids_le"), spelled(tokens).alias("decoded")]
-    return encoded.select(F.col(id_col), ids.alias("ids")).select(id_col, *columns, *["ids"] * with_ids)
+def _binary(offsets: np.ndarray, data: pa.Buffer) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64).tobytes()), data]).cast(pa.binary())

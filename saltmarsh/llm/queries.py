@@ -79,8 +79,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).select(
+    decoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, then=bpe.decoding(ranks))
+    return decoded.select(
         "doc_id", "n_tokens", F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
