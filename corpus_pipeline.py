@@ -49,7 +49,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row, and the digest of the bytes that they decode to."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks, with_ids=True)
+    decoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, then=bpe.decoding(ranks))
     return decoded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
