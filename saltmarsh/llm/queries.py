@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saltmarsh.llm import bpe, chat_format, line_dedup, mixing, near_dedup, quality_rules, sharding, token_counts, topk, url_filters
+from saltmarsh.llm import (
+    bpe, chat_format, collocations, line_dedup, mixing, near_dedup, quality_crf, quality_rules, sharding, spelling, token_counts, topk, url_filters,
+)
 from saltmarsh.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +94,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chain = quality_crf.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality_crf.score(docs.select("doc_id", "text"), chain)
+    held_out = quality_crf.held_out(F.col("doc_id"))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_topk": op2_topk,
@@ -103,6 +121,9 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
+    "op11_collocations": op11_collocations,
+    "op12_quality_crf": op12_quality_crf,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE_SQL: dict[str, str] = {}
@@ -257,3 +278,39 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id,
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+ORACLE_SQL["op11_collocations"] = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t)),
+g AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, m FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, range(1, 4) r(m) WHERE len(w) >= m)),
+f AS MATERIALIZED (SELECT lang, phrase, m, count(*) AS n FROM g GROUP BY ALL),
+total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m >= 2 AND n >= 10),
+cuts AS (SELECT c.lang, c.phrase, c.n AS a, k, x.n AS l, y.n AS r, (1000000 * c.n::HUGEINT * c.n // (x.n::HUGEINT * y.n))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c JOIN f x ON x.lang || chr(10) || x.phrase = c.lang || chr(10) || array_to_string(w[1:k], ' ') JOIN f y ON y.lang || chr(10) || y.phrase = c.lang || chr(10) || array_to_string(w[k + 1:], ' ')),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM cuts),
+covered AS (SELECT lang, sub, max(n) AS n FROM (SELECT lang, n, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS sub FROM c WHERE m = 3) GROUP BY lang, sub),
+ranked AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM best b LEFT JOIN covered v ON v.lang || chr(10) || v.sub = b.lang || chr(10) || b.phrase WHERE nth = 1 AND (v.n IS NULL OR 100 * v.n < 50 * a))
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000
+"""
+
+# crc32 by its table, which the polynomial gives
+ORACLE_SQL["op13_spelling"] = r"""
+WITH RECURSIVE steps(b, c, k) AS (SELECT range, range, 0 FROM range(256) UNION ALL SELECT b, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS crcs FROM steps WHERE k = 8),
+o AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents) WHERE length(run) >= 7 GROUP BY ALL),
+b AS (SELECT run, n, flatten(list_transform(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda x: unicode(x)), lambda u: CASE WHEN u < 128 THEN [u] ELSE [192 + u // 64, 128 + u % 64] END)) AS bytes FROM o),
+h AS (SELECT run, n, xor(list_reduce(list_transform(bytes, lambda x: x::BIGINT), lambda c, x: xor(c // 256, crcs[xor(c, x) % 256 + 1]), 4294967295), 4294967295) AS h FROM b, crc),
+v AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM v WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+e AS (SELECT word, n, i, left(word, i - 1) AS head, substr(word, i + 1) AS tail FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM w)),
+pairs AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM e a JOIN e b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM e a JOIN w b ON a.head || a.tail = b.word),
+near AS (SELECT * FROM pairs UNION SELECT other, other_n, word, n FROM pairs),
+best AS (SELECT word, n, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM near GROUP BY word, n),
+form AS (SELECT word, n_near, CASE WHEN other_n >= 10 * n THEN other END AS form, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n FROM best),
+chain(word, root, d) AS (SELECT word, form, 1 FROM form WHERE form IS NOT NULL UNION ALL SELECT chain.word, form.form, d + 1 FROM chain JOIN form ON chain.root = form.word WHERE form.form IS NOT NULL),
+roots AS (SELECT word, arg_max(root, d) AS root FROM chain GROUP BY word)
+SELECT w.word, form, coalesce(root, w.word) AS root, n, coalesce(n_near, 0) AS n_near, form_n FROM w LEFT JOIN form ON w.word = form.word LEFT JOIN roots ON w.word = roots.word
+"""
