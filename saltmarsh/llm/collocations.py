@@ -40,15 +40,15 @@ from saltmarsh.llm.common import join_skewed, materialize, ship
 #: What parts pieces, besides U+000A to U+000D.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 #: Words of an automaton, bytes of text taken at once, and bytes of text to a bucket.
-SHARD_WORDS, SLICE_BYTES, BUCKET_BYTES = 2_000_000, 2 << 20, 4 << 20
+SHARD_WORDS, SLICE_BYTES, BUCKET_BYTES = 800_000, 2 << 20, 4 << 20
 #: Phrases that a merging task holds unmerged.
-PENDING = 2_000_000
+PENDING = 1_000_000
 
 _PLAIN = bytes.maketrans(b"\t" + PIECE_ENDS, b" " + b"." * len(PIECE_ENDS))
 _BREAK = re.compile(rb"[ .]")
-PACKED = "bucket int, packed binary"
+PACKED = "lang string, bucket int, packed binary"
 COUNTED = "lang string, phrase string, n long"
-_PHRASES = pa.schema([("lang", pa.large_binary()), ("phrase", pa.large_binary()), ("n", pa.int64())])
+_PHRASES = pa.schema([("phrase", pa.large_binary()), ("n", pa.int64())])
 
 
 def slices(text: bytes) -> Iterator[bytes]:
@@ -74,8 +74,8 @@ class Shard:
         self.by_lang: dict[bytes, array] = {}
         self.context: dict[bytes, int] = {}  # places at the start that the automaton before this one counted
 
-    def add(self, lang: bytes, text: bytes) -> Iterator[pa.Table]:
-        """Take a text; what comes out are the phrases of automata that got full."""
+    def add(self, lang: bytes, text: bytes) -> Iterator[tuple[bytes, pa.Table]]:
+        """Take a text; what comes out are the languages and phrases of automata that got full."""
         for part in slices(text):
             ids, number = self.by_lang.setdefault(lang, array("i", [0])), self.words
             read = [number.setdefault(w, len(number) + 1) if w != b"." else 0 for w in part.replace(b".", b" . ").split()]
@@ -86,13 +86,13 @@ class Shard:
         if lang in self.by_lang:
             self.by_lang[lang].append(0)
 
-    def flush(self, within: bytes | None = None) -> Iterator[pa.Table]:
+    def flush(self, within: bytes | None = None) -> Iterator[tuple[bytes, pa.Table]]:
         """The phrases of all languages; of the one whose text goes on, the last words stay as context."""
         names = pa.array([b"", *self.words], pa.large_binary())
         hashes = np.fromiter((zlib.crc32(w) for w in (b"", *self.words)), np.uint64, len(self.words) + 1)
         tail = []
         for lang, ids in self.by_lang.items():
-            yield from phrases(np.frombuffer(ids, np.int32), self.context.get(lang, 0), names, hashes, self.depth, lang)
+            yield lang, pa.concat_tables(phrases(np.frombuffer(ids, np.int32), self.context.get(lang, 0), names, hashes, self.depth, lang))
             if lang == within:
                 last = ids[-(self.depth - 1) :] if self.depth > 1 else []
                 tail = [names[i].as_py() if i else None for i in last]
@@ -125,14 +125,14 @@ def states(ids: np.ndarray, start: int, depth: int) -> Iterator[tuple[np.ndarray
 
 
 def phrases(ids: np.ndarray, start: int, names: pa.Array, hashes: np.ndarray, depth: int, lang: bytes) -> Iterator[pa.Table]:
-    """bucket hash, lang, phrase and count of every phrase of an automaton, state by state, and of the root."""
+    """h (a hash), phrase and n (the count) of every phrase of an automaton, state by state, and of the root."""
     tree = list(states(ids, start, depth))
     text, mixed = [pa.array([b""], pa.large_binary())], [np.array([zlib.crc32(lang)], np.uint64)]
     for d, (first, parent, _, _) in enumerate(tree):
         word = names.take(pa.array(first))
         text.append(word if d == 0 else pc.binary_join_element_wise(word, text[-1].take(pa.array(parent)), pa.scalar(b" ", pa.large_binary())))
         mixed.append((mixed[-1][parent] * np.uint64(0x9E3779B97F4A7C15)) ^ (hashes[first] * np.uint64(0xC2B2AE3D27D4EB4F)))
-    yield _rows(mixed[0], lang, text[0], np.array([len(np.flatnonzero(ids[start:]))]))
+    yield _rows(mixed[0], text[0], np.array([len(np.flatnonzero(ids[start:]))]))
     for d in range(1, depth + 1):
         n, shortest = tree[d - 1][2:]
         longest = np.ones(len(n), bool)
@@ -141,29 +141,27 @@ def phrases(ids: np.ndarray, start: int, names: pa.Array, hashes: np.ndarray, de
             longest[parent[times == n[parent]]] = False
         node, size, least = np.flatnonzero(longest), n[longest], shortest[longest]
         for words in range(d, 0, -1):  # along the state: the longest phrase, then without its first word, and so on
-            yield _rows(mixed[words][node], lang, text[words].take(pa.array(node)), size)
+            yield _rows(mixed[words][node], text[words].take(pa.array(node)), size)
             on = least < words
             node, size, least = tree[words - 1][1][node[on]], size[on], least[on]
 
 
-def _rows(mixed: np.ndarray, lang: bytes, phrase: pa.Array, n: np.ndarray) -> pa.Table:
-    langs = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(n), np.int32)), pa.array([lang], pa.large_binary()))
+def _rows(mixed: np.ndarray, phrase: pa.Array, n: np.ndarray) -> pa.Table:
     spread = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return pa.table({"h": pa.array(spread >> np.uint64(24)), "lang": langs.cast(pa.large_binary()), "phrase": phrase, "n": pa.array(n.astype(np.int64))})
+    return pa.table({"h": pa.array((spread >> np.uint64(32)).astype(np.uint32)), "phrase": phrase, "n": pa.array(n.astype(np.int64))})
 
 
-def _pack(tables: list[pa.Table], buckets: int) -> Iterator[pa.RecordBatch]:
-    """The phrases of a shard, a row a bucket."""
-    rows = pa.concat_tables(tables)
-    bucket = rows["h"].to_numpy() % np.uint64(buckets)
+def _pack(lang: bytes, rows: pa.Table, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The phrases of an automaton, a row a bucket."""
+    bucket = rows["h"].to_numpy() % np.uint32(buckets)
     order = np.argsort(bucket, kind="stable")
-    ends = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
     rows = rows.drop_columns("h").take(pa.array(order)).combine_chunks()
     for b in np.flatnonzero(np.diff(ends)):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, _PHRASES, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
             out.write_table(rows.slice(ends[b], ends[b + 1] - ends[b]))
-        yield pa.record_batch({"bucket": pa.array([b], pa.int32()), "packed": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+        yield pa.record_batch({"lang": pa.array([lang.decode()]), "bucket": pa.array([b], pa.int32()), "packed": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
 
 
 def _counting(max_words: int, buckets: int):
@@ -171,43 +169,42 @@ def _counting(max_words: int, buckets: int):
         shard = Shard(max_words)
         for batch in batches:
             for lang, text in zip(*(batch.column(c).cast(pa.binary()) for c in (0, 1)), strict=True):
-                full = list(shard.add(lang.as_py(), text.as_py()))
-                if full:
-                    yield from _pack(full, buckets)
-        if shard.by_lang:
-            yield from _pack(list(shard.flush()), buckets)
+                for name, full in shard.add(lang.as_py(), text.as_py()):
+                    yield from _pack(name, full, buckets)
+        for name, full in shard.flush():
+            yield from _pack(name, full, buckets)
 
     return count
 
 
 def _merged(tables: list[pa.Table]) -> pa.Table:
-    return pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([("n", "sum")]).rename_columns(_PHRASES.names)
+    return pa.concat_tables(tables).group_by("phrase").aggregate([("n", "sum")]).rename_columns(_PHRASES.names)
 
 
 def _merging(min_count: int):
-    def emit(tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+    def emit(lang: str, tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
         rows = _merged(tables)
         rows = rows.filter(pc.or_(pc.greater_equal(rows["n"], min_count), pc.equal(pc.binary_length(rows["phrase"]), 0)))
         for at in range(0, len(rows), 100_000):
             part = rows.slice(at, 100_000)
-            named = {c: part[c].cast(pa.binary()).cast(pa.string()).combine_chunks() for c in ("lang", "phrase")}
-            yield from pa.table(named | {"n": part["n"]}).combine_chunks().to_batches()
+            phrase = part["phrase"].cast(pa.binary()).cast(pa.string())
+            yield from pa.table({"lang": pa.array([lang] * len(part)), "phrase": phrase, "n": part["n"]}).combine_chunks().to_batches()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, pending, held = None, [], 0
         for batch in batches:
-            for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if bucket != at and pending:
-                    yield from emit(pending)
+            for lang, bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if (lang, bucket) != at and pending:
+                    yield from emit(at[0], pending)
                     pending, held = [], 0
-                at = bucket
+                at = lang, bucket
                 pending.append(pa.ipc.open_stream(packed.as_buffer()).read_all())
                 held += len(pending[-1])
                 if held > PENDING + 2 * len(pending[0]):  # a merged table comes first, so this stays linear
                     pending = [_merged(pending)]
                     held = len(pending[0])
         if pending:
-            yield from emit(pending)
+            yield from emit(at[0], pending)
 
     return merge
 
@@ -220,7 +217,7 @@ def counts(docs: DataFrame, max_words: int, min_count: int, lang_col: str = "lan
     n_bytes = slim.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // BUCKET_BYTES))
     packed = slim.mapInArrow(_counting(max_words, buckets), PACKED)
-    dealt = packed.repartition(min(buckets, 65_536), "bucket").sortWithinPartitions("bucket")
+    dealt = packed.repartition(min(buckets, 65_536), "bucket").sortWithinPartitions("bucket", "lang")
     return dealt.mapInArrow(_merging(min_count), COUNTED)
 
 

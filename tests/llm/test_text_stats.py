@@ -68,8 +68,8 @@ def plain_mine(texts, least=10, most_rows=2000):
 def counted(shard_texts, depth=3):
     shard, found = collocations.Shard(depth), Counter()
     tables = [t for lang, text in shard_texts for t in shard.add(lang.encode(), text.encode())]
-    for table in [*tables, *shard.flush()]:
-        for lang, phrase, n in zip(*(table[c].to_pylist() for c in ("lang", "phrase", "n")), strict=True):
+    for lang, table in [*tables, *shard.flush()]:
+        for phrase, n in zip(*(table[c].to_pylist() for c in ("phrase", "n")), strict=True):
             found[lang.decode(), phrase.decode()] += n
     return +found
 
