@@ -9,7 +9,7 @@ first SAMPLE_CHARS characters and SAMPLE_LINES lines, which all bear the documen
 gradient steps over the same messages, in numpy on the driver. Scoring covers every line of every text, in an Arrow
 function of the text column alone; other columns stay where they are, and nothing is shuffled. The model is some 60 numbers.
 
-Features are measured on a whole batch at once by Arrow's kernels; a message is one number, as there are two labels,
+Kinds of characters are counted over the bytes of a whole batch at once; a message is one number, as there are two labels,
 so a chain of any length takes two passes of plain arithmetic.
 
 Cases: null and empty texts have one empty line and its score; lines are parted by ``\\n``; repeated rows score alike; a
@@ -21,11 +21,12 @@ empty result; a column named like a result gives way.
 from __future__ import annotations
 
 import math
+import string
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,33 +36,52 @@ from saltmarsh.llm.common import ship
 SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_LINES = 4000, 20_000, 200
 #: Rounds and rate of the gradient steps, and the weight of the penalty.
 ROUNDS, RATE, PENALTY = 300, 0.05, 1e-3
-#: Counts of characters or matches per character of the line.
-SHARES = {
-    "letters": r"\p{L}",
-    "upper": r"\p{Lu}",
-    "digits": r"\p{Nd}",
-    "symbols": r"[#*$%&|<>=_{}@~^\\/+\[\]]",
-    "marks": r"[.,;:!?]",
-    "mark_runs": r"[.,;:!?]{2,}",
-    "vowels": r"(?i)[aeiouyáàâäéèêëíìîïóòôöúùûü]",
-}
+#: Characters of a kind, per character of the line.
+SHARES = ("letters", "upper", "digits", "symbols", "marks", "mark_runs", "vowels")
 FEATURES = (*SHARES, "log_length", "word_length", "words", "repeated_words", "same_words", "ended", "blank", "seen", "after_same")
 #: Emissions beyond this are as good as certain.
 CLAMP = 30.0
 
 
+def _kind(characters: str) -> np.ndarray:
+    """Which bytes are one of these ASCII characters."""
+    out = np.zeros(256, bool)
+    out[np.frombuffer(characters.encode(), np.uint8)] = True
+    return out
+
+
+_UPPER, _DIGITS, _MARKS, _SYMBOLS = _kind(string.ascii_uppercase), _kind(string.digits), _kind(".,;:!?"), _kind("#*$%&|<>=_{}@~^\\/+[]")
+_LETTERS = _kind(string.ascii_letters) | (np.arange(256) >= 0xC3)
+#: The letters U+00C0 to U+00FF are the byte 0xC3 and one of 64 others.
+_LATIN = [chr(c) for c in range(0xC0, 0x100)]
+_VOWELS = _kind("aeiouyAEIOUY")
+_LATIN_UPPER, _LATIN_VOWELS = np.zeros(256, bool), np.zeros(256, bool)
+_LATIN_UPPER[0x80:0xC0] = [c.isupper() for c in _LATIN]
+_LATIN_VOWELS[0x80:0xC0] = [unicodedata.normalize("NFD", c)[0].lower() in "aeiouy" for c in _LATIN]
+
+
+def _shares(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """SHARES of each line of UTF-8 text, each ended by a newline, and the characters of each line; letters beyond U+00FF are letters alone."""
+    b = np.frombuffer(data, np.uint8)
+    starts = np.concatenate([[0], np.flatnonzero(b == 10)[:-1] + 1])
+    count = lambda mask: np.add.reduceat(mask, starts, dtype=np.int64)
+    latin = np.zeros(len(b), bool)
+    latin[1:] = b[:-1] == 0xC3
+    mark = _MARKS[b]
+    run = np.zeros(len(b), bool)  # the second mark of a run
+    run[1:] = mark[1:] & mark[:-1]
+    run[2:] &= ~mark[:-2]
+    chars = count((b & 0xC0) != 0x80) - 1
+    kinds = (_LETTERS[b], _UPPER[b] | latin & _LATIN_UPPER[b], _DIGITS[b], _SYMBOLS[b], mark, run, _VOWELS[b] | latin & _LATIN_VOWELS[b])
+    return np.stack([count(k) for k in kinds], axis=1) / np.maximum(chars, 1)[:, None], chars
+
+
 def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """FEATURES of every line, the number of lines of each text, and the characters of each line (at least 1)."""
     by_text = [(t or "").split("\n") for t in texts]
-    lines = [x for part in by_text for x in part]
-    many = pa.array(lines, pa.large_string())
-    chars = pc.utf8_length(many).to_numpy()
-    per = 1.0 / np.maximum(chars, 1)
-    out = np.zeros((len(lines), len(FEATURES)))
-    for k, pattern in enumerate(SHARES.values()):
-        out[:, k] = pc.count_substring_regex(many, pattern).to_numpy() * per
-    own = np.zeros((len(lines), 4))
-    said = np.zeros((len(lines), 2))
+    shares, chars = _shares("".join(f"{t or ''}\n" for t in texts).encode())
+    n_lines = len(chars)
+    own = np.zeros((n_lines, 8))
     at = 0
     for part in by_text:
         seen: set[str] = set()
@@ -71,18 +91,13 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
             n = len(words)
             if n:
                 same = sum(map(str.__eq__, words, words[1:]))
-                own[at] = len(line) / n, math.log1p(n), 1 - len(set(words)) / n, same / n
-                said[at] = line in seen, line == before
+                own[at] = len(line) / n, math.log1p(n), 1 - len(set(words)) / n, same / n, words[-1][-1] in ".!?", 0, line in seen, line == before
                 seen.add(line)
+            else:
+                own[at, 5] = 1
             before = line
             at += 1
-    first = len(SHARES)
-    out[:, first] = np.log1p(chars)
-    out[:, first + 1 : first + 5] = own
-    out[:, first + 5] = pc.match_substring_regex(many, r"[.!?][\t\r\x0b\x0c ]*$").to_numpy(zero_copy_only=False)
-    out[:, first + 6] = own[:, 0] == 0
-    out[:, first + 7 :] = said
-    return out, np.array([len(p) for p in by_text]), np.maximum(chars, 1)
+    return np.hstack([shares, np.log1p(chars)[:, None], own]), np.array([len(p) for p in by_text]), np.maximum(chars, 1)
 
 
 def with_neighbours(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
