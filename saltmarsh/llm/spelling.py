@@ -1,14 +1,18 @@
 """Spelling variants: words one edit apart, found by their three rarest positional bigrams, and the form each stands for.
 
 Bigrams are ordered globally by frequency, rarest first; those of one word that are the same go by position. One edit
-destroys two bigrams of a word at most, and all others stand in the other word too, moved by one place at most and in the same
-order. So the rarest that survives is among the three rarest of both words: it is enough to join words on those, with the
-places that the edit allows. Between words of equal length a surviving bigram keeps its place; in a word that is longer by
-one it stands at the same place or the next. The frequency is the bigram's, whatever its place, as an order that
-depended on places would not be the same in both words. Candidates share bigram, place and length as one equi-join key,
-and ``levenshtein`` confirms each pair once.
-
-Bigrams are at most ALPHABET ** 2 whatever the input, so their order is one broadcast row. Everything is built-in column
+destroys two bigrams of a word at most, and all others stand in the other word too, in the same order. So the rarest that survives
+is among the three rarest of both words: it is enough to join words on those. The frequency is the bigram's, whatever
+its place, as an order that depended on places would not be the same in both words.
+
+Places limit the join: the edit lies on one side of a bigram that survives, so on the other side both words are the same up to their
+beginning or end, and the bigram's place from there is the same too. That whole side, bigram included, is part of the
+join key. On the side of the edit the half without it is the same as well, so each bigram has up to four keys: edit
+behind or before it, in the first or the second half there. Lengths are part of the key: a word meets words as long as itself, and
+words longer by one as if a letter were away. A key thus fixes half of a word's letters at least, candidates are few, and
+``levenshtein`` confirms each pair once.
+
+Bigrams are at most ALPHABET ** 2 whatever the input, so their frequencies are a constant of the plan. Everything is built-in column
 expressions. Words, links and forms are stored in the shared folder; roots are found by pointer doubling, in as many
 rounds as the greatest count allows, since each form is ``ratio`` times as frequent as what it stands for.
 
@@ -24,9 +28,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saltmarsh.functions.timeops import let
 from saltmarsh.llm.common import materialize
 
-#: A run, those of REPLACED_ONE_IN get a code point deleted, and the least length and count of a word.
+#: Letters, one run in how many gets a code point deleted, the least length and count of a word, and what makes a form.
 LETTERS = r"[A-Za-zÀ-ÿ]"
 DELETED_ONE_IN, LEAST_LENGTH, LEAST_COUNT, RATIO = 31, 7, 2, 10
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -58,31 +63,48 @@ def _number(letter: Column) -> Column:
 
 def _bigrams(word: Column) -> Column:
     """The numbers of a word's bigrams, by place."""
-    at = lambda i: _number(F.substring(word, i, F.lit(1)))
-    return F.transform(F.sequence(F.lit(1), F.char_length(word) - 1), lambda i: at(i) * ALPHABET + at(i + 1))
+    pairs = lambda c: F.zip_with(F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, F.lit(2), F.size(c) - 1), lambda x, y: x * ALPHABET + y)
+    return let(F.transform(F.split(word, ""), _number), pairs)
 
 
 def prefixes(known: DataFrame) -> DataFrame:
-    """word, n, length, gram, at: the three rarest bigrams of each word."""
+    """word, n, ats: the places of the three rarest bigrams of each word."""
     grams = known.withColumn("grams", _bigrams(F.col("word")))
     seen = grams.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("freq"))
-    every = known.sparkSession.range(ALPHABET**2).select(F.col("id").cast("int").alias("gram")).join(seen, "gram", "left")
-    pairs = F.sort_array(F.collect_list(F.struct("gram", F.coalesce("freq", F.lit(0)).alias("freq"))))
-    order = materialize(every.agg(F.transform(pairs, lambda p: p["freq"]).alias("freqs")), "bigram-order")  # one row
-    ranked = F.transform("grams", lambda g, i: F.struct(F.get("freqs", g).alias("freq"), g.alias("gram"), i.alias("at")))
-    rare = F.slice(F.sort_array(ranked), 1, PREFIX)
-    met = grams.crossJoin(F.broadcast(order)).select("word", "n", F.char_length("word").alias("length"), F.explode(rare).alias("g"))
-    return met.select("word", "n", "length", "g.gram", "g.at")
+    found = {r["gram"]: r["freq"] for r in seen.collect()}  # at most ALPHABET ** 2 rows
+    # as one text, which the optimizer makes an array of once, and not an expression for each entry
+    freqs = F.split(F.lit(",".join(str(found.get(g, 0)) for g in range(ALPHABET**2))), ",").cast("array<long>")
+    ranked = F.transform("grams", lambda g, i: F.struct(F.get(freqs, g).alias("freq"), g.alias("gram"), i.alias("at")))
+    rare = F.transform(F.slice(F.sort_array(ranked), 1, PREFIX), lambda g: g["at"])
+    return grams.select("word", "n", rare.alias("ats"))
+
+
+def _keys(word: Column, at: Column, longer: int) -> list[Column]:
+    """The keys of a bigram at place ``at``; with ``longer`` 1 as a word that has a letter more than the one it meets."""
+    length = F.char_length(word)
+    out = []
+    for side, fixed, part in (
+        ("behind", F.substring(word, F.lit(1), at + 2), F.substring(word, at + 3, length)),
+        ("before", F.substring(word, at + 1, length), F.substring(word, F.lit(1), at)),
+    ):
+        size = F.char_length(part) - longer  # of that part in the shorter word
+        half = F.floor(size / 2).cast("int")
+        first, last = F.substring(part, F.lit(1), half), F.substring(part, F.char_length(part) - (size - half) + 1, size - half)
+        for which, text in (("second", first), ("first", last)):
+            out.append(F.when(size >= 0, F.xxhash64(F.lit(side), F.lit(which), length - longer, fixed, F.lit("|"), text)))
+    return out
 
 
 def near_pairs(known: DataFrame) -> DataFrame:
     """word, other, n, other_n: each pair of words exactly one edit apart, both ways."""
     rare = materialize(prefixes(known), "rare-bigrams")
-    # a word meets words as long as itself at the same place, and words longer by one at the same place or the next
-    reach = F.array(*(F.struct((F.col("length") + longer).alias("length"), (F.col("at") + later).alias("at")) for longer, later in ((0, 0), (1, 0), (1, 1))))
-    probes = rare.select("word", "n", F.col("length").alias("own"), "gram", F.explode(reach).alias("r")).select("word", "n", "own", "gram", "r.*")
-    others = rare.select(F.col("word").alias("other"), F.col("n").alias("other_n"), "gram", "length", "at")
-    met = probes.join(others, ["gram", "length", "at"]).where((F.col("own") < F.col("length")) | (F.col("word") < F.col("other")))
+
+    def keyed(longer: int) -> DataFrame:
+        keys = F.transform("ats", lambda at: F.array(*_keys(F.col("word"), at, longer)))
+        return rare.select("word", "n", F.explode(F.array_distinct(F.flatten(keys))).alias("key")).where("key IS NOT NULL")
+
+    as_long, longer = (keyed(k).select(F.col("word").alias("other"), F.col("n").alias("other_n"), "key", F.lit(k).alias("longer")) for k in (0, 1))
+    met = keyed(0).join(as_long.unionByName(longer), "key").where((F.col("longer") == 1) | (F.col("word") < F.col("other")))
     near = met.where(F.levenshtein("word", "other", 1) == 1).select("word", "n", "other", "other_n").distinct()
     links = materialize(near, "near-words")
     return links.unionByName(links.select(F.col("other").alias("word"), F.col("other_n").alias("n"), F.col("word").alias("other"), F.col("n").alias("other_n")))
