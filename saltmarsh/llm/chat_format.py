@@ -7,8 +7,8 @@ close a turn, and ``unescape`` restores it.
 Prefix sums of turn tokens cut a conversation into spans: a turn belongs to the stride in which its last token
 falls. A stride is half of what the budget leaves after system turn and history, so a window keeps to the
 budget unless one turn alone is longer than a stride, or the system turn leaves less than MIN_STRIDE; turns stay whole.
-Tokens of a turn are those of its text, counted before (``tokens_col``, as token_counts gives them), and FRAME_TOKENS for
-its marks; without counts, a quarter of its bytes. Each window repeats the system
+Tokens of a turn are those of its text, counted before (``tokens_col``, as token_counts gives them), or else its pieces by
+TOKEN, and FRAME_TOKENS for its marks. Each window repeats the system
 turn that opens the conversation and as many turns before the span as fit the history allowance. The loss mask
 covers assistant texts of the span alone, so each target counts once.
 
@@ -29,8 +29,9 @@ START, END = "<|im_start|>", "<|im_end|>\n"
 BUDGET = 1024
 HISTORY = 128
 MIN_STRIDE = 64
-BYTES_A_TOKEN = 4
-#: Tokens of a turn's marks and role, where texts' tokens are counted.
+#: What stands for a token where none are counted: up to three letters or digits or two other signs, with a space before them, or blanks.
+TOKEN = r" ?\p{L}{1,3}| ?\p{N}{1,3}| ?[^\p{L}\p{N}\t\n\x0B\f\r ]{1,2}|[\t\n\x0B\f\r ]+"
+#: Tokens of a turn's marks and role.
 FRAME_TOKENS = 6
 
 
@@ -63,8 +64,7 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
         .withColumn("system", (F.col("n") == 1) & (F.col("role") == "system"))
         .withColumn("head", F.concat(F.lit(START), escape(F.col("role"), True), F.lit("\n")))
         .withColumn("body", escape(F.col("text")))
-        .withColumn("bytes", F.octet_length("head") + F.octet_length("body") + len(END))
-        .withColumn("cost", F.coalesce(F.col("tokens") + FRAME_TOKENS, F.ceil(F.col("bytes") / BYTES_A_TOKEN)))
+        .withColumn("cost", F.coalesce("tokens", F.regexp_count("text", F.lit(TOKEN)).cast("long")) + FRAME_TOKENS)
         .select("conv_id", "n", "system", "role", "head", "body", "cost")
     )
     own = F.when(F.col("system"), 0).otherwise(F.col("cost"))

@@ -220,7 +220,7 @@ WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '')
 n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
     '<|im_start|>' || replace(replace(replace(role, '\', '\s'), '<|', '<\|'), chr(10), '\n') || chr(10)
       || replace(replace(text, '\', '\s'), '<|', '<\|') || '<|im_end|>' || chr(10) AS shown FROM c),
-k AS (SELECT *, n = 1 AND role = 'system' AS sys, ceil(strlen(shown) / 4)::BIGINT AS cost FROM n),
+k AS (SELECT *, n = 1 AND role = 'system' AS sys, len(regexp_extract_all(text, ' ?\p{L}{1,3}| ?\p{N}{1,3}| ?[^\p{L}\p{N}\t\n\x0B\f\r ]{1,2}|[\t\n\x0B\f\r ]+'))::BIGINT + 6 AS cost FROM n),
 u AS (SELECT *, sum(CASE WHEN sys THEN cost ELSE 0 END) OVER (PARTITION BY conv_id) AS sys_cost,
     sum(CASE WHEN sys THEN 0 ELSE cost END) OVER (PARTITION BY conv_id ORDER BY n) AS upto FROM k),
 s AS (SELECT *, CASE WHEN NOT sys THEN floor((upto - 1) / greatest(64, floor((1024 - 128 - sys_cost) / 2))) END AS span0 FROM u),

@@ -256,11 +256,11 @@ def test_planted_faults_move_the_posterior():
 
 
 def test_windows_by_counted_tokens(spark):
-    """Turns of 100 tokens and 6 for their marks: spans of (1024 - 128) / 2 tokens take four, and one turn fits the history. Uncounted: 29 bytes."""
+    """Turns of 100 tokens and 6 for their marks: spans of (1024 - 128) / 2 tokens take four, and one turn fits the history. Uncounted: a piece."""
     rows = [(1, k, "user" if k % 2 == 0 else "assistant", f"t{k}", 100) for k in range(12)] + [(2, 0, "user", "x", None)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, tokens long")
     out = chat_format.windows(df, tokens_col="tokens").orderBy("conv_id", "window").collect()
-    assert [(r.conv_id, r.n_tokens, r.n_repeated) for r in out] == [(1, 424, 0), (1, 530, 1), (1, 530, 1), (2, 8, 0)]
+    assert [(r.conv_id, r.n_tokens, r.n_repeated) for r in out] == [(1, 424, 0), (1, 530, 1), (1, 530, 1), (2, 7, 0)]
     assert all(r.n_tokens <= chat_format.BUDGET for r in out)
 
 
