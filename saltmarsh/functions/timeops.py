@@ -32,8 +32,12 @@ def let(value: Column, use) -> Column:
 
 
 def _groups(text: Column, pattern: str, n: int) -> Column:
-    """What the first n groups matched; empty texts where the pattern doesn't fit."""
-    return F.transform(F.array(*map(F.lit, range(1, n + 1))), lambda k: F.call_function("regexp_extract", text, F.lit(pattern), k))
+    """What the first n groups matched, empty for those that took no part; null where the pattern doesn't fit.
+
+    The pattern runs once to see and once to take all groups apart, whatever their number.
+    """
+    apart = F.regexp_replace(text, F.lit(pattern), F.lit("\x01".join(f"${k}" for k in range(1, n + 1))))
+    return F.when(text.rlike(pattern), F.split(apart, "\x01", n))
 
 
 def _number(groups: Column, *at: int) -> Column:

@@ -2,7 +2,7 @@
 
 ``read`` makes candidates of what archives hold: file, open_error and members, each with name, parse_error, times
 (tag, parsed, tz, raw), lons, lats (tag, value, raw) and fields (tag, value), in archive order. The rest chooses
-among them.
+among them. ``scan`` reads archives no further than that choice needs.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saltmarsh.functions.timeops import iso_text, let, midpoint, read_time, trimmed
+from saltmarsh.sources import archive
+from saltmarsh.sources.tables import materialize
 
 #: Parts of tag names, in order of preference.
 TIME_PRIORITY = (
@@ -40,9 +42,12 @@ def hinted(tag: Column, hints: tuple[str, ...]) -> Column:
 
 def number(text: Column) -> Column:
     """The number that a text spells; null for any other text."""
-    t = F.lower(trimmed(text))
-    plain = F.when(t.rlike(NUMBER), F.replace(t, F.lit("_"), F.lit(""))).when(t.rlike(r"^[+-]?inf(inity)?$"), t)
-    return F.when(t.rlike(r"^[+-]?nan$"), float("nan")).otherwise(plain.try_cast("double"))
+
+    def spelled(t: Column) -> Column:
+        plain = F.when(t.rlike(NUMBER), F.replace(t, F.lit("_"), F.lit(""))).when(t.rlike(r"^[+-]?inf(inity)?$"), t)
+        return F.when(t.rlike(r"^[+-]?nan$"), float("nan")).otherwise(plain.try_cast("double"))
+
+    return let(F.lower(trimmed(text)), spelled)
 
 
 def read_elements(elements: Column) -> Column:
@@ -64,25 +69,69 @@ def read_elements(elements: Column) -> Column:
     return let(F.filter(tidy, lambda f: f["value"] != ""), candidates)
 
 
+def _member(m: Column) -> Column:
+    row = lambda r: F.struct(m["name"].alias("name"), m["parse_error"].alias("parse_error"), *(r[c].alias(c) for c in ("times", "lons", "lats", "fields")))
+    return let(read_elements(m["elements"]), row)
+
+
+def _upto(members: Column) -> Column:
+    """struct(found, members): members up to the first that has times, longitudes and latitudes, and whether there is one."""
+    whole = F.transform(members, lambda m: (F.size(m["times"]) > 0) & (F.size(m["lons"]) > 0) & (F.size(m["lats"]) > 0))
+    cut = lambda end: F.struct(
+        (end > 0).alias("found"), F.slice(members, F.lit(1), F.when(end > 0, end.cast("int")).otherwise(F.size(members))).alias("members")
+    )
+    return let(F.array_position(whole, True), cut)
+
+
 def read(archives: DataFrame) -> DataFrame:
     """Candidates of every member up to the first that has times, longitudes and latitudes.
 
     What follows such a member counts as not read: neither later members nor an error of the archive after it.
     """
+    error = F.when(~F.col("r.found"), F.col("open_error")).alias("open_error")
+    return archives.select("file", "open_error", let(F.transform("members", _member), _upto).alias("r")).select("file", error, "r.members")
+
 
-    def member(m: Column) -> Column:
-        row = lambda r: F.struct(m["name"].alias("name"), m["parse_error"].alias("parse_error"), *(r[c].alias(c) for c in ("times", "lons", "lats", "fields")))
-        return let(read_elements(m["elements"]), row)
+#: XML members that a reading takes in the first round, and how that number grows by round.
+FIRST_MEMBERS, GROWTH = 1, 4
 
-    def upto(members: Column) -> Column:
-        whole = F.transform(members, lambda m: (F.size(m["times"]) > 0) & (F.size(m["lons"]) > 0) & (F.size(m["lats"]) > 0))
-        cut = lambda end: F.struct(
-            F.when(end > 0, None).otherwise(F.col("open_error")).alias("open_error"),
-            F.slice(members, F.lit(1), F.when(end > 0, end.cast("int")).otherwise(F.size(members))).alias("members"),
-        )
-        return let(F.array_position(whole, True), cut)
 
-    return archives.select("file", let(F.transform("members", member), upto).alias("r")).select("file", "r.open_error", "r.members")
+def scan(spark: SparkSession, folder: str, pattern: str = "GF2*.tar.gz", recursive: bool = True) -> DataFrame:
+    """What ``read(archives(...))`` gives, and n_bytes read, without reading on behind the first whole member.
+
+    Archives are read by rounds: in each, those that haven't shown times, longitudes and latitudes in one member, nor ended,
+    are opened again where the round before stopped, for GROWTH times as many XML members. Columns decide which those
+    are, so the workers read and the rules of candidates stay where all others are. Rounds are stored: a lost executor
+    costs one round's reading at most. There are as many rounds as the logarithm of the most members before a whole one.
+    """
+    todo = archive.paths(spark, folder, pattern, recursive).select("path", F.lit(0).cast("long").alias("at"), F.lit(0).alias("ordinal"))
+    rounds, most = [], FIRST_MEMBERS
+    while True:
+        got = archive.read_on(todo, most).withColumn("r", let(F.transform("members", _member), _upto))
+        kept = got.select(F.lit(len(rounds)).alias("round"), "path", "file", "at", "ordinal", "ended", "open_error", "n_bytes", "r.found", "r.members")
+        rounds.append(materialize(kept, "archive-round"))
+        going_on = rounds[-1].where("NOT found AND NOT ended")
+        if going_on.isEmpty():
+            break
+        todo, most = going_on, most * GROWTH
+    error = F.when(~F.col("found"), F.col("open_error")).alias("open_error")
+    out = rounds[0].where("found OR ended").select("file", error, "members", "n_bytes")
+    if len(rounds) == 1:
+        return out
+    rest = rounds[0].where("NOT found AND NOT ended")
+    for r in rounds[1:]:
+        rest = rest.unionByName(r)
+    # an archive has a row a round, and its last one says how it ended
+    whole = rest.groupBy("path").agg(
+        F.max_by("file", "round").alias("file"), F.max_by(F.struct(error), "round")["open_error"].alias("open_error"),
+        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("round", "members"))), lambda r: r["members"])).alias("members"), F.sum("n_bytes").alias("n_bytes"),
+    )
+    return out.unionByName(whole.drop("path"))
+
+
+def path_key(file: Column) -> Column:
+    """What scenes are ordered by: the components of the path, so that ``/a/x`` comes before ``/a-b/x``."""
+    return F.split(file, "/")
 
 
 def filename_fields(file: Column) -> dict[str, Column]:

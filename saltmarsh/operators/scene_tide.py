@@ -40,18 +40,20 @@ def scene_tide(
     model: str = "FES2022_extrapolated",
     max_degrees: float = 2.0,
     nodal: bool = False,
+    arguments: bool = False,
+    minor: bool = False,
 ) -> DataFrame:
     """All columns of ``info``, then ADDED; columns of those names give way.
 
     Rows without time or centre are left out, a blank time being none. Local times lie ``hours`` ahead of UTC. Rows that
-    share a file are rows of their own. The quartiles are those of all rows of this table, whose heights are stored first.
+    share a file are rows of their own. ``nodal``, ``arguments`` and ``minor`` are those of ``tide.cascade``. The quartiles are those of all rows of this table, whose heights are stored first.
     """
     timed = not_null(require(info, REQUIRED), REQUIRED).where(trimmed(F.col("selected_time")) != "")
     kept = [c for c in info.columns if c not in ADDED]
     local = local_time(trimmed(F.col("selected_time")))
     at = timed.select(F.struct(*kept).alias("info"), local.alias("local"), *(F.col(f"xml_center_{c}").cast("double").alias(c) for c in ("lon", "lat")))
     at = at.withColumn("utc", to_utc(F.col("local"), hours)).withColumn("days", day_number(F.col("utc")))
-    heights = materialize(cascade(at, grid, constituents, step, lon0, lat0, max_degrees, nodal), "scene-heights")
+    heights = materialize(cascade(at, grid, constituents, step, lon0, lat0, max_degrees, nodal, arguments, minor), "scene-heights")
     classed = with_classes(heights, "tide_ocean_m")
     added = {
         "selected_time_local": iso_text(F.col("local")),

@@ -11,10 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saltmarsh.functions import classify, geo, timeops
+from saltmarsh.functions import astro, classify, geo, timeops
 from saltmarsh.operators import agreement, scene, tide
 from saltmarsh.operators.scene_tide import scene_tide as assemble
-from saltmarsh.sources.tables import not_null
+from saltmarsh.plans import archive_queries
+from saltmarsh.sources.tables import materialize, not_null
 
 #: name, speed in degrees an hour, amplitude, phase of the inline constituents.
 CONSTITUENTS = [("M2", 28.9841042, 1.2, 30.0), ("S2", 30.0, 0.5, 60.0), ("K1", 15.0410686, 0.3, 100.0), ("O1", 13.9430356, 0.25, 80.0)]
@@ -42,7 +43,7 @@ def _heights(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _classes(spark: SparkSession, d: str) -> DataFrame:
-    return classify.with_classes(_heights(spark, d), "height")
+    return classify.with_classes(materialize(_heights(spark, d), "heights"), "height")
 
 
 def utc_days(spark: SparkSession, d: str) -> DataFrame:
@@ -167,6 +168,33 @@ def scene_tide(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({c: F.round(c, 5) for c in double})
 
 
+def equilibrium_arguments(spark: SparkSession, d: str) -> DataFrame:
+    """Each event's time with the argument and nodal corrections of one constituent, simple or compound, in turn."""
+    names = sorted([*astro.DOODSON, *astro.COMPOUND])
+    known = F.broadcast(astro.table(spark, names).withColumn("k", F.array_position(F.array(*map(F.lit, names)), F.col("name")) - 1))
+    met = _days(spark, d).withColumn("k", F.col("event_id") % len(names)).join(known, "k").withColumn("at", astro.doodson_longitudes(F.col("days")))
+    v = F.radians(astro.argument(F.col("doodson"), F.col("phase"), F.col("at")))
+    f, u = (part(F.col("nodal"), -F.col("at")[4]) for part in (astro.nodal_factor, astro.nodal_angle))
+    return met.select("event_id", "name", *(F.round(c, 6).alias(n) for n, c in (("cos_v", F.cos(v)), ("sin_v", F.sin(v)), ("f", f), ("u", u))))
+
+
+#: name, amplitude, phase of the grid from which minor constituents are inferred; M4 has none of its own.
+SPECIES = [("Q1", 0.05, 80.0), ("O1", 0.25, 90.0), ("K1", 0.3, 110.0), ("N2", 0.2, 20.0), ("M2", 1.2, 30.0), ("K2", 0.14, 55.0), ("S2", 0.5, 60.0), ("M4", 0.1, 200.0)]
+
+
+def minor_constituents(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as scenes: heights with equilibrium arguments, and with the minor constituents that admittance gives."""
+    given = F.array(*(F.struct(F.lit(n).alias("constituent"), F.lit(a).alias("a"), F.lit(p).alias("p")) for n, a, p in SPECIES))
+    cells = _grid(spark).where("constituent = 'M2'").select("lat_idx", "lon_idx", "lat", "lon", F.explode(given).alias("c"))
+    amplitude, phase = F.col("c.a") * (1 + F.col("lat_idx") / 100.0), F.col("c.p") + F.col("lon_idx") * 9.0
+    grid = cells.select("c.constituent", "lat_idx", "lon_idx", "lat", "lon", amplitude.alias("amplitude"), phase.alias("phase"))
+    scenes = _scenes(spark, d).withColumn("days", 3000.0 + F.col("id") * 1.37)
+    named = spark.createDataFrame([(n, astro.constituent(n).speed) for n, *_ in SPECIES], "name string, speed_deg_per_hour double")
+    constants = tide.sample(scenes, grid, GRID["step"], GRID["lon0"], GRID["lat0"])
+    without, with_ = (tide.predict(scenes, constants, named, arguments=True, minor=m).withColumnRenamed("height", n) for m, n in ((False, "major"), (True, "height")))
+    return without.join(with_, "id").select("id", F.round("major", 5).alias("major"), F.round("height", 5).alias("height"))
+
+
 def multi_format_time(spark: SparkSession, d: str) -> DataFrame:
     """Event times written in six layouts and read again."""
     t = F.date_trunc("second", F.col("ts")).cast("timestamp_ntz")
@@ -264,9 +292,10 @@ def not_null_filter(spark: SparkSession, d: str) -> DataFrame:
 _ALL = (
     utc_days, tide_height, quantile_cuts, quantile_class, threshold_class, tide_classes, height_range, confusion_counts, confusion_dense, agreement_rate,
     kappa_linear_quadratic, abs_diff_hist, mismatch_pairs, mismatch_rows, haversine, nearest_valid_cell, bilinear_sample, fallback_cascade, scene_tide,
+    equilibrium_arguments, minor_constituents,
     multi_format_time, time_midpoint, filename_fields, hint_candidates, best_member, choose_time, choose_coordinate, scene_status, status_summary, not_null_filter,
 )
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL} | archive_queries.QUERIES
 
 _WAVE = " + ".join(f"{a!r}::DOUBLE * cos(radians({s!r}::DOUBLE * 24 * days - {p!r}::DOUBLE))" for _, s, a, p in CONSTITUENTS)
 _DAYS = f"days AS (SELECT event_id, ts - INTERVAL {OFFSET_HOURS} HOUR AS utc, date_diff('microsecond', TIMESTAMP '1992-01-01', ts - INTERVAL {OFFSET_HOURS} HOUR) / 86400e6 AS days FROM events)"
@@ -314,6 +343,49 @@ s AS (SELECT 'o' || l_orderkey AS file,
   CASE WHEN l_orderkey % 13 = 0 THEN 'error' WHEN first_good IS NULL OR NOT timed OR stuck IS NOT NULL THEN 'warning' ELSE 'ok' END AS status,
   CASE WHEN l_orderkey % 13 = 0 THEN 'open_archive_failed: cut short' WHEN first_good IS NULL THEN 'xml_parse_failed: ' || stuck WHEN NOT timed THEN 'no_time_candidate' ELSE coalesce('xml_parse_failed: ' || stuck, '') END AS message FROM e)"""
 
+#: Arguments as handbooks print them: multiples of T (15 degrees an hour), s, h, p, ps, and a constant.
+_ARGUMENTS = {
+    "SA": (0, 0, 1, 0, -1, 0), "SSA": (0, 0, 2, 0, 0, 0), "MM": (0, 1, 0, -1, 0, 0), "MSF": (0, 2, -2, 0, 0, 0), "MF": (0, 2, 0, 0, 0, 0), "MTM": (0, 3, 0, -1, 0, 0),
+    "MSQM": (0, 4, -2, 0, 0, 0), "2Q1": (1, -4, 1, 2, 0, 270), "SIGMA1": (1, -4, 3, 0, 0, 270), "Q1": (1, -3, 1, 1, 0, 270), "RHO1": (1, -3, 3, -1, 0, 270),
+    "O1": (1, -2, 1, 0, 0, 270), "CHI1": (1, -1, 3, -1, 0, 90), "PI1": (1, 0, -2, 0, 1, 270), "P1": (1, 0, -1, 0, 0, 270), "S1": (1, 0, 0, 0, 0, 180),
+    "K1": (1, 0, 1, 0, 0, 90), "PHI1": (1, 0, 3, 0, 0, 90), "THETA1": (1, 1, -1, 1, 0, 90), "J1": (1, 1, 1, -1, 0, 90), "OO1": (1, 2, 1, 0, 0, 90),
+    "EPS2": (2, -5, 4, 1, 0, 0), "2N2": (2, -4, 2, 2, 0, 0), "MU2": (2, -4, 4, 0, 0, 0), "N2": (2, -3, 2, 1, 0, 0), "NU2": (2, -3, 4, -1, 0, 0), "M2": (2, -2, 2, 0, 0, 0),
+    "LAMBDA2": (2, -1, 0, 1, 0, 180), "L2": (2, -1, 2, -1, 0, 180), "T2": (2, 0, -1, 0, 1, 0), "S2": (2, 0, 0, 0, 0, 0), "R2": (2, 0, 1, 0, -1, 180), "K2": (2, 0, 2, 0, 0, 0),
+    "ETA2": (2, 1, 2, -1, 0, 0), "M3": (3, -3, 3, 0, 0, 0), "MKS2": (2, -2, 4, 0, 0, 0), "2SM2": (2, 2, -2, 0, 0, 0), "MK3": (3, -2, 3, 0, 0, 90), "2MK3": (3, -4, 3, 0, 0, 270),
+    "N4": (4, -6, 4, 2, 0, 0), "MN4": (4, -5, 4, 1, 0, 0), "M4": (4, -4, 4, 0, 0, 0), "MS4": (4, -2, 2, 0, 0, 0), "S4": (4, 0, 0, 0, 0, 0), "M6": (6, -6, 6, 0, 0, 0),
+    "S6": (6, 0, 0, 0, 0, 0), "M8": (8, -8, 8, 0, 0, 0),
+}
+#: Of which constituents f is a product, for those that have any.
+_FACTORS = {
+    **{n: [n] for n in astro.NODAL}, **{n: ["O1"] for n in ("2Q1", "SIGMA1", "RHO1")}, "CHI1": ["J1"], "THETA1": ["J1"], **{n: ["M2"] for n in ("EPS2", "LAMBDA2", "L2", "MSF", "MS4")},
+    "ETA2": ["K2"], "MTM": ["MF"], "MSQM": ["MF"], "MKS2": ["M2", "K2"], "MK3": ["M2", "K1"], "N4": ["N2", "N2"], "MN4": ["M2", "N2"], "M4": ["M2"] * 2, "M6": ["M2"] * 3, "M8": ["M2"] * 4,
+}
+_POLY = {n: " + ".join(f"({c!r})::DOUBLE * pow(t, {k})" for k, c in enumerate(terms)) for n, terms in astro.LONGITUDES.items()}
+_LONGITUDES = f"""lon AS (SELECT *, 360 * (days - floor(days)) AS hour, {", ".join(f"{v} AS {k}" for k, v in _POLY.items())} FROM (SELECT *, (days - 2922.5::DOUBLE) / 36525.0::DOUBLE AS t FROM timed))"""
+_f = lambda n: f"({astro.NODAL[n][0]!r} + {astro.NODAL[n][1]!r} * cos(radians(n)))::DOUBLE"
+_u = lambda n: f"({astro.NODAL[n][2]!r})::DOUBLE * sin(radians(n))"
+#: 2SM2 is S2 twice less M2, and 2MK3 is M2 twice less K1: factors multiply, angles subtract.
+_F_OF = {n: " * ".join(map(_f, parts)) for n, parts in _FACTORS.items()} | {"2SM2": _f("M2"), "2MK3": f"{_f('M2')} * {_f('M2')} * {_f('K1')}"}
+_U_OF = {n: " + ".join(map(_u, parts)) for n, parts in _FACTORS.items()} | {"2SM2": f"-{_u('M2')}", "2MK3": f"2 * {_u('M2')} - {_u('K1')}"}
+_CASE = lambda values, other: "CASE name " + " ".join(f"WHEN '{n}' THEN {v}" for n, v in values.items()) + f" ELSE {other} END"
+_V = _CASE({n: " + ".join(f"{m} * {x}" for m, x in zip(a, ("hour", "s", "h", "p", "ps", "1"), strict=True) if m) for n, a in _ARGUMENTS.items()}, "0")
+_RATE = {k: v[1] / (astro.CENTURY * 24) for k, v in astro.LONGITUDES.items()}
+_SPEED = {n: 15 * a[0] + sum(m * _RATE[k] for m, k in zip(a[1:5], ("s", "h", "p", "ps"), strict=True)) for n, a in _ARGUMENTS.items()}
+
+
+def _minor_sql() -> str:
+    """name, known and weight of what the constituents of SPECIES give, by interpolation in speed."""
+    rows = [(n, n, 1.0) for n, *_ in SPECIES]
+    for knots, lines in ((("Q1", "O1", "K1"), astro.POTENTIAL[1]), (("N2", "M2", "K2"), astro.POTENTIAL[2])):
+        for name in sorted(set(lines) - {n for n, *_ in SPECIES}):
+            x = [_SPEED[k] for k in knots]
+            at = min(max(_SPEED[name], x[0]), x[2])
+            i = 0 if at <= x[1] else 1
+            part = (at - x[i]) / (x[i + 1] - x[i])
+            rows += [(name, knots[i], (1 - part) * lines[name] / lines[knots[i]]), (name, knots[i + 1], part * lines[name] / lines[knots[i + 1]])]
+    return ", ".join(f"('{n}', '{k}', {w!r}::DOUBLE)" for n, k, w in rows)
+
+
 ORACLE_SQL: dict[str, str] = {
     "utc_days": f"WITH {_DAYS} SELECT event_id, utc, round(days, 9) AS days FROM days",
     "tide_height": f"WITH {_HEIGHTS} SELECT event_id, h AS height FROM heights",
@@ -345,6 +417,16 @@ SELECT 's' || id AS file, strftime(local, '%Y-%m-%d %H:%M:%S') AS selected_time,
   round(CASE WHEN moved THEN km ELSE 0 END, 5) AS tide_point_distance_km, round(h, 5) AS tide_ocean_m,
   {_QUANTILE} AS tide_level_class, {_FIXED} AS tide_level_class_threshold, round(q[1], 5) AS tide_q25_m, round(q[2], 5) AS tide_q50_m, round(q[3], 5) AS tide_q75_m
 FROM cascade, cuts""",
+    "equilibrium_arguments": f"""WITH {_DAYS}, timed AS (SELECT event_id, days, [{", ".join(f"'{n}'" for n in sorted(_ARGUMENTS))}][event_id % {len(_ARGUMENTS)} + 1] AS name FROM days), {_LONGITUDES},
+v AS (SELECT event_id, name, radians({_V}) AS v, {_CASE(_F_OF, "1.0::DOUBLE")} AS f, {_CASE(_U_OF, "0.0::DOUBLE")} AS u FROM lon)
+SELECT event_id, name, round(cos(v), 6) AS cos_v, round(sin(v), 6) AS sin_v, round(f, 6) AS f, round(u, 6) AS u FROM v""",
+    "minor_constituents": f"""WITH {_SCENES}, {_GRID.split("FROM range")[0].replace("c.s AS speed", "0 AS speed")}
+  FROM range({GRID["n_lon"]}) tx(x), range({GRID["n_lat"]}) ty(y), (VALUES {", ".join(f"('{n}', {a!r}::DOUBLE, {p!r}::DOUBLE)" for n, a, p in SPECIES)}) c(name, a, p)),
+{_LINEAR}, timed AS (SELECT DISTINCT l.id, 3000.0::DOUBLE + l.id * 1.37::DOUBLE AS days FROM linear l), {_LONGITUDES},
+gives(name, known, weight) AS (VALUES {_minor_sql()}),
+v AS (SELECT g.*, l.id, re, im, {_CASE(_F_OF, "1.0::DOUBLE")} AS f, radians({_V} + {_CASE(_U_OF, "0.0::DOUBLE")}) AS a FROM linear l JOIN lon ON lon.id = l.id JOIN gives g ON g.known = l.constituent)
+SELECT id, round(sum(weight * f * (re * cos(a) + im * sin(a))) FILTER (WHERE name = known), 5) AS major, round(sum(weight * f * (re * cos(a) + im * sin(a))), 5) AS height
+FROM v GROUP BY id HAVING count(*) FILTER (WHERE name = known) = {len(SPECIES)}""",
     "hint_candidates": """WITH t AS (SELECT *, l_partkey % 7 AS k, l_suppkey % 5 = 0 AS none FROM lineitem)
 SELECT l_orderkey, l_linenumber, 1 AS n_fields, ['centertime', 'starttime', 'topleftlongitude', 'centerlatitude', 'receiver', 'center_lon', 'center_lat'][k + 1] AS tag,
   CASE WHEN k < 2 AND NOT none THEN l_shipdate END AS time, CASE WHEN k IN (2, 5) AND NOT none THEN l_quantity END AS lon, CASE WHEN k IN (3, 6) AND NOT none THEN l_quantity END AS lat FROM t""",
@@ -363,3 +445,7 @@ SELECT 'o' || l_orderkey AS file, CASE WHEN centre IS NOT NULL THEN 'centerlongi
     "status_summary": f"WITH {_STATUS} SELECT count(*) FILTER (WHERE status = 'ok') AS n_ok, count(*) FILTER (WHERE status = 'warning') AS n_warning, count(*) FILTER (WHERE status = 'error') AS n_error FROM s",
     "not_null_filter": "SELECT event_id FROM events WHERE event_id % 7 <> 0 AND event_id % 5 <> 0 AND value IS NOT NULL",
 }
+
+ORACLE_SQL |= archive_queries.ORACLE_SQL
+ORACLE_SQL["tiled_cascade"] = f"""WITH {_SCENES.replace("SELECT c_custkey AS id,", "SELECT c_custkey AS id, 11688.0::DOUBLE + c_custkey / 24.0::DOUBLE AS days,")}, {_GRID}, {_LINEAR}, {_NEAR}, {_CASCADE}
+SELECT id, round(h, 6) AS tide_ocean_m, CASE WHEN by_linear THEN 'linear' WHEN moved THEN 'nearest_valid_grid' ELSE 'nearest' END AS tide_interpolation, round(CASE WHEN moved THEN km ELSE 0 END, 6) AS km FROM cascade"""

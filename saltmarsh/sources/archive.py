@@ -1,7 +1,10 @@
 """Scene archives as rows: paths are listed by Spark, archives opened in tasks, one row each.
 
-The reader gives what archives hold as it stands, tags and texts of every XML member; ``operators.scene`` makes times
+The reader gives what archives hold as it stands, tags and texts of XML members; ``operators.scene`` makes times
 and coordinates of them. Paths must be readable on the workers.
+
+``archives`` reads every archive to its end. ``read_on`` reads some XML members from where an earlier reading stopped and says
+where it stops, so that a caller which has seen enough leaves the rest of the archive, mostly image, unread.
 """
 
 from __future__ import annotations
@@ -9,12 +12,16 @@ from __future__ import annotations
 import tarfile
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
+from itertools import islice
 from urllib.parse import unquote, urlparse
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Readings: where to go on, and whether the archive is at its end.
+POSITION = "path string, at long, ordinal int"
+READ_ON = "path string, file string, at long, ordinal int, ended boolean, open_error string, n_bytes long, members array<struct<name: string, parse_error: string, elements: array<struct<tag: string, text: string>>>>"
 SCHEMA = "file string, open_error string, members array<struct<name: string, parse_error: string, elements: array<struct<tag: string, text: string>>>>"
 
 
@@ -23,41 +30,88 @@ def elements(content: bytes) -> list[dict]:
     return [{"tag": x.tag, "text": x.text} for x in ET.fromstring(content).iter() if x.text]
 
 
-def xml_members(path: str) -> Iterator[dict]:
+def _members(tar: tarfile.TarFile) -> Iterator[dict]:
     """A row for each regular file named ``.xml`` in any case; one that can't be read bears its error."""
+    for info in tar:
+        if not (info.isfile() and info.name.lower().endswith(".xml")):
+            continue
+        content = tar.extractfile(info).read()  # an error here is the archive's
+        try:
+            yield {"name": info.name, "parse_error": None, "elements": elements(content)}
+        except Exception as error:  # parsers raise many kinds, e.g. for unknown encodings; none may end the job
+            yield {"name": info.name, "parse_error": str(error), "elements": []}
+
+
+def xml_members(path: str) -> Iterator[dict]:
     with tarfile.open(path) as tar:
-        for info in tar:
-            if not (info.isfile() and info.name.lower().endswith(".xml")):
-                continue
-            content = tar.extractfile(info).read()  # an error here is the archive's
-            try:
-                yield {"name": info.name, "parse_error": None, "elements": elements(content)}
-            except Exception as error:  # parsers raise many kinds, e.g. for unknown encodings; none may end the job
-                yield {"name": info.name, "parse_error": str(error), "elements": []}
+        yield from _members(tar)
+
+
+def _file(path: str) -> str:
+    return unquote(urlparse(path).path) if path.startswith("file:") else path
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path in batch["path"]:
-            file = unquote(urlparse(path).path) if path.startswith("file:") else path
-            row: dict = {"file": file, "open_error": None, "members": []}
+            row: dict = {"file": _file(path), "open_error": None, "members": []}
             try:
-                row["members"].extend(xml_members(file))
+                row["members"].extend(xml_members(row["file"]))
             except Exception as error:  # damaged archives fail in tarfile, zlib, lzma or the file system
                 row["open_error"] = str(error)
             yield pd.DataFrame([row])
 
 
+def read_some(path: str, at: int, ordinal: int, most: int) -> dict:
+    """A row of READ_ON: up to ``most`` XML members from the header at ``at`` of the unpacked archive.
+
+    Plain archives are sought; packed ones are unpacked again up to there, as their formats have no way in. ``n_bytes``
+    is how far the file was read, with what the unpacker read ahead.
+    """
+    row: dict = {"path": path, "file": _file(path), "at": at, "ordinal": ordinal, "ended": True, "open_error": None, "n_bytes": 0, "members": []}
+    try:
+        with open(row["file"], "rb") as raw:
+            try:
+                with tarfile.open(fileobj=raw) as first:
+                    first.fileobj.seek(at)
+                    tar = tarfile.TarFile(fileobj=first.fileobj) if at else first
+                    for member in islice(_members(tar), most):
+                        row["members"].append(member)
+                    row["ended"] = len(row["members"]) < most
+                    row["at"], row["ordinal"] = tar.offset, ordinal + len(row["members"])
+            finally:
+                row["n_bytes"] = raw.tell()
+    except Exception as error:  # as above
+        row["open_error"] = str(error)
+    return row
+
+
+def read_on(todo: DataFrame, most: int) -> DataFrame:
+    """READ_ON rows of POSITION rows, each with up to ``most`` members more."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, at, ordinal in zip(batch["path"], batch["at"], batch["ordinal"], strict=True):
+                yield pd.DataFrame([read_some(path, int(at), int(ordinal), most)])
+
+    return todo.select("path", "at", "ordinal").mapInPandas(read, READ_ON)
+
+
+def paths(spark: SparkSession, folder: str, pattern: str = "GF2*.tar.gz", recursive: bool = True) -> DataFrame:
+    """path of every archive, in no order; an error if there is none."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower())
+    out = found.load(folder).select("path")
+    if out.isEmpty():
+        raise FileNotFoundError(f"no {pattern} in {folder}")
+    return out
+
+
 def archives(spark: SparkSession, folder: str, pattern: str = "GF2*.tar.gz", recursive: bool = True) -> DataFrame:
     """file, open_error and members of every archive, in no order; an error if there is none.
 
     members holds what was read before an error of the archive.
     """
-    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower())
-    paths = found.load(folder).select("path")
-    if paths.isEmpty():
-        raise FileNotFoundError(f"no {pattern} in {folder}")
-    return paths.mapInPandas(_read, SCHEMA)
+    return paths(spark, folder, pattern, recursive).mapInPandas(_read, SCHEMA)
 
 
 def inspect(read: DataFrame, most: int = 12) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -43,15 +44,68 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return df
 
 
-def write_csv(df: DataFrame, path: str, order_by: str | None = None) -> None:
+def write_csv(df: DataFrame, path: str, order_by: Column | str | None = None) -> None:
     """Nulls as blanks; each file starts with a byte-order mark and a header; files are in order of ``order_by``."""
     names = [f"{BYTE_ORDER_MARK * (k == 0)}{c}" for k, c in enumerate(df.columns)]
-    rows = df.orderBy(order_by) if order_by else df
+    rows = df.orderBy(order_by) if order_by is not None else df
     rows.select(*(F.col(f"`{c}`").cast(StringType()).alias(n) for c, n in zip(df.columns, names, strict=True))).write.csv(
         path, header=True, mode="overwrite", escape='"', nullValue="", emptyValue=""
     )
 
 
+@F.pandas_udf(StringType())
+def double_text(x: pd.Series) -> pd.Series:
+    """A double as Python writes it, in the fewest digits that read back as it, which the JVM's own text isn't always; missing ones are blank."""
+    return x.map(lambda v: "" if v != v else repr(float(v)))
+
+
+def _csv_field(name: str, kind: str) -> Column:
+    c = F.col(f"`{name}`")
+    text = double_text(c) if kind == "double" else F.when(c, "True").otherwise("False") if kind == "boolean" else c.cast("string")
+    quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(c.isNull(), "").when(text.rlike('[",\r\n]'), quoted).otherwise(text)
+
+
+def write_csv_file(df: DataFrame, path: str, order_by: Column | str | None = None) -> None:
+    """``df`` as one CSV file with a byte-order mark and a header, in order: the bytes that pandas' ``to_csv`` without index would write.
+
+    Tasks write the lines of ranges of ``order_by`` to parts in the shared folder, so the sort is spread; the parts, whose
+    names are in order, are then copied behind each other through a buffer, in the file system that ``path`` belongs to.
+    So neither the driver nor a task holds more than a buffer, but one stream writes the file: it is for
+    results that someone wants to open, ``write_csv`` for all others. The file appears under its name when it is whole.
+    """
+    spark = df.sparkSession
+    # a table of a single column has its blanks quoted, or they would be empty lines
+    fields = [_csv_field(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    if len(fields) == 1:
+        fields = [F.when(fields[0] == "", '""').otherwise(fields[0])]
+    rows = df.orderBy(order_by) if order_by is not None else df
+    parts = f"{job_dir(spark)}/csv-{uuid.uuid4().hex}"
+    rows.select(F.concat_ws(",", *fields).alias("value")).write.text(parts)
+    header = ",".join('"' + c.replace('"', '""') + '"' if any(x in c for x in '",\r\n') else c for c in df.columns)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop
+    target, folder = hadoop.fs.Path(path), hadoop.fs.Path(parts)
+    store, source = target.getFileSystem(conf), folder.getFileSystem(conf)
+    partial = hadoop.fs.Path(f"{path}._partial")
+    out = store.create(partial, True)
+    try:
+        out.write(bytearray(f"{BYTE_ORDER_MARK}{header}\n".encode()))
+        names = sorted((s.getPath().getName() for s in source.listStatus(folder)), key=lambda n: (len(n), n))
+        for name in names:
+            if name.startswith("part-"):
+                part = source.open(hadoop.fs.Path(folder, name))
+                try:
+                    hadoop.io.IOUtils.copyBytes(part, out, 1 << 16, False)
+                finally:
+                    part.close()
+    finally:
+        out.close()
+    store.delete(target, False)
+    if not store.rename(partial, target):
+        raise OSError(f"could not name {path}")
+
+
 def not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     return require(df, columns).na.drop(subset=columns)
 
