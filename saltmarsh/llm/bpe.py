@@ -12,7 +12,7 @@ order of id, and takes a batch of ids from it at once. A shuffled join would mov
 
 Cases: null text is empty and has no ids; a text of any length is cut for matching only where a non-space meets
 a space, which always starts a pre-token; repeated rows, repeated and null ids give a row each; an empty table
-gives an empty result; other columns are ignored.
+gives an empty result; other columns are ignored. The ranks file must lie at the same path on every worker.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ once to the shared folder and read by each step.
 Cases: null text stays null and empty text empty; rows that share an id count as one document, and only chunks
 at the same place with the same hash are taken from them; rows with null id keep their text; a text that loses
 all its chunks becomes empty; a word here is what single spaces separate; an empty table gives an empty result;
-other columns are carried, but for columns named like the result's, which give way.
+a text with its lines and chunks is one row of one task, some ten times its size; other columns are carried, but for columns
+named like the result's, which give way.
 
 Passages. Chunks leave the edges of a passage, and passages of few or short lines, in place, as a cut depends on
 foreign lines beside it. So here each two neighbouring lines are a unit, and each line of LONG_WORDS words. A unit is

@@ -13,7 +13,7 @@ expression whose weights are literals. So there is no join and no shuffle but th
 Cases: null text counts as empty; empty text has zero words, fails the base rule and is rejected; repeated
 rows and ties are judged row by row; an empty table gives an empty result and the start model, which also stays where the
 fit finds no good class; a table of few rows, of one pattern of votes or of abstentions alone is judged by a model near
-the start; other columns are carried through unless they bear the name of a result column, which then replaces them.
+the start; a text with its words and windows is one row of one task, some fifty times its size at most; other columns are carried through unless they bear the name of a result column, which then replaces them.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ as large, until they fit one chunk.
 
 Cases: null text is empty and has no tokens; special strings inside texts count as the library's default has it;
 repeated rows, repeated and null ids give a row each; an empty table gives an empty result; other columns are
-ignored.
+ignored. The vocabulary must lie at the same path on every worker, and its added tokens must be plain ones: lstrip, rstrip,
+single_word and normalized aren't handled where texts are split at them.
 """
 
 from __future__ import annotations
