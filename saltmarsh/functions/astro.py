@@ -163,13 +163,20 @@ def doodson_longitudes(days: Column) -> Column:
     return F.array(15 * hours + at["h"] - at["s"], at["s"], at["h"], at["p"], -at["n"], at["ps"])
 
 
-def table(spark: SparkSession, names: list[str]) -> DataFrame:
-    """name, doodson, phase, nodal (a, b, c and multiple of each factor) of the named constituents; an error for unknown ones."""
+NODAL_TYPE = "array<struct<a: double, b: double, c: double, times: int>>"
+
+
+def rows(names: list[str]) -> dict[str, tuple]:
+    """By name: name, Doodson numbers, phase, and the nodal terms (a, b, c and multiple of each factor); an error for unknown ones."""
     found = {n: constituent(n) for n in names}
     if unknown := sorted(n for n, c in found.items() if c is None):
         raise ValueError(f"no Doodson numbers for {', '.join(unknown)}")
-    rows = [(n, list(c.doodson), c.phase, [(*NODAL[k], m) for k, m in c.nodal]) for n, c in found.items()]
-    return spark.createDataFrame(rows, "name string, doodson array<int>, phase double, nodal array<struct<a: double, b: double, c: double, times: int>>")
+    return {n: (n, list(c.doodson), c.phase, [(*NODAL[k], m) for k, m in c.nodal]) for n, c in found.items()}
+
+
+def table(spark: SparkSession, names: list[str]) -> DataFrame:
+    """name, doodson, phase and nodal of the named constituents."""
+    return spark.createDataFrame(list(rows(names).values()), f"name string, doodson array<int>, phase double, nodal {NODAL_TYPE}")
 
 
 def argument(doodson: Column, phase: Column, longitude: Column) -> Column:

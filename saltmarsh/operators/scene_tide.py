@@ -1,7 +1,7 @@
 """The table of scenes with tide heights and level classes, from scene information and a tide model's grid.
 
-Scene information should be a stored table (``tables.write_csv`` and ``read_csv``, or Parquet): it is read more than once
-here, and in one plan with the expressions that choose among XML candidates the optimizer takes minutes.
+Scene information is stored first: it is read more than once here, and in one plan with the expressions that choose among XML
+candidates the optimizer would take minutes. So ``scene_tide(scene_info(scan(...)))`` is one call, without a file between.
 """
 
 from __future__ import annotations
@@ -48,7 +48,8 @@ def scene_tide(
     Rows without time or centre are left out, a blank time being none. Local times lie ``hours`` ahead of UTC. Rows that
     share a file are rows of their own. ``nodal``, ``arguments`` and ``minor`` are those of ``tide.cascade``. The quartiles are those of all rows of this table, whose heights are stored first.
     """
-    timed = not_null(require(info, REQUIRED), REQUIRED).where(trimmed(F.col("selected_time")) != "")
+    info = materialize(require(info, REQUIRED), "scene-info")
+    timed = not_null(info, REQUIRED).where(trimmed(F.col("selected_time")) != "")
     kept = [c for c in info.columns if c not in ADDED]
     local = local_time(trimmed(F.col("selected_time")))
     at = timed.select(F.struct(*kept).alias("info"), local.alias("local"), *(F.col(f"xml_center_{c}").cast("double").alias(c) for c in ("lon", "lat")))

@@ -135,13 +135,12 @@ def astronomical_wave(re: Column, im: Column, days: Column, targets: Column) ->
 
 def _targets(constituents: DataFrame, minor: bool) -> DataFrame:
     """constituent, targets (itself, and with ``minor`` what is inferred from it) and n_all, the number of constituents; some dozens of rows."""
-    spark = constituents.sparkSession
     names = [r[0] for r in constituents.select("name").distinct().collect()]
     given = astro.inferred(names) if minor else [(n, n, 1.0) for n in names]
-    rows = spark.createDataFrame(given, "constituent string, name string, coefficient double") if given else spark.createDataFrame([], "constituent string, name string, coefficient double")
-    known = astro.table(spark, sorted({name for _, name, _ in given}))
-    target = F.sort_array(F.collect_list(F.struct("name", "coefficient", "doodson", "phase", "nodal")))
-    return F.broadcast(rows.join(F.broadcast(known), "name").groupBy("constituent").agg(target.alias("targets")).withColumn("n_all", F.lit(len(names)).cast("long")))
+    known = astro.rows([name for _, name, _ in given])
+    rows = [(k, [(coefficient, *known[n][1:]) for c, n, coefficient in given if c == k], len(names)) for k in names]
+    target = f"struct<coefficient: double, doodson: array<int>, phase: double, nodal: {astro.NODAL_TYPE}>"
+    return F.broadcast(constituents.sparkSession.createDataFrame(rows, f"constituent string, targets array<{target}>, n_all long"))
 
 
 def _constants(grid: DataFrame) -> DataFrame:

@@ -72,7 +72,7 @@ def archive_scan(spark: SparkSession, d: str) -> DataFrame:
     name = F.substring_index("file", "/", -1)
     return info.join(n, "file").select(
         name.alias("file"), "filename_center_lon", "filename_date", "n_read", F.concat_ws(",", "names").alias("names"), "xml", "selected_time_tag", "selected_time",
-        "mid_time_from_start_end", "xml_center_lon", "xml_center_lat", "coordinate_source", "status", F.substring_index("message", ": ", 2).alias("message"),
+        "mid_time_from_start_end", "xml_center_lon", "xml_center_lat", "coordinate_source", "status", F.substring_index(F.substring_index("message", "\n", 1), ": ", 2).alias("message"),
     )
 
 

@@ -424,7 +424,7 @@ SELECT event_id, name, round(cos(v), 6) AS cos_v, round(sin(v), 6) AS sin_v, rou
   FROM range({GRID["n_lon"]}) tx(x), range({GRID["n_lat"]}) ty(y), (VALUES {", ".join(f"('{n}', {a!r}::DOUBLE, {p!r}::DOUBLE)" for n, a, p in SPECIES)}) c(name, a, p)),
 {_LINEAR}, timed AS (SELECT DISTINCT l.id, 3000.0::DOUBLE + l.id * 1.37::DOUBLE AS days FROM linear l), {_LONGITUDES},
 gives(name, known, weight) AS (VALUES {_minor_sql()}),
-v AS (SELECT g.*, l.id, re, im, {_CASE(_F_OF, "1.0::DOUBLE")} AS f, radians({_V} + {_CASE(_U_OF, "0.0::DOUBLE")}) AS a FROM linear l JOIN lon ON lon.id = l.id JOIN gives g ON g.known = l.constituent)
+v AS (SELECT g.*, l.id, re, im, {_CASE(_F_OF, "1.0::DOUBLE")} AS f, radians({_V} + {_CASE(_U_OF, "0.0::DOUBLE")}) AS a FROM (SELECT id, constituent, re, im FROM linear) l JOIN lon ON lon.id = l.id JOIN gives g ON g.known = l.constituent)
 SELECT id, round(sum(weight * f * (re * cos(a) + im * sin(a))) FILTER (WHERE name = known), 5) AS major, round(sum(weight * f * (re * cos(a) + im * sin(a))), 5) AS height
 FROM v GROUP BY id HAVING count(*) FILTER (WHERE name = known) = {len(SPECIES)}""",
     "hint_candidates": """WITH t AS (SELECT *, l_partkey % 7 AS k, l_suppkey % 5 = 0 AS none FROM lineitem)

@@ -314,6 +314,10 @@ def test_from_archives_to_the_report(spark, tmp_path):
     assert [rows[k].tide_level_class for k in rank] == [LOW, LOW, MIDLOW, MIDLOW, MIDHIGH, MIDHIGH, HIGH, HIGH]
     fixed = [LOW if w <= -1 else MIDLOW if w <= 0 else MIDHIGH if w < 0.6 else HIGH for w in want]
     assert [r.tide_level_class_threshold for r in rows] == fixed
+    # without a file between
+    direct = scene_tide.scene_tide(scene.scene_info(scene.scan(spark, str(tmp_path))), spark.createDataFrame(grid_rows(), GRID), m2, 1.0, 100.0, 20.0)
+    shown = lambda df: [(r.file, round(r.tide_ocean_m, 9), r.tide_level_class) for r in df.orderBy("file").collect()]
+    assert shown(direct) == shown(back)
     text = agreement.report(back)
     assert text.startswith(f"rows = 8\nexact_agreement = {sum(rows[k].tide_level_class == fixed[k] for k in range(8))}\n")
     assert tuple(tide.summary(back).first())[:2] == (8, 0)
