@@ -182,6 +182,7 @@ _BANDS = [
 ]
 _RULES = range(1, len(_BANDS) + 1)
 _START = ", ".join(f"[{', '.join('0.9' if c == r else '0.1' for r in _RULES)}]" for c in (0, *_RULES))
+_ADDED = "(CASE c WHEN 1 THEN 8::DOUBLE ELSE 2::DOUBLE / 9 END)"
 ORACLE_SQL["op9_quality_rules"] = rf"""
 WITH RECURSIVE t AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT k, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
@@ -200,8 +201,8 @@ fit(step, shares, bad) AS (
   SELECT 0, [0.8::DOUBLE, {", ".join(["0.2::DOUBLE / 9"] * len(_BANDS))}], [{_START}]::DOUBLE[][]
   UNION ALL
   SELECT any_value(step) + 1, list(share ORDER BY c), list(chances ORDER BY c) FROM (
-    SELECT any_value(step) AS step, c, (sum(weight) + CASE c WHEN 1 THEN 8 ELSE 2::DOUBLE / 9 END) / ((SELECT total FROM total) + 10) AS share,
-      [{", ".join(f"(sum(CASE WHEN votes[{r}] < 0 THEN weight ELSE 0 END) + CASE c WHEN {r + 1} THEN 1.8::DOUBLE ELSE 0.2::DOUBLE END) / (sum(CASE WHEN votes[{r}] <> 0 THEN weight ELSE 0 END) + 2)" for r in _RULES)}] AS chances
+    SELECT any_value(step) AS step, c, (sum(weight) + {_ADDED}) / ((SELECT total FROM total) + 10) AS share,
+      [{", ".join(f"(sum(CASE WHEN votes[{r}] < 0 THEN weight ELSE 0 END) + {_ADDED} * CASE c WHEN {r + 1} THEN 0.9::DOUBLE ELSE 0.1::DOUBLE END) / (sum(CASE WHEN votes[{r}] <> 0 THEN weight ELSE 0 END) + {_ADDED})" for r in _RULES)}] AS chances
     FROM (SELECT step, c, votes, n * likely / sum(likely) OVER (PARTITION BY p) AS weight FROM (
       SELECT step, c, p, votes, n, shares[c] * {" * ".join(f"(CASE votes[{r}] WHEN -1 THEN bad[c][{r}] WHEN 1 THEN 1 - bad[c][{r}] ELSE 1 END)" for r in _RULES)} AS likely
       FROM fit, pats, range(1, 11) classes(c) WHERE step < 300)) GROUP BY c) HAVING count(*) > 0),

@@ -174,7 +174,8 @@ def fitted(patterns: dict[tuple[int, ...], int], n: int):
         sums = [sum(w[c] for w in weight.values()) for c in range(n + 1)]
         seen = lambda c, r, signs: sum(w[c] for v, w in weight.items() if v[r] in signs)  # noqa: B023, E731
         share = [(x + 10 * f) / (sum(sums) + 10) for x, f in zip(sums, first[0], strict=True)]
-        bad = [[(seen(c, r, (-1,)) + 2 * first[1][c][r]) / (seen(c, r, (-1, 1)) + 2) for r in range(n)] for c in range(n + 1)]
+        added = [10 * f for f in first[0]]
+        bad = [[(seen(c, r, (-1,)) + added[c] * first[1][c][r]) / (seen(c, r, (-1, 1)) + added[c]) for r in range(n)] for c in range(n + 1)]
     return {v: p[0] / sum(p) for v in patterns for p in [likely(v)]}
 
 
@@ -207,7 +208,11 @@ def test_a_fault_is_believed_where_other_rules_confirm_it():
     assert quality_rules.expectation_maximisation([], ["a"]).shares == (0.8, pytest.approx(0.2))
 
 
-GOOD_TEXT = "\n".join(f"The {w} house stands near the {v} river, where many people walk on warm evenings." for w, v in zip("old new red big tall".split(), "blue wide slow deep cold".split(), strict=True))
+GOOD_TEXT = """The old mill stands beside a narrow river, and its wheel still turns in spring.
+Farmers used to bring their grain there every autumn, long before the railway came.
+Today visitors walk along the bank, drink coffee under tall chestnut trees and read about the history of milling.
+Children feed ducks from a wooden bridge which volunteers repaired last summer.
+On warm evenings musicians play in the yard until darkness falls."""
 JUNK = "### $$$ %%% &&& *** " * 40
 SMALL = {
     "one null text": ([None], [False]),
