@@ -119,9 +119,9 @@ def rules() -> dict[str, Column]:
 
 #: Where the fit starts: the share of good documents; how often the rule of a fault votes bad on it, and any other rule does.
 START_GOOD, START_OWN, START_OTHER = 0.8, 0.9, 0.1
-#: Documents of the start model that are added to the fit, with a vote of each rule. So no chance is 0 or 1, and few documents
-#: leave the model near its start.
-PSEUDO_DOCUMENTS = 10.0
+#: Documents of the start model that are added to the shares, and votes of each rule in each class. So no chance is 0 or 1, few
+#: documents leave the model near its start, and no class bends to them sooner than another.
+PSEUDO_DOCUMENTS, PSEUDO_VOTES = 10.0, 8.0
 ROUNDS = 300
 
 
@@ -179,8 +179,8 @@ def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], names:
         p = np.exp(log - log.max(axis=1, keepdims=True))
         weight = counts[:, None] * p / p.sum(axis=1, keepdims=True)
         shares = (weight.sum(axis=0) + PSEUDO_DOCUMENTS * first_shares) / (counts.sum() + PSEUDO_DOCUMENTS)
-        no, yes, added = weight.T @ against, weight.T @ for_, PSEUDO_DOCUMENTS * first_shares[:, None]
-        bad = (no + added * first_bad) / (no + yes + added)
+        no, yes = weight.T @ against, weight.T @ for_
+        bad = (no + PSEUDO_VOTES * first_bad) / (no + yes + PSEUDO_VOTES)
     model = RuleModel(tuple(names), tuple(map(float, shares)), tuple(tuple(map(float, b)) for b in bad))
     return model if model.accuracy() > 0.5 else start
 

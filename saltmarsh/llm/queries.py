@@ -202,7 +202,7 @@ fit(step, shares, bad) AS (
   UNION ALL
   SELECT any_value(step) + 1, list(share ORDER BY c), list(chances ORDER BY c) FROM (
     SELECT any_value(step) AS step, c, (sum(weight) + {_ADDED}) / ((SELECT total FROM total) + 10) AS share,
-      [{", ".join(f"(sum(CASE WHEN votes[{r}] < 0 THEN weight ELSE 0 END) + {_ADDED} * CASE c WHEN {r + 1} THEN 0.9::DOUBLE ELSE 0.1::DOUBLE END) / (sum(CASE WHEN votes[{r}] <> 0 THEN weight ELSE 0 END) + {_ADDED})" for r in _RULES)}] AS chances
+      [{", ".join(f"(sum(CASE WHEN votes[{r}] < 0 THEN weight ELSE 0 END) + 8 * CASE c WHEN {r + 1} THEN 0.9::DOUBLE ELSE 0.1::DOUBLE END) / (sum(CASE WHEN votes[{r}] <> 0 THEN weight ELSE 0 END) + 8)" for r in _RULES)}] AS chances
     FROM (SELECT step, c, votes, n * likely / sum(likely) OVER (PARTITION BY p) AS weight FROM (
       SELECT step, c, p, votes, n, shares[c] * {" * ".join(f"(CASE votes[{r}] WHEN -1 THEN bad[c][{r}] WHEN 1 THEN 1 - bad[c][{r}] ELSE 1 END)" for r in _RULES)} AS likely
       FROM fit, pats, range(1, 11) classes(c) WHERE step < 300)) GROUP BY c) HAVING count(*) > 0),

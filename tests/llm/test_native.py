@@ -174,8 +174,7 @@ def fitted(patterns: dict[tuple[int, ...], int], n: int):
         sums = [sum(w[c] for w in weight.values()) for c in range(n + 1)]
         seen = lambda c, r, signs: sum(w[c] for v, w in weight.items() if v[r] in signs)  # noqa: B023, E731
         share = [(x + 10 * f) / (sum(sums) + 10) for x, f in zip(sums, first[0], strict=True)]
-        added = [10 * f for f in first[0]]
-        bad = [[(seen(c, r, (-1,)) + added[c] * first[1][c][r]) / (seen(c, r, (-1, 1)) + added[c]) for r in range(n)] for c in range(n + 1)]
+        bad = [[(seen(c, r, (-1,)) + 8 * first[1][c][r]) / (seen(c, r, (-1, 1)) + 8) for r in range(n)] for c in range(n + 1)]
     return {v: p[0] / sum(p) for v in patterns for p in [likely(v)]}
 
 
@@ -240,17 +239,16 @@ def test_a_fit_without_a_good_class_keeps_the_start_model():
 
 
 def test_planted_faults_move_the_posterior():
-    """A rule's lone bad vote is outvoted where its fault is always confirmed by another rule, and believed where it never is."""
-    confirmed = {(1, 1): 900, (-1, -1): 90, (-1, 1): 3}
-    alone = {(1, 1): 900, (-1, 0): 90}
-    for counts, votes, low, high in ((confirmed, (-1, -1), 0, 0.1), (alone, (-1, 0), 0, 0.5)):
-        model = quality_rules.expectation_maximisation(list(counts.items()), ["a", "b"])
+    """Where two rules find a fault together, their votes together are believed, and one without the other far less."""
+    counts = {(1, 1): 900, (-1, -1): 90, (-1, 1): 3}
+    model = quality_rules.expectation_maximisation(list(counts.items()), ["a", "b"])
+
+    def p_good(votes):
         likely = [s * math.prod(b[r] if v < 0 else 1 - b[r] for r, v in enumerate(votes) if v) for s, b in zip(model.shares, model.bad, strict=True)]
-        assert low <= likely[0] / sum(likely) <= high
-    model = quality_rules.expectation_maximisation(list(confirmed.items()), ["a", "b"])
-    likely = lambda votes: [s * math.prod(b[r] if v < 0 else 1 - b[r] for r, v in enumerate(votes) if v) for s, b in zip(model.shares, model.bad, strict=True)]
-    lone, both = (likely(v)[0] / sum(likely(v)) for v in ((-1, 1), (-1, -1)))
-    assert lone > 10 * both
+        return likely[0] / sum(likely)
+
+    assert p_good((-1, -1)) < 0.1 and p_good((1, 1)) > 0.95
+    assert p_good((-1, 1)) > 10 * p_good((-1, -1))
 
 
 def test_windows_by_counted_tokens(spark):
