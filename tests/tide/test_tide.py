@@ -338,3 +338,23 @@ def test_csv(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("﻿\n", encoding="utf-8")
     with pytest.raises(ValueError, match="selected_time, x"):
         tables.read_csv(spark, str(tmp_path / "empty.csv"), "x double, selected_time string")
+
+
+def test_local_times_are_read_once_and_by_all_tasks(spark, monkeypatch):
+    written = ["2024-02-29 23:59:59", "2024-01-01 00:00:00.250000", "0001-01-01 00:00:00"]
+    other = ["2024-01-01T00:00:00", "20240101 000000", "2024-01-01", "2024-W01-1 12:00", "2024-01-01 00:00:00.25"]
+    text = spark.createDataFrame([(t,) for t in [*written, *other]], "t string")
+    for r in text.select("t", scene_tide.local_time(F.col("t")).alias("local"), timeops.iso_time(F.col("t"))["parsed"].alias("iso")).collect():
+        assert r["local"] == r["iso"] is not None, r
+    for t in ("2024-02-30 00:00:00", "0000-01-01 00:00:00", "2024-01-01 24:00:00", "2024-01-01 00:00:60"):
+        with pytest.raises(Exception, match="is no time"):
+            text.limit(1).select(scene_tide.local_time(F.lit(t))).collect()
+    # a table in one partition: its times are stored by as many tasks as there are cores, before heights are made twice from them
+    stored = {}
+    keep = scene_tide.materialize
+    monkeypatch.setattr(scene_tide, "materialize", lambda df, name: stored.setdefault(name, (df, keep(df, name)))[1])
+    info = spark.range(0, 800, 1, 1).selectExpr("concat('s', id) AS file", "'2024-01-01 00:00:00' AS selected_time", "100.5D AS xml_center_lon", "20.5D AS xml_center_lat")
+    m2 = spark.createDataFrame([("M2", 28.9841042)], "name string, speed_deg_per_hour double")
+    assert scene_tide.scene_tide(info, spark.createDataFrame(grid_rows(), GRID), m2, 1.0, 100.0, 20.0).count() == 800
+    assert stored["scene-info"][0].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert "local" in stored["scene-times"][1].columns
