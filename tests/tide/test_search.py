@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from saltmarsh.functions import classify
 from saltmarsh.operators import tide
+from saltmarsh.plans import queries
 from saltmarsh.sources import grid as grids
 
 CELLS = "constituent string, lat_idx long, lon_idx long, lat double, lon double, amplitude double, phase double"
@@ -124,3 +126,11 @@ def test_scenes_open_the_tiles_they_touch(spark, tmp_path, monkeypatch):
     assert tide.touched(tiled, none, 0.25, 0.25, 100.0, 20.0).count() == 0
     monkeypatch.setattr(grids, "MOST_TILES", 1)
     assert key(tide.cascade(scenes, tiled, named, 0.25, 100.0, 20.0)) == key(tide.cascade(scenes, plain, named, 0.25, 100.0, 20.0))
+
+
+@pytest.mark.parametrize("name", ["choose_coordinate", "best_member", "scene_status", "choose_time", "status_summary"])
+def test_lines_are_shuffled_before_they_become_members(spark, name):
+    plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    shuffled = re.split(r"\n[^\n]*(?:Aggregate \[l_orderkey|Window \[)", plan)[-1]
+    assert "l_shipdate" in shuffled
+    assert "concat_ws" in plan and "concat_ws" not in shuffled
