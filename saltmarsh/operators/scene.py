@@ -111,7 +111,7 @@ def scan(spark: SparkSession, folder: str, pattern: str = "GF2*.tar.gz", recursi
         kept = got.select(F.lit(len(rounds)).alias("round"), "path", "file", "at", "ordinal", "ended", "open_error", "n_bytes", "r.found", "r.members")
         rounds.append(materialize(kept, "archive-round"))
         going_on = rounds[-1].where("NOT found AND NOT ended")
-        if going_on.isEmpty():
+        if not going_on.select("path").take(1):
             break
         todo, most = going_on, most * GROWTH
     error = F.when(~F.col("found"), F.col("open_error")).alias("open_error")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from saltmarsh.operators import scene, tide
 from saltmarsh.sources import grid as grids
-from saltmarsh.sources.tables import job_dir, read_csv, write_csv_file
+from saltmarsh.sources.tables import job_dir, read_csv, spread, write_csv_file
 
 #: Bytes of the image that stands before and after the members.
 IMAGE = 20_000
@@ -65,7 +65,7 @@ def archive_scan(spark: SparkSession, d: str) -> DataFrame:
     """Each supplier as an archive of one to six XML members, written by tasks, then scanned as far as needed."""
     folder = _shared_path(spark, "archives")
     rows = spark.read.parquet(f"{d}/supplier.parquet").select(F.col("s_suppkey").cast("long").alias("k"), F.col("s_nationkey").alias("nation"))
-    rows.repartition(8, "k").mapInPandas(_pack(folder.removeprefix("file://").removeprefix("file:")), "n long").agg(F.sum("n")).collect()
+    spread(rows).mapInPandas(_pack(folder.removeprefix("file://").removeprefix("file:")), "n long").agg(F.sum("n")).collect()
     read = scene.scan(spark, folder)
     info = scene.scene_info(read.select("file", "open_error", "members"))
     n = read.select("file", F.size("members").alias("n_read"), F.transform("members", lambda m: m["name"]).alias("names"))

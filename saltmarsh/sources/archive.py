@@ -19,12 +19,18 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saltmarsh.sources.tables import spread
+
 #: Readings: where to go on, and whether the archive is at its end.
 POSITION = "path string, at long, ordinal int"
 READ_ON = "path string, file string, at long, ordinal int, ended boolean, open_error string, n_bytes long, members array<struct<name: string, parse_error: string, elements: array<struct<tag: string, text: string>>>>"
 SCHEMA = "file string, open_error string, members array<struct<name: string, parse_error: string, elements: array<struct<tag: string, text: string>>>>"
 
 
+#: A frame of rows goes to Spark when it has this many rows, or characters of tags and texts.
+FRAME_ROWS, FRAME_CHARACTERS = 256, 4_000_000
+
+
 def elements(content: bytes) -> list[dict]:
     """Tag and direct text of every element that has text, in document order."""
     return [{"tag": x.tag, "text": x.text} for x in ET.fromstring(content).iter() if x.text]
@@ -51,15 +57,30 @@ def _file(path: str) -> str:
     return unquote(urlparse(path).path) if path.startswith("file:") else path
 
 
+def _frames(rows: Iterator[dict]) -> Iterator[pd.DataFrame]:
+    """Rows of archives by frames: a frame a row costs more than the reading, and all at once would be held in memory."""
+    held: list[dict] = []
+    size = 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(e["tag"]) + len(e["text"]) for m in row["members"] for e in m["elements"])
+        if len(held) >= FRAME_ROWS or size >= FRAME_CHARACTERS:
+            yield pd.DataFrame(held)
+            held, size = [], 0
+    if held:
+        yield pd.DataFrame(held)
+
+
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path in batch["path"]:
-            row: dict = {"file": _file(path), "open_error": None, "members": []}
-            try:
-                row["members"].extend(xml_members(row["file"]))
-            except Exception as error:  # damaged archives fail in tarfile, zlib, lzma or the file system
-                row["open_error"] = str(error)
-            yield pd.DataFrame([row])
+    def row(path: str) -> dict:
+        row: dict = {"file": _file(path), "open_error": None, "members": []}
+        try:
+            row["members"].extend(xml_members(row["file"]))
+        except Exception as error:  # damaged archives fail in tarfile, zlib, lzma or the file system
+            row["open_error"] = str(error)
+        return row
+
+    yield from _frames(row(path) for batch in batches for path in batch["path"])
 
 
 def read_some(path: str, at: int, ordinal: int, most: int) -> dict:
@@ -87,21 +108,20 @@ def read_some(path: str, at: int, ordinal: int, most: int) -> dict:
 
 
 def read_on(todo: DataFrame, most: int) -> DataFrame:
-    """READ_ON rows of POSITION rows, each with up to ``most`` members more."""
+    """READ_ON rows of POSITION rows, each with up to ``most`` members more, by as many tasks as the session has."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, at, ordinal in zip(batch["path"], batch["at"], batch["ordinal"], strict=True):
-                yield pd.DataFrame([read_some(path, int(at), int(ordinal), most)])
+        places = (p for batch in batches for p in zip(batch["path"], batch["at"], batch["ordinal"], strict=True))
+        yield from _frames(read_some(path, int(at), int(ordinal), most) for path, at, ordinal in places)
 
-    return todo.select("path", "at", "ordinal").mapInPandas(read, READ_ON)
+    return spread(todo.select("path", "at", "ordinal")).mapInPandas(read, READ_ON)
 
 
 def paths(spark: SparkSession, folder: str, pattern: str = "GF2*.tar.gz", recursive: bool = True) -> DataFrame:
     """path of every archive, in no order; an error if there is none."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower())
     out = found.load(folder).select("path")
-    if out.isEmpty():
+    if not out.take(1):  # one task, where isEmpty would run one for every 32 files
         raise FileNotFoundError(f"no {pattern} in {folder}")
     return out
 

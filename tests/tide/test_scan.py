@@ -105,3 +105,18 @@ def test_one_file_is_what_pandas_writes(spark, tmp_path):
     assert (tmp_path / "out.csv").read_bytes() == b'\xef\xbb\xbfa\nx\n""\n'
     back = tables.read_csv(spark, str(tmp_path / "want.csv"))
     assert back.count() == len(data)
+
+
+def test_archives_are_read_by_all_tasks_and_handed_over_in_frames(spark, tmp_path):
+    row = {"members": [{"elements": [{"tag": "t", "text": "x" * 9}]}]}
+    long = {"members": [{"elements": [{"tag": "t", "text": "x" * archive.FRAME_CHARACTERS}]}]}
+    n = archive.FRAME_ROWS
+    assert [len(f) for f in archive._frames(iter([row] * (2 * n + 1)))] == [n, n, 1]
+    assert [len(f) for f in archive._frames(iter([row, long, row]))] == [2, 1]
+    assert list(archive._frames(iter([]))) == []
+    for k in range(40):
+        pack(tmp_path / f"GF2_{k}.tar.gz", [("a.xml", xml(**GOOD))])
+    todo = archive.paths(spark, str(tmp_path)).coalesce(1).select("path", F.lit(0).cast("long").alias("at"), F.lit(0).alias("ordinal"))
+    got = archive.read_on(todo, 1)
+    assert got.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert sorted((r["file"].split("_")[-1], len(r["members"])) for r in got.collect()) == sorted((f"{k}.tar.gz", 1) for k in range(40))
