@@ -15,7 +15,7 @@ from saltmarsh.functions import astro, classify, geo, timeops
 from saltmarsh.operators import agreement, scene, tide
 from saltmarsh.operators.scene_tide import scene_tide as assemble
 from saltmarsh.plans import archive_queries
-from saltmarsh.sources.tables import materialize, not_null
+from saltmarsh.sources.tables import materialize, not_null, spread
 
 #: name, speed in degrees an hour, amplitude, phase of the inline constituents.
 CONSTITUENTS = [("M2", 28.9841042, 1.2, 30.0), ("S2", 30.0, 0.5, 60.0), ("K1", 15.0410686, 0.3, 100.0), ("O1", 13.9430356, 0.25, 80.0)]
@@ -244,7 +244,8 @@ def _members(spark: SparkSession, d: str) -> DataFrame:
     """
     by_order = Window.partitionBy("l_orderkey").orderBy(*LINE)
     whole = by_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    line = _read(spark, d, "lineitem").select("l_orderkey", F.collect_list(F.struct(*LINE)).over(whole).alias("xs"), F.row_number().over(by_order).alias("nth"))
+    dealt = spread(_read(spark, d, "lineitem").select("l_orderkey", *LINE), "l_orderkey")
+    line = dealt.select("l_orderkey", F.collect_list(F.struct(*LINE)).over(whole).alias("xs"), F.row_number().over(by_order).alias("nth"))
     return line.where("nth = 1").select(
         F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("file"),
         F.when(F.col("l_orderkey") % 13 == 0, "cut short").alias("open_error"),
