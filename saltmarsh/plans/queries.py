@@ -235,6 +235,8 @@ def _member(x: Column) -> Column:
 
 #: What makes a member of a lineitem, and its place among the members of its order.
 LINE = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+#: Tasks that the lines of a split are dealt to: 128 MB of file hold some 10 million lines, which take 1 GB to sort.
+LINE_TASKS = 8
 
 
 def _members(spark: SparkSession, d: str) -> DataFrame:
@@ -244,7 +246,7 @@ def _members(spark: SparkSession, d: str) -> DataFrame:
     """
     by_order = Window.partitionBy("l_orderkey").orderBy(*LINE)
     whole = by_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    dealt = spread(_read(spark, d, "lineitem").select("l_orderkey", *LINE), "l_orderkey")
+    dealt = spread(_read(spark, d, "lineitem").select("l_orderkey", *LINE), "l_orderkey", by_split=LINE_TASKS)
     line = dealt.select("l_orderkey", F.collect_list(F.struct(*LINE)).over(whole).alias("xs"), F.row_number().over(by_order).alias("nth"))
     return line.where("nth = 1").select(
         F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("file"),

@@ -134,3 +134,17 @@ def test_lines_are_shuffled_before_they_become_members(spark, name):
     shuffled = re.split(r"\n[^\n]*(?:Aggregate \[l_orderkey|Window \[)", plan)[-1]
     assert "l_shipdate" in shuffled
     assert "concat_ws" in plan and "concat_ws" not in shuffled
+
+
+@pytest.mark.parametrize("name", ["choose_coordinate", "best_member", "scene_status", "choose_time", "status_summary"])
+def test_tasks_that_sort_lines_grow_with_the_table(spark, name):
+    d, most = "/root/testdata/sf0.001", "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(most)
+    spark.conf.set(most, "8k")
+    try:
+        splits = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey").rdd.getNumPartitions()
+        plan = queries.QUERIES[name](spark, d)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(most, before)
+    tasks = int(re.search(r"RepartitionByExpression \[l_orderkey[^\]]*\], (\d+)", plan)[1])
+    assert splits > 8 and tasks >= 8 * splits
