@@ -148,3 +148,30 @@ def test_tasks_that_sort_lines_grow_with_the_table(spark, name):
         spark.conf.set(most, before)
     tasks = int(re.search(r"RepartitionByExpression \[l_orderkey[^\]]*\], (\d+)", plan)[1])
     assert splits > 8 and tasks >= 8 * splits
+
+
+def _shuffled(df):
+    """Bytes that the exchanges of ``df`` write."""
+    df.collect()
+    nodes, total = [df._jdf.queryExecution().executedPlan()], 0
+    for node in nodes:
+        children = node.children()
+        nodes += [children.apply(k) for k in range(children.size())]
+        if node.metrics().contains("shuffleBytesWritten"):
+            total += node.metrics().apply("shuffleBytesWritten").value()
+    return total
+
+
+@pytest.mark.parametrize("name", ["choose_time"])
+def test_bytes_shuffled_grow_with_the_lines(spark, tmp_path, name):
+    line = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for n in (4, 24):
+            again = line.crossJoin(spark.range(n)).withColumn("l_orderkey", F.col("l_orderkey") + F.col("id") * 1_000_000).drop("id")
+            again.write.parquet(f"{tmp_path}/{n}/lineitem.parquet")
+        few, many = (_shuffled(queries.QUERIES[name](spark, f"{tmp_path}/{n}")) for n in (4, 24))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert 0 < many <= 6 * few
+    assert many <= 60 * 24 * line.count()
