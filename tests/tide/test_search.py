@@ -162,7 +162,7 @@ def _shuffled(df):
     return total
 
 
-@pytest.mark.parametrize("name", ["choose_time"])
+@pytest.mark.parametrize("name", ["choose_time", "status_summary"])
 def test_bytes_shuffled_grow_with_the_lines(spark, tmp_path, name):
     line = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
